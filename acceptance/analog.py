@@ -14,7 +14,6 @@ from marquee import vocabulary as V
 
 GENRE_POOL = V.GENRES + ["Western", "War"]
 UNRATED_PRIORITY = "4-NOT SPECIFIED"
-METRIC_COLUMNS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -154,13 +153,16 @@ def job_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "events").select(metric_columns())
 
 
+def load_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The table as a stream. The braces make the path a pattern, so a file will do."""
+    schema = load(spark, sf_dir, table).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{{{table}}}.parquet")
+
+
 def job_metrics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     utc(spark)
-    events = spark.readStream.schema(METRIC_COLUMNS).parquet(f"{sf_dir}/events.parquet")
-    return events.select(metric_columns())
+    return load_stream(spark, sf_dir, "events").select(metric_columns())
 
 
 def request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = load(spark, sf_dir, "orders").schema
-    orders = spark.readStream.schema(schema).parquet(f"{sf_dir}/orders.parquet")
-    return as_requests(orders)
+    return as_requests(load_stream(spark, sf_dir, "orders"))

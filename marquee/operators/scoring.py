@@ -35,19 +35,23 @@ def parse_requests(df: DataFrame, column: str = "request") -> DataFrame:
     """
     body = F.try_parse_json(F.col(column))
     parsed = {n: F.try_variant_get(body, f"$.{n}", t) for n, t in REQUEST_TYPES.items()}
-    errors = [F.when(body.isNull(), F.lit("request is not valid JSON"))]
+    unreadable = []
     for name in REQUEST_TYPES:
-        raw = F.try_variant_get(body, f"$.{name}", "string")
-        unreadable = raw.isNotNull() & parsed[name].isNull()
-        errors.append(F.when(unreadable, F.lit(f"{name} cannot be read")))
-    return validate(df.withColumns({**parsed, "error": F.coalesce(*errors)}))
+        given = F.try_variant_get(body, f"$.{name}", "string").isNotNull()
+        unreadable.append(F.when(given & F.col(name).isNull(), f"{name} cannot be read"))
+    invalid = F.when(body.isNull(), "request is not valid JSON")
+    return df.withColumns(parsed).withColumn(
+        "error", F.coalesce(invalid, missing_genres(), *unreadable)
+    )
+
+
+def missing_genres() -> Column:
+    return F.when(F.col("genres").isNull(), GENRES_MISSING)
 
 
 def validate(requests: DataFrame) -> DataFrame:
-    """Set ``error`` on requests without genres; earlier errors stand."""
-    missing = F.when(F.col("genres").isNull(), F.lit(GENRES_MISSING))
-    earlier = [F.col("error")] if "error" in requests.columns else []
-    return requests.withColumn("error", F.coalesce(*earlier, missing))
+    """Set ``error`` on typed requests without genres."""
+    return requests.withColumn("error", missing_genres())
 
 
 def accepted(requests: DataFrame) -> DataFrame:
