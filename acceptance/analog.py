@@ -7,140 +7,123 @@ boundary occurs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from functools import lru_cache
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from marquee import vocabulary as V
 
 GENRE_POOL = V.GENRES + ["Western", "War"]
-UNRATED_PRIORITY = "4-NOT SPECIFIED"
-
-
-def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
-
-def _every(n: int) -> Column:
-    """Marks every n-th title, to give it a special value."""
-    return F.col("o_orderkey") % n == 0
+RATED = "o_orderpriority <> '4-NOT SPECIFIED'"
 
 
-def _genre(index: Column) -> Column:
-    return F.element_at(F.array([F.lit(g) for g in GENRE_POOL]), (index % 17 + 1).cast("int"))
+@lru_cache(maxsize=None)
+def _schema(application: str, path: str) -> StructType:
+    return SparkSession.active().read.parquet(path).schema
 
 
-def _genres() -> Column:
-    key = F.col("o_orderkey")
-    return (
-        F.when(_every(23), F.lit(None).cast("string"))
-        .when(_every(3), _genre(key))
-        .otherwise(F.concat_ws(",", _genre(key), _genre(key + 5)))
-    )
+def table_schema(spark: SparkSession, sf_dir: str, table: str) -> StructType:
+    """A table's columns; its footers are read once per session."""
+    return _schema(spark.sparkContext.applicationId, f"{sf_dir}/{table}.parquet")
 
 
-def _unless(condition: Column, value: Column) -> Column:
-    return F.when(~condition, value)
+def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    schema = table_schema(spark, sf_dir, table)
+    return spark.read.schema(schema).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def title_columns() -> list[Column]:
-    key = F.col("o_orderkey")
-    name = F.concat(F.lit("Title "), key.cast("string"))
-    return [
-        key.alias("tconst"),
-        F.when(F.col("o_orderstatus") == "P", "tvEpisode").otherwise("movie").alias("titletype"),
-        _unless(_every(97), name).alias("primarytitle"),
-        _unless(_every(97), F.upper(name)).alias("originaltitle"),
-        _unless(_every(89), (1890 + F.col("o_custkey") % 140).cast("int")).alias("startyear"),
-        _unless(_every(11), (20 + key % 181).cast("int")).alias("runtimeminutes"),
-        _genres().alias("genres"),
-        F.when(_every(50), 1).otherwise(0).alias("isadult"),
-    ]
+def load_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The table as a stream. The braces make the path a pattern, so a file will do."""
+    schema = table_schema(spark, sf_dir, table)
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{{{table}}}.parquet")
 
 
-def rating_columns() -> list[Column]:
-    price = F.floor("o_totalprice")
-    scale = F.element_at(
-        F.array([F.lit(10 ** i) for i in range(6)]), (F.col("o_orderkey") % 6 + 1).cast("int")
-    )
-    votes = (
-        F.when(_every(101), 49999).when(_every(103), 10000).when(_every(107), 50000)
-        .otherwise(F.floor(price / scale))
-    )
-    return [
-        F.col("o_orderkey").alias("tconst"),
-        ((10 + price % 91) / F.lit(10.0)).cast("float").alias("averagerating"),
-        votes.cast("int").alias("numvotes"),
-    ]
+def _genre(index: str) -> str:
+    names = ", ".join(f"'{g}'" for g in GENRE_POOL)
+    return f"element_at(array({names}), cast({index} % 17 AS int) + 1)"
+
+
+def _unless_every(n: int, value: str) -> str:
+    return f"CASE WHEN o_orderkey % {n} <> 0 THEN {value} END"
+
+
+GENRES = f"""CASE WHEN o_orderkey % 23 = 0 THEN NULL
+    WHEN o_orderkey % 3 = 0 THEN {_genre('o_orderkey')}
+    ELSE concat({_genre('o_orderkey')}, ',', {_genre('(o_orderkey + 5)')}) END"""
+YEAR = _unless_every(89, "cast(1890 + o_custkey % 140 AS int)")
+RUNTIME = _unless_every(11, "cast(20 + o_orderkey % 181 AS int)")
+RATING = "cast((10 + floor(o_totalprice) % 91) / 10D AS float)"
+VOTES = """cast(CASE WHEN o_orderkey % 101 = 0 THEN 49999 WHEN o_orderkey % 103 = 0 THEN 10000
+    WHEN o_orderkey % 107 = 0 THEN 50000
+    ELSE floor(floor(o_totalprice) / power(10, o_orderkey % 6)) END AS int)"""
+
+TITLE_COLUMNS = [
+    "o_orderkey AS tconst",
+    "CASE WHEN o_orderstatus = 'P' THEN 'tvEpisode' ELSE 'movie' END AS titletype",
+    _unless_every(97, "concat('Title ', o_orderkey)") + " AS primarytitle",
+    _unless_every(97, "concat('TITLE ', o_orderkey)") + " AS originaltitle",
+    f"{YEAR} AS startyear",
+    f"{RUNTIME} AS runtimeminutes",
+    f"{GENRES} AS genres",
+    "CASE WHEN o_orderkey % 50 = 0 THEN 1 ELSE 0 END AS isadult",
+]
+RATING_COLUMNS = ["o_orderkey AS tconst", f"{RATING} AS averagerating", f"{VOTES} AS numvotes"]
+CREDIT_COLUMNS = [
+    "l_orderkey AS tconst", "l_linenumber AS ordering", "l_suppkey AS nconst",
+    """CASE l_returnflag WHEN 'A' THEN 'director' WHEN 'R' THEN 'actor' ELSE 'writer' END
+    AS category""",
+]
+# A scoring request per order, and the rating it turned out to have, if any.
+REQUEST_COLUMNS = [
+    "o_orderkey AS request_id",
+    f"{GENRES} AS genres",
+    f"{YEAR} AS year",
+    f"{RUNTIME} AS runtime",
+    f"CASE WHEN {RATED} THEN {VOTES} END AS num_votes",
+    _unless_every(7, "(10 + o_custkey % 91) / 10D") + " AS director_avg_rating",
+    _unless_every(19, "(o_custkey % 21) / 20D") + " AS director_hit_rate",
+    f"CASE WHEN {RATED} THEN cast({RATING} AS double) END AS actual",
+]
+# JSON requests: every 29th is cut off, every 31st has a year that is no number.
+JSON_COLUMNS = [
+    "request_id",
+    """CASE WHEN request_id % 29 = 0 THEN '{"genres": "Drama"'
+    ELSE to_json(struct(genres, runtime, num_votes, director_avg_rating, director_hit_rate,
+      CASE WHEN request_id % 31 = 0 THEN 'unknown' ELSE cast(year AS string) END AS year))
+    END AS request""",
+]
+METRIC_COLUMNS = [
+    "cast(ts AS timestamp) AS ts", "event_type AS job",
+    "CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS completed",
+    "CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS failed",
+    "value AS elapsed",
+]
 
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "orders").select(title_columns())
+    return load(spark, sf_dir, "orders").selectExpr(*TITLE_COLUMNS)
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of one priority stand for titles nobody has rated."""
-    rated = load(spark, sf_dir, "orders").filter(F.col("o_orderpriority") != UNRATED_PRIORITY)
-    return rated.select(rating_columns())
+    return load(spark, sf_dir, "orders").filter(RATED).selectExpr(*RATING_COLUMNS)
 
 
 def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    role = (
-        F.when(F.col("l_returnflag") == "A", "director")
-        .when(F.col("l_returnflag") == "R", "actor").otherwise("writer")
-    )
-    return load(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("tconst"), F.col("l_linenumber").alias("ordering"),
-        F.col("l_suppkey").alias("nconst"), role.alias("category"),
-    )
-
-
-def request_columns() -> list[Column]:
-    """A scoring request per order, and the rating it turned out to have, if any."""
-    by_column = {c: e for c, e in zip(
-        ("tconst", "titletype", "primarytitle", "originaltitle", "year", "runtime", "genres",
-         "isadult"), title_columns())}
-    rating = {c: e for c, e in zip(("tconst", "actual", "num_votes"), rating_columns())}
-    customer = F.col("o_custkey")
-    unrated = F.col("o_orderpriority") == UNRATED_PRIORITY
-    return [
-        F.col("o_orderkey").alias("request_id"),
-        by_column["genres"].alias("genres"),
-        by_column["year"].alias("year"),
-        by_column["runtime"].alias("runtime"),
-        _unless(unrated, rating["num_votes"]).alias("num_votes"),
-        _unless(_every(7), (10 + customer % 91) / F.lit(10.0)).alias("director_avg_rating"),
-        _unless(_every(19), (customer % 21) / F.lit(20.0)).alias("director_hit_rate"),
-        _unless(unrated, rating["actual"].cast("double")).alias("actual"),
-    ]
-
-
-def as_requests(orders: DataFrame) -> DataFrame:
-    return orders.select(request_columns())
+    return load(spark, sf_dir, "lineitem").selectExpr(*CREDIT_COLUMNS)
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_requests(load(spark, sf_dir, "orders"))
+    return load(spark, sf_dir, "orders").selectExpr(*REQUEST_COLUMNS)
+
+
+def request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_stream(spark, sf_dir, "orders").selectExpr(*REQUEST_COLUMNS)
 
 
 def request_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same requests as JSON text; every 29th is cut off, every 31st has a bad year."""
-    fields = ("genres", "runtime", "num_votes", "director_avg_rating", "director_hit_rate")
-    key = F.col("request_id")
-    year = F.when(key % 31 == 0, F.lit("unknown")).otherwise(F.col("year").cast("string"))
-    text = F.to_json(F.struct(*fields, year.alias("year")))
-    broken = F.when(key % 29 == 0, F.lit('{"genres": "Drama"')).otherwise(text)
-    return requests(spark, sf_dir).select("request_id", broken.alias("request"))
-
-
-def metric_columns() -> list[Column]:
-    failed = F.when(F.col("event_type") == "error", 1).otherwise(0)
-    return [
-        F.col("ts").cast("timestamp").alias("ts"),
-        F.col("event_type").alias("job"),
-        (1 - failed).alias("completed"),
-        failed.alias("failed"),
-        F.col("value").alias("elapsed"),
-    ]
+    return requests(spark, sf_dir).selectExpr(*JSON_COLUMNS)
 
 
 def utc(spark: SparkSession) -> None:
@@ -150,19 +133,9 @@ def utc(spark: SparkSession) -> None:
 
 def job_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     utc(spark)
-    return load(spark, sf_dir, "events").select(metric_columns())
-
-
-def load_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """The table as a stream. The braces make the path a pattern, so a file will do."""
-    schema = load(spark, sf_dir, table).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{{{table}}}.parquet")
+    return load(spark, sf_dir, "events").selectExpr(*METRIC_COLUMNS)
 
 
 def job_metrics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     utc(spark)
-    return load_stream(spark, sf_dir, "events").select(metric_columns())
-
-
-def request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_requests(load_stream(spark, sf_dir, "orders"))
+    return load_stream(spark, sf_dir, "events").selectExpr(*METRIC_COLUMNS)

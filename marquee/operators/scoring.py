@@ -30,21 +30,35 @@ def parse_requests(df: DataFrame, column: str = "request") -> DataFrame:
     """Read JSON requests into typed columns and say in ``error`` what is wrong.
 
     A field that is absent or null stays null and later gets its default. A field that is
-    present but cannot be read as its type is an error, and so is text that is no JSON
-    object.
+    present but cannot be read as its type is an error, and so is text that is no JSON.
+    The text is parsed once: ``json_tuple`` yields rows, below which a filter on the fields
+    cannot be moved, so it is not parsed again for the filter.
     """
-    body = F.try_parse_json(F.col(column))
-    parsed = {n: F.try_variant_get(body, f"$.{n}", t) for n, t in REQUEST_TYPES.items()}
-    unreadable = []
-    for name in REQUEST_TYPES:
-        given = F.try_variant_get(body, f"$.{name}", "string").isNotNull()
-        unreadable.append(F.when(given & F.col(name).isNull(), f"{name} cannot be read"))
-    invalid = F.when(body.isNull(), "request is not valid JSON")
-    return df.withColumns(parsed).withColumn(
-        "error", F.coalesce(invalid, missing_genres(), *unreadable)
+    names = list(REQUEST_TYPES)
+    text = {n: f"_{n}" for n in names}
+    fields = df.select("*", F.json_tuple(F.col(column), *names).alias(*text.values()))
+    parsed = {n: _typed(F.col(text[n]), kind) for n, kind in REQUEST_TYPES.items()}
+    # invalid text yields no fields at all, so only rows without genres are looked at again
+    invalid = F.when(F.col("genres").isNull() & F.try_parse_json(column).isNull(),
+                     "request is not valid JSON")
+    unreadable = [
+        F.when(F.col(text[n]).isNotNull() & F.col(n).isNull(), f"{n} cannot be read")
+        for n in names
+    ]
+    return (
+        fields.withColumns(parsed)
+        .withColumn("error", F.coalesce(invalid, missing_genres(), *unreadable))
+        .drop(*text.values())
     )
 
 
+def _typed(text: Column, kind: str) -> Column:
+    """Whole numbers may be written with decimals, which are cut off."""
+    if kind == "int":
+        return F.coalesce(text.try_cast("int"), text.try_cast("double").try_cast("int"))
+    return text.try_cast(kind)
+
+
 def missing_genres() -> Column:
     return F.when(F.col("genres").isNull(), GENRES_MISSING)
 
