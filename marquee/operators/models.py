@@ -103,19 +103,19 @@ class RatingModel:
 
 def fit(train: DataFrame, features: Sequence[str], bins: EqualWidthBins,
         settings: Boosting = FIRST_FIT, watch: str | None = None,
-        tolerance: float = 0.01) -> RatingModel:
+        tolerance: float = 0.01, rows: int | None = None) -> RatingModel:
     """Fit boosted trees on a stored training matrix.
 
     The rows are read several times per fit, so pass a table rather than a long plan.
     ``watch`` names a boolean column marking validation rows; the fit then stops once
-    their error no longer falls by ``tolerance``. A shared checkpoint folder is set, so
-    the lineage of hundreds of rounds stays short.
+    their error no longer falls by ``tolerance``. A shared checkpoint folder is set, so the
+    lineage of hundreds of rounds stays short.
     """
     shared_dir(train.sparkSession)
     filled = train.na.fill(0, list(features))
     min_gain = 0.0
     if settings.min_gain_total:
-        min_gain = 2 * settings.min_gain_total / max(filled.count(), 1)
+        min_gain = 2 * settings.min_gain_total / max(rows or filled.count(), 1)
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     booster = GBTRegressor(
         featuresCol="features", labelCol=LABEL, predictionCol="prediction",
@@ -186,13 +186,13 @@ def train_version(version: Version, matrix: DataFrame,
     """Fit one version on the train rows of ``matrix`` and measure it on the test rows."""
     rows = reliable(matrix) if version.reliable_only else matrix
     train, test = (rows.filter(F.col("split") == s) for s in ("train", "test"))
-    model = fit(train, version.features, bins, version.settings)
-    sizes = train.agg(F.count("*").alias("train_rows")).first()
+    train_rows = train.count()
+    model = fit(train, version.features, bins, version.settings, rows=train_rows)
     metrics = regression_metrics(model.transform(test)).select(
         F.lit(version.name).alias("version"),
         F.lit(version.population).alias("population"),
         F.lit(len(version.features)).alias("n_features"),
-        F.lit(sizes.train_rows).alias("train_rows"),
+        F.lit(train_rows).alias("train_rows"),
         "test_rows", "rmse", "r2", "mae",
     )
     return model, metrics

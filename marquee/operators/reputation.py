@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee import vocabulary as V
@@ -57,20 +57,17 @@ def with_directors(cleaned: DataFrame, primary: DataFrame, stats: DataFrame) ->
 
     Titles without a director would all meet in the partition of the null key. They get a
     key of their own instead, one that no director has, and so spread over all partitions.
-    A director with very many titles is left to adaptive execution, which splits such a
-    partition; a small stats table it broadcasts, after measuring it.
+
+    A director may hold very many titles. Adaptive execution splits such a partition, but
+    only where a shuffle feeds the join directly; the prefixed key sees to that, as the
+    stats arrive partitioned by the plain id. A small stats table it broadcasts, after
+    measuring it.
     """
-    director = F.col("director_id")
-    keyed = cleaned.join(primary, "tconst", "left").withColumns({
-        "_has_director": director.isNotNull(),
-        "_key": F.coalesce(director.cast("string"), F.col("tconst").cast("string")),
-    })
-    side = stats.withColumns({
-        "_has_director": F.lit(True),
-        "_key": director.cast("string"),
-    }).drop("director_id")
-    return (
-        keyed.join(side, ["_has_director", "_key"], "left")
-        .drop("_has_director", "_key")
-        .na.fill(V.UNKNOWN_DIRECTOR)
-    )
+    def director_key() -> Column:
+        return F.concat(F.lit("d:"), F.col("director_id").cast("string"))
+
+    own_key = F.concat(F.lit("t:"), F.col("tconst").cast("string"))
+    keyed = cleaned.join(primary, "tconst", "left").withColumn(
+        "_key", F.coalesce(director_key(), own_key))
+    side = stats.withColumn("_key", director_key()).drop("director_id")
+    return keyed.join(side, "_key", "left").drop("_key").na.fill(V.UNKNOWN_DIRECTOR)
