@@ -168,13 +168,16 @@ REQUESTS = f"""
     case when o_orderpriority <> '4-NOT SPECIFIED' then cast({RATING} as double) end as actual
   from rated_orders join titles t on t.tconst = o_orderkey"""
 
-FILLED = """
+def filled(average: float, hits: float) -> str:
+    return f"""
   select request_id, genres, coalesce(year, 2000) as y, coalesce(runtime, 95) as r,
-    coalesce(num_votes, 1000) as v, coalesce(director_avg_rating, 6.0::double) as a,
-    coalesce(director_hit_rate, 0.3::double) as h
+    coalesce(num_votes, 1000) as v, coalesce(director_avg_rating, {average}::double) as a,
+    coalesce(director_hit_rate, {hits}::double) as h
   from requests where genres is not null"""
 
+
 REQUEST_BASE = f"select *, {base_features('y', 'r', 'v')} from filled"
+CLIENT_BASE = f"select *, {base_features('y', 'r', 'v')} from filled_client"
 
 SIMPLE = """
   select request_id, round(least(10, greatest(1, a * 1.25 - 1.5
@@ -198,7 +201,8 @@ RELATIONS = {
     "joined": JOINED, "cleaned": CLEANED, "stats_raw": STATS_RAW, "stats": STATS,
     "primaries": PRIMARY, "enriched": ENRICHED, "features": FEATURES, "vote_range": VOTE_RANGE,
     "matrix": MATRIX, "split": SPLIT, "baseline": BASELINE, "requests": REQUESTS,
-    "filled": FILLED, "request_base": REQUEST_BASE, "simple": SIMPLE, "scored": SCORED,
+    "filled": filled(6.0, 0.3), "filled_client": filled(6.5, 0.4), "request_base": REQUEST_BASE,
+    "client_base": CLIENT_BASE, "simple": SIMPLE, "scored": SCORED,
     "metrics": METRICS,
 }
 
@@ -250,12 +254,13 @@ SCORED_SQL = sql("select *, round(abs(actual - predicted_rating), 6) as error fr
 
 def request_features(variant: str) -> str:
     votes_bin = FITTED_BIN if variant == "training" else INTEGER_BIN
+    source = "client_base" if variant == "client" else "request_base"
     directors = """a as director_avg_rating, 10 as director_movie_count,
     h as director_hit_rate, ln(500001) as director_votes_log, 1 as has_known_director,
     least(a + 1, 10) as director_max_rating"""
     return sql(f"""select {columns(['request_id', *V.FULL_FEATURES])} from (
   select *, {interactions(votes_bin, THIRD_TERM[variant])}, {directors}
-  from request_base, vote_range)""")
+  from {source}, vote_range)""")
 
 
 TIER_BINS = {
@@ -356,9 +361,13 @@ ORACLE: dict[str, str] = {
       union all select 'director_entries', count(*) from entries
       union all select 'directors', count(*) from stats"""),
     "value_counts": group("rating_tier", "count(*) as count"),
+    "value_counts_recent": group("decade", "count(*) as count", "decade >= 1980"),
     "describe_target": sql("""select count(target_rating) as n, min(target_rating) as min,
       max(target_rating) as max, round(avg(target_rating), 6) as mean,
       round(stddev_samp(target_rating), 6) as std from features"""),
+    "describe_reliable": sql("""select count(averagerating) as n, min(averagerating) as min,
+      max(averagerating) as max, round(avg(averagerating), 6) as mean,
+      round(stddev_samp(averagerating), 6) as std from cleaned where numvotes >= 49999"""),
     "genre_flag_totals": sql(
         "select flag, cast(total as bigint) as total from (unpivot (select "
         + ", ".join(f"sum({f}) as {f}" for f in V.GENRE_FLAGS)

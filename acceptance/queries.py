@@ -131,6 +131,16 @@ def described_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(quality.describe(features(spark, sf_dir), "target_rating"), ("mean", "std"), 6)
 
 
+def described_reliable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = matrix.reliable(features(spark, sf_dir))
+    return rounded(quality.describe(wanted, "target_rating"), ("mean", "std"), 6)
+
+
+def recent_decades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    recent = cleaned(spark, sf_dir).filter(F.col("decade") >= 1980)
+    return quality.value_counts(recent, "decade").orderBy("decade")
+
+
 def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.sample_n(cleaned(spark, sf_dir), 1000).select("tconst", "primarytitle")
 
@@ -383,7 +393,9 @@ QUERIES: dict[str, Query] = {
     "dq_by_decade": on_cleaned(quality.dq_by_decade),
     "stage_counts": stage_counts,
     "value_counts": on_cleaned(quality.value_counts, "rating_tier"),
+    "value_counts_recent": recent_decades,
     "describe_target": described_target,
+    "describe_reliable": described_reliable,
     "genre_flag_totals": over(features, quality.flag_totals),
     "flag_counts": over(enriched, quality.flag_counts),
     # directors

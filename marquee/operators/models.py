@@ -122,9 +122,10 @@ def fit(train: DataFrame, features: Sequence[str], bins: EqualWidthBins,
         maxIter=settings.rounds, maxDepth=settings.depth, stepSize=settings.rate,
         subsamplingRate=settings.row_share, featureSubsetStrategy=str(settings.column_share),
         minInstancesPerNode=settings.min_rows, minInfoGain=min_gain, seed=settings.seed,
+        validationTol=tolerance,
     )
     if watch is not None:
-        booster = booster.setValidationIndicatorCol(watch).setValidationTol(tolerance)
+        booster = booster.setValidationIndicatorCol(watch)
     stages = Pipeline(stages=[assembler, booster]).fit(filled)
     return RatingModel(stages, list(features), bins)
 

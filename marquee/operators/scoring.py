@@ -78,8 +78,8 @@ def rejected(requests: DataFrame) -> DataFrame:
     return requests.filter(F.col("error").isNotNull()).withColumn("status_code", status)
 
 
-def request_field(requests: DataFrame, name: str) -> Column:
-    default = F.lit(V.REQUEST_DEFAULTS[name])
+def request_field(requests: DataFrame, name: str, defaults: dict = V.REQUEST_DEFAULTS) -> Column:
+    default = F.lit(defaults[name])
     if name not in requests.columns:
         return default
     return F.coalesce(F.col(name), default)
@@ -94,23 +94,25 @@ def score_features(requests: DataFrame, bins: EqualWidthBins | None = None,
     - ``training``: the vote bin and popularity score of the training data (needs the
       model's ``bins``); the choice for a model trained here.
     - ``service``: whole part of the log as bin, no third popularity term.
-    - ``client``: the same bin, and a third popularity term from 10,000 votes on.
+    - ``client``: the same bin, a third popularity term from 10,000 votes on, and other
+      defaults for the director.
     """
     if variant not in ("training", "service", "client"):
         raise ValueError(f"unknown variant: {variant}")
     if variant == "training" and bins is None:
         raise ValueError("the training variant needs the bins saved with the model")
 
-    votes = request_field(requests, "num_votes")
-    average = request_field(requests, "director_avg_rating")
+    defaults = V.CLIENT_DEFAULTS if variant == "client" else V.REQUEST_DEFAULTS
+    fields = {name: request_field(requests, name, defaults) for name in defaults}
+    average = fields["director_avg_rating"]
     base = requests.withColumns({
         **X.genre_flags(F.col("genres")),
-        **X.era_features(request_field(requests, "year")),
-        **X.runtime_features(request_field(requests, "runtime")),
-        **X.vote_features(votes),
+        **X.era_features(fields["year"]),
+        **X.runtime_features(fields["runtime"]),
+        **X.vote_features(fields["num_votes"]),
         "director_avg_rating": average,
         "director_movie_count": F.lit(V.ASSUMED_MOVIE_COUNT),
-        "director_hit_rate": request_field(requests, "director_hit_rate"),
+        "director_hit_rate": fields["director_hit_rate"],
         "director_votes_log": F.log(F.lit(float(V.ASSUMED_DIRECTOR_VOTES + 1))),
         "has_known_director": F.lit(1),
         "director_max_rating": F.least(average + 1.0, F.lit(V.HIGHEST_RATING)),

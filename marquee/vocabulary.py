@@ -46,6 +46,8 @@ REQUEST_DEFAULTS = {
     "director_avg_rating": 6.0,
     "director_hit_rate": 0.3,
 }
+# The command-line client assumes a somewhat better director.
+CLIENT_DEFAULTS = {**REQUEST_DEFAULTS, "director_avg_rating": 6.5, "director_hit_rate": 0.4}
 # What a scoring request cannot say about its director.
 ASSUMED_MOVIE_COUNT = 10
 ASSUMED_DIRECTOR_VOTES = 500000
