@@ -396,7 +396,8 @@ ORACLE: dict[str, str] = {
     "training_matrix_one_pass": MATRIX_SQL,
     "train_test_split": SPLIT_SQL,
     "reliable_subset": sql(
-        "select tconst, target_rating from features where round(exp(votes_log)) >= 50000"),
+        "select tconst, target_rating, split from features join split using (tconst) "
+        "where round(exp(votes_log)) >= 50000"),
     "sample_n": sql(f"select tconst, primarytitle from cleaned {SAMPLE_ORDER}"),
     "source_tsv": sql(
         "select * replace (cast(tconst as varchar) as tconst) from cleaned"),

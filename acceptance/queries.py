@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from acceptance import analog
 from marquee import vocabulary as V
 from marquee.functions.bins import EqualWidthBins
+from marquee.functions.features import log_votes
 from marquee.operators import (
     cleaning, matrix, models, quality, reports, reputation, sampling, scoring,
 )
@@ -54,7 +55,8 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vote_bins(spark: SparkSession, sf_dir: str) -> EqualWidthBins:
-    return EqualWidthBins.fit(features(spark, sf_dir), "votes_log")
+    votes = log_votes(F.col("numvotes")).alias("votes_log")
+    return EqualWidthBins.fit(cleaned(spark, sf_dir).select(votes), "votes_log")
 
 
 def full_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,10 +115,9 @@ def split_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reliable_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train and test rows put together again and filtered by log votes."""
+    """Train and test rows alike: both carry the split column, so they are one table."""
     marked = matrix.with_split(features(spark, sf_dir))
-    parts = [marked.filter(F.col("split") == s).drop("split") for s in ("train", "test")]
-    return matrix.reliable(parts[0].unionByName(parts[1])).select("tconst", "target_rating")
+    return matrix.reliable(marked).select("tconst", "target_rating", "split")
 
 
 # --- counts ---------------------------------------------------------------

@@ -98,8 +98,13 @@ def store_training(spark: SparkSession, lake: Lake) -> EqualWidthBins:
 
 def run_all(spark: SparkSession, titles: str, ratings: str, credits: str,
             lake: Lake) -> tuple[dict[str, int], EqualWidthBins]:
-    """All jobs in order, from the raw files to the training data."""
+    """All jobs in order, from the raw files to the training data.
+
+    Two jobs need the ratings, so these are unpacked once and stored as a table.
+    """
     raw_titles, raw_ratings, raw_credits = read_raw(spark, titles, ratings, credits)
+    tables.write_flat(cleaning.typed_ratings(raw_ratings), lake.path("ratings"))
+    raw_ratings = tables.read_table(spark, lake.path("ratings"))
     counts = store_cleaned(raw_titles, raw_ratings, lake)
     counts |= store_features(spark, lake)
     counts |= store_directors(spark, raw_credits, raw_ratings, lake)
