@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee import vocabulary as V
 from marquee.functions.features import flag
 from marquee.operators.cleaning import is_high_rated, typed_ratings
+from marquee.operators.joins import balanced_left_join
 
 
 def director_entries(credits: DataFrame) -> DataFrame:
@@ -55,19 +56,9 @@ def primary_director(entries: DataFrame) -> DataFrame:
 def with_directors(cleaned: DataFrame, primary: DataFrame, stats: DataFrame) -> DataFrame:
     """Cleaned titles with their director's stats, and fixed values where there is none.
 
-    Titles without a director would all meet in the partition of the null key. They get a
-    key of their own instead, one that no director has, and so spread over all partitions.
-
-    A director may hold very many titles. Adaptive execution splits such a partition, but
-    only where a shuffle feeds the join directly; the prefixed key sees to that, as the
-    stats arrive partitioned by the plain id. A small stats table it broadcasts, after
-    measuring it.
+    One director may hold very many titles, and many titles have none; both joins are
+    balanced for that. A small stats table Spark broadcasts, after measuring it.
     """
-    def director_key() -> Column:
-        return F.concat(F.lit("d:"), F.col("director_id").cast("string"))
-
-    own_key = F.concat(F.lit("t:"), F.col("tconst").cast("string"))
-    keyed = cleaned.join(primary, "tconst", "left").withColumn(
-        "_key", F.coalesce(director_key(), own_key))
-    side = stats.withColumn("_key", director_key()).drop("director_id")
-    return keyed.join(side, "_key", "left").drop("_key").na.fill(V.UNKNOWN_DIRECTOR)
+    directed = balanced_left_join(cleaned, primary, "tconst")
+    enriched = balanced_left_join(directed, stats, "director_id", spread="tconst")
+    return enriched.na.fill(V.UNKNOWN_DIRECTOR)

@@ -56,5 +56,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in a folder of this application's own.
+
+    What is stored there is of no use once the application has ended.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/{application}/{label}-{uuid.uuid4().hex}"

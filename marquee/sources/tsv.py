@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from marquee import vocabulary as V
 
+# The header lines of the raw files.
 TITLE_COLUMNS = [
     "tconst", "titleType", "primaryTitle", "originalTitle", "isAdult",
     "startYear", "endYear", "runtimeMinutes", "genres",

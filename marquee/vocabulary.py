@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 # --- fixed values ---------------------------------------------------------
-# These must equal the published pipeline's, or results would differ.
+# All values and names in this file must equal the published ones, or results would differ.
 
 GENRES = [
     "Drama", "Comedy", "Thriller", "Romance", "Action",
@@ -51,7 +51,6 @@ CLIENT_DEFAULTS = {**REQUEST_DEFAULTS, "director_avg_rating": 6.5, "director_hit
 # What a scoring request cannot say about its director.
 ASSUMED_MOVIE_COUNT = 10
 ASSUMED_DIRECTOR_VOTES = 500000
-# --------------------------------------------------------------------------
 
 
 def flag_name(genre: str) -> str:
@@ -78,7 +77,8 @@ DIRECTOR_FEATURES = [
     "director_votes_log", "has_known_director", "director_max_rating",
 ]
 
-# The three feature sets models are trained on: 28, 37 and 43 columns.
+# The order of features is part of the training export. The three sets models are
+# trained on have 28, 37 and 43 columns.
 BASE_FEATURES = GENRE_FLAGS + ERA_FEATURES + RUNTIME_FEATURES + VOTE_FEATURES
 INTERACTION_FEATURES = BASE_FEATURES + POPULARITY_FEATURES + GENRE_PAIR_FEATURES
 FULL_FEATURES = INTERACTION_FEATURES + DIRECTOR_FEATURES
@@ -92,3 +92,4 @@ SUMMARY_COLUMNS = [
     "tconst", "primarytitle", "startyear", "decade", "genres", "averagerating",
     "numvotes", "rating_tier", "is_high_rated", "runtime_bucket", "vote_tier",
 ]
+# --------------------------------------------------------------------------

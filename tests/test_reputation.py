@@ -6,6 +6,7 @@ from rows import by_key, credits, ratings, titles
 
 from marquee import vocabulary as V
 from marquee.operators import cleaning, reputation
+from marquee.operators.joins import balanced_left_join
 
 
 def build(spark):
@@ -117,6 +118,25 @@ def test_a_title_with_a_third_of_all_credits_is_split(spark, no_broadcast):
     assert stats.agg(F.sum("director_movie_count")).first()[0] == n
 
 
+def test_a_title_with_a_third_of_all_rows_is_split_in_both_joins(spark, no_broadcast):
+    n = 6000
+    key = "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('tt', id) END"
+    copies = wide_titles(spark, n).withColumn("id", F.monotonically_increasing_id())
+    copies = copies.withColumn("tconst", F.expr(key)).drop("id").repartition(8)
+    rated = spark.range(n).selectExpr(
+        "CASE WHEN id = 0 THEN 'hot' ELSE concat('tt', id) END AS tconst",
+        "6.0F AS averagerating", "100 AS numvotes")
+    cleaned = cleaning.clean_titles(copies, rated)
+    kept = cleaned.count()
+    assert "skew=true" in final_plan(cleaned) and kept >= n // 3
+    primary = spark.range(n).selectExpr(
+        "CASE WHEN id = 0 THEN 'hot' ELSE concat('tt', id) END AS tconst",
+        "1 AS ordering", "concat('nm', id % 50) AS director_id")
+    primary = reputation.primary_director(primary)
+    joined = balanced_left_join(copies, primary, "tconst")
+    assert "skew=true" in final_plan(joined) and joined.count() == n
+
+
 def test_titles_without_director_spread_over_partitions(spark, no_broadcast):
     n = 4000
     rated = spark.range(n).selectExpr(

@@ -11,7 +11,6 @@ from marquee.operators import cleaning, matrix, reputation, scoring
 from marquee.streaming import updates
 
 BINS = EqualWidthBins(math.log(11), math.log(500000))
-FIELDS = ["genres", "year", "runtime", "num_votes", "director_avg_rating", "director_hit_rate"]
 SAMPLES = [
     ("Action,Crime,Drama", 2008, 152, 2800000, 8.4, 0.9, 9.0),
     ("Drama,Romance", 2004, 123, 600000, 6.8, 0.5, 7.8),
@@ -33,48 +32,50 @@ def predictor(df):
     return df.withColumn("prediction", F.col("director_avg_rating") + 2.0)
 
 
-def expected(genres, year, runtime, votes, average, hits, variant):
-    """A plain restatement of the service's features for one request."""
-    has = lambda g: int(g in genres)
-    log = math.log(votes + 1)
-    third = {"service": 0, "client": int(votes >= 10000)}[variant]
-    return {
-        **{V.flag_name(g): has(g) for g in V.GENRES},
-        "year_normalized": (year - 1900) / 124, "is_modern": int(year >= 2000),
-        "is_classic": int(year < 1970), "decade_2000s": int(2000 <= year <= 2009),
-        "decade_2010s": int(2010 <= year <= 2019), "decade_2020s": int(year >= 2020),
-        "runtime_normalized": min(runtime / 180, 1), "is_short_film": int(runtime < 60),
-        "is_epic": int(runtime > 150), "votes_log": log,
-        "votes_normalized": min(votes / 100000, 1), "is_well_known": int(votes >= 10000),
-        "is_blockbuster": int(votes >= 100000), "votes_log_squared": log ** 2,
-        "votes_log_binned": min(int(log), 9),
-        "popularity_score": 3 * (votes >= 100000) + 2 * (votes >= 10000) + third,
-        "is_drama_or_biography": has("Drama") | has("Biography"),
-        "is_action_adventure": has("Action") & has("Adventure"),
-        "is_horror_thriller": has("Horror") | has("Thriller"),
-        "long_drama": int(runtime > 150) & has("Drama"),
-        "classic_documentary": int(year < 1970) & has("Documentary"),
-        "modern_documentary": int(year >= 2000) & has("Documentary"),
-        "director_avg_rating": average, "director_movie_count": 10, "director_hit_rate": hits,
-        "director_votes_log": math.log(500001), "has_known_director": 1,
-        "director_max_rating": min(average + 1, 10),
-    }
-
-
-@pytest.mark.parametrize("variant", ["service", "client"])
-def test_sample_requests_get_the_published_features(samples, variant):
+NUMBERS = ["year_normalized", "runtime_normalized", "votes_log", "votes_normalized",
+           "votes_log_binned", "director_avg_rating", "director_hit_rate", "director_max_rating"]
+# per sample: the flags that are set, and the values of NUMBERS
+WANTED = [
+    ("genre_action genre_crime genre_drama is_modern decade_2000s is_epic is_well_known "
+     "is_blockbuster is_drama_or_biography long_drama",
+     [0.870968, 0.844444, 14.845130, 1.0, 9.0, 8.4, 0.9, 9.4]),
+    ("genre_drama genre_romance is_modern decade_2000s is_well_known is_blockbuster "
+     "is_drama_or_biography",
+     [0.838710, 0.683333, 13.304687, 1.0, 9.0, 6.8, 0.5, 7.8]),
+    ("genre_action genre_adventure genre_sci_fi is_modern decade_2000s is_well_known "
+     "is_blockbuster is_action_adventure",
+     [0.862903, 0.8, 13.527830, 1.0, 9.0, 6.5, 0.4, 7.5]),
+    ("genre_horror is_modern decade_2000s is_well_known is_blockbuster is_horror_thriller",
+     [0.862903, 0.477778, 12.206078, 1.0, 9.0, 5.8, 0.3, 6.8]),
+    ("genre_drama genre_biography is_epic is_well_known is_blockbuster is_drama_or_biography "
+     "long_drama",
+     [0.75, 1.0, 14.151984, 1.0, 9.0, 8.2, 0.85, 9.2]),
+    ("genre_drama is_modern decade_2020s is_drama_or_biography",
+     [0.991935, 0.583333, 6.216606, 0.005, 6.0, 6.0, 0.3, 7.0]),
+]
+FLAGS = [c for c in V.INTERACTION_FEATURES if c not in (*NUMBERS, *V.POPULARITY_FEATURES)]
+
+
+@pytest.mark.parametrize("variant, popularity", [
+    ("service", [5, 5, 5, 5, 5, 0]), ("client", [6, 6, 6, 6, 6, 0])])
+def test_sample_requests_get_the_published_features(samples, variant, popularity):
     rows = scoring.score_features(samples, variant=variant).collect()
-    for row in rows:
-        wanted = expected(*[row[f] for f in FIELDS], variant)
-        assert {c: row[c] for c in V.FULL_FEATURES} == pytest.approx(wanted)
+    for row, (flags, numbers), score in zip(rows, WANTED, popularity):
+        assert {c for c in FLAGS if row[c]} == set(flags.split())
+        assert [row[c] for c in NUMBERS] == pytest.approx(numbers, abs=1e-6)
+        assert row.popularity_score == score
+        assert row.votes_log_squared == pytest.approx(row.votes_log ** 2)
+        assert (row.director_movie_count, row.has_known_director) == (10, 1)
+        assert row.director_votes_log == pytest.approx(13.122365, abs=1e-6)
 
 
-def test_defaults_fill_what_a_request_leaves_out(spark):
+@pytest.mark.parametrize("variant, average, hits", [("service", 6.0, 0.3), ("client", 6.5, 0.4)])
+def test_defaults_fill_what_a_request_leaves_out(spark, variant, average, hits):
     bare = spark.createDataFrame([("Drama",)], "genres string")
-    for variant, average, hits in (("service", 6.0, 0.3), ("client", 6.5, 0.4)):
-        row = scoring.score_features(bare, variant=variant).first()
-        assert {c: row[c] for c in V.FULL_FEATURES} == pytest.approx(
-            expected("Drama", 2000, 95, 1000, average, hits, variant))
+    row = scoring.score_features(bare, variant=variant).first()
+    assert (row.director_avg_rating, row.director_hit_rate) == (average, hits)
+    assert (row.is_modern, row.is_well_known) == (1, 0)
+    assert row.runtime_normalized == 95 / 180 and row.votes_log == pytest.approx(math.log(1001))
 
 
 def test_requests_and_titles_get_the_same_features(spark):
