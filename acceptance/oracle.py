@@ -416,6 +416,8 @@ ORACLE: dict[str, str] = {
     "sink_sample_csv": sql(f"select * from cleaned {SAMPLE_ORDER}"),
     "sink_metrics_json": REGRESSION_SQL,
     "regression_metrics": REGRESSION_SQL,
+    "model_reloaded": sql("""select count(*) as test_rows, 0::bigint as differing_rows
+      from split where split = 'test'"""),
     "score_features": request_features("training"),
     "score_features_service": request_features("service"),
     "score_features_client": request_features("client"),

@@ -268,12 +268,19 @@ def model_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predictions of a model that was stored and read again."""
+    """How many test rows a stored and reloaded model predicts differently: none."""
     model, _, rows = fitted(spark, sf_dir)
     path = scratch_path(spark, "model")
     model.save(path)
     again = models.RatingModel.load(spark, path)
-    return models.predictions(again, rows.filter(F.col("split") == "test"))
+    test = rows.filter(F.col("split") == "test")
+    both = models.predictions(model, test).select("tconst", "predicted").join(
+        models.predictions(again, test).select("tconst", F.col("predicted").alias("reloaded")),
+        "tconst")
+    return both.agg(
+        F.count("*").alias("test_rows"),
+        F.count_if(~F.col("predicted").eqNullSafe(F.col("reloaded"))).alias("differing_rows"),
+    )
 
 
 def model_history(spark: SparkSession, sf_dir: str) -> DataFrame:
