@@ -359,7 +359,9 @@ ORACLE: dict[str, str] = {
       union all select 'joined', count(*) from joined
       union all select 'clean', count(*) from cleaned
       union all select 'director_entries', count(*) from entries
-      union all select 'directors', count(*) from stats"""),
+      union all select 'directors', count(*) from stats
+      union all select 'enriched', count(*) from enriched
+      union all select 'features', count(*) from features"""),
     "value_counts": group("rating_tier", "count(*) as count"),
     "value_counts_recent": group("decade", "count(*) as count", "decade >= 1980"),
     "describe_target": sql("""select count(target_rating) as n, min(target_rating) as min,

@@ -124,7 +124,8 @@ def reliable_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.stage_counts(
-        analog.titles(spark, sf_dir), analog.ratings(spark, sf_dir), analog.credits(spark, sf_dir)
+        analog.titles(spark, sf_dir), analog.ratings(spark, sf_dir), analog.credits(spark, sf_dir),
+        enriched=enriched(spark, sf_dir), features=features(spark, sf_dir),
     )
 
 

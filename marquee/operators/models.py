@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -142,14 +143,15 @@ def regression_metrics(predicted: DataFrame, label: str = LABEL,
                        prediction: str = "prediction") -> DataFrame:
     """RMSE, R², MAE and the rows they rest on, in one pass.
 
-    R² is taken from the variance, which Spark merges without cancellation.
+    R² is taken from the variance, which Spark merges without cancellation. It is null where
+    the label does not vary.
     """
     y = F.col(label).cast("double")
     error = y - F.col(prediction).cast("double")
     return predicted.agg(
         F.count("*").alias("test_rows"),
         F.sqrt(F.avg(error * error)).alias("rmse"),
-        (1 - F.avg(error * error) / F.var_pop(y)).alias("r2"),
+        (1 - F.try_divide(F.avg(error * error), F.var_pop(y))).alias("r2"),
         F.avg(F.abs(error)).alias("mae"),
     )
 
@@ -201,10 +203,7 @@ def train_version(version: Version, matrix: DataFrame,
 
 def history(metrics: Sequence[DataFrame]) -> DataFrame:
     """The metrics of several versions as one table, in version order."""
-    result = metrics[0]
-    for row in metrics[1:]:
-        result = result.unionByName(row)
-    return result.orderBy("version")
+    return reduce(DataFrame.unionByName, metrics).orderBy("version")
 
 
 def best_version(metrics: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,8 +13,8 @@ from marquee.operators import cleaning, reports
 
 
 def completeness(column: str, digits: int = 2) -> Column:
-    """Percentage of rows in which ``column`` has a value."""
-    return F.round(F.count(column) * F.lit(100.0) / F.count("*"), digits)
+    """Percentage of rows in which ``column`` has a value; null if there are no rows."""
+    return F.round(F.try_divide(F.count(column) * F.lit(100.0), F.count("*")), digits)
 
 
 def completeness_report(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -51,8 +52,9 @@ def dq_by_decade(cleaned: DataFrame) -> DataFrame:
     ).orderBy("decade")
 
 
-def stage_counts(titles: DataFrame, ratings: DataFrame, credits: DataFrame) -> DataFrame:
-    """Rows at each stage of the jobs, one row per stage.
+def stage_counts(titles: DataFrame, ratings: DataFrame, credits: DataFrame,
+                 **later: DataFrame) -> DataFrame:
+    """Rows at each stage of the jobs, one row per stage; ``later`` names further stages.
 
     Each source is scanned once per join it takes part in; there is no action per stage.
     """
@@ -64,16 +66,14 @@ def stage_counts(titles: DataFrame, ratings: DataFrame, credits: DataFrame) -> D
         F.count_if(F.col("titletype") == V.MOVIE_TYPE).alias("movies"),
     )
     directed = credits.filter(F.col("category") == V.DIRECTOR_CATEGORY)
-    entries = directed.agg(F.count("*").alias("director_entries"))
     # a director counts when at least one of their titles is rated
     rated = directed.join(ratings.select("tconst"), "tconst", "left_semi")
     directors = rated.agg(F.count_distinct("nconst").alias("directors"))
-    parts = [basics, ratings.agg(F.count("*").alias("ratings")), joined, entries, directors]
-    long = [p.unpivot([], p.columns, "stage", "row_count") for p in parts]
-    result = long[0]
-    for part in long[1:]:
-        result = result.unionByName(part)
-    return result
+    plain = {"ratings": ratings, "director_entries": directed, **later}
+    counts = [df.agg(F.count("*").alias(stage)) for stage, df in plain.items()]
+    long = [c.unpivot([], c.columns, "stage", "row_count")
+            for c in (basics, joined, directors, *counts)]
+    return reduce(DataFrame.unionByName, long)
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

@@ -55,6 +55,12 @@ def test_metrics_against_numpy(spark):
     assert row.mae == pytest.approx(np.mean(np.abs(y - p)))
 
 
+def test_r2_is_null_for_a_constant_label(spark):
+    df = spark.createDataFrame([(5.0, 4.0), (5.0, 6.0)], "target_rating double, prediction double")
+    row = models.regression_metrics(df).first()
+    assert row.r2 is None and row.rmse == 1.0
+
+
 def test_stored_model_predicts_the_same(spark, signal, model, tmp_path):
     model.save(str(tmp_path / "m"))
     model.save(str(tmp_path / "m"))  # overwrites

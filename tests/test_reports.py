@@ -78,6 +78,13 @@ def test_health_and_completeness(cleaned):
     assert by_decade[1990].runtime_completeness == 100.0
 
 
+def test_an_empty_table_has_no_completeness(cleaned):
+    none = cleaned.filter("false")
+    assert quality.dq_completeness(none).first().title_completeness is None
+    assert quality.dq_health(none).first().total_records == 0
+    assert quality.dq_by_decade(none).count() == reports.tier_share(none).count() == 0
+
+
 def test_search_treats_missing_names_as_no_match(spark):
     found = reports.title_search(titles(spark), "Edge").collect()
     assert {r.tconst for r in found} == {"tt02", "tt03", "tt04"}
