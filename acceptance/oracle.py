@@ -432,6 +432,8 @@ ORACLE: dict[str, str] = {
         from requests where request_id % 29 <> 0 and genres is not null and request_id % 31 = 0"""),
     "score_error": SCORED_SQL,
     "score_error_stream": SCORED_SQL,
+    "score_requests_stream": sql(
+        "select count(*) as requests, 0::bigint as differing_rows from filled"),
     "score_json": sql(f"""select request_id, '{{"predicted_rating":' || predicted_rating
       || ',"is_high_rated":' || is_high_rated || ',"confidence_tier":"' || confidence_tier
       || '","input":{{' || {request_text()} || '}}}}' as response

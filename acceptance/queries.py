@@ -337,6 +337,25 @@ def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.scoring_error(scored)
 
 
+def model_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many requests a model rates differently on a stream than in a batch: none."""
+    model = fitted(spark, sf_dir)[0]
+
+    def rated(source: Query) -> DataFrame:
+        wanted = scoring.accepted(scoring.validate(source(spark, sf_dir)))
+        scored = scoring.score_requests(wanted, model.transform, model.bins)
+        return scored.select("request_id", "predicted_rating", "confidence_tier")
+
+    batch = rated(analog.requests)
+    streamed = updates.run_rows(rated(analog.request_stream), "rated")
+    both = batch.join(streamed.select("request_id", F.struct(
+        "predicted_rating", "confidence_tier").alias("streamed")), "request_id")
+    same = F.struct("predicted_rating", "confidence_tier").eqNullSafe(F.col("streamed"))
+    return both.agg(
+        F.count("*").alias("requests"), F.count_if(~same).alias("differing_rows")
+    )
+
+
 def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = scoring.accepted(scoring.validate(analog.request_stream(spark, sf_dir)))
     scored = scoring.score_requests(wanted, simple_predictor, variant="service")
@@ -448,6 +467,7 @@ QUERIES: dict[str, Query] = {
     "score_json": score_json,
     "score_requests": score_requests,
     "score_error_stream": score_stream,
+    "score_requests_stream": model_stream,
     # job metrics
     "metric_sum_5m": metric_sums,
     "metric_sum_5m_stream": metric_sums_stream,

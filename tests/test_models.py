@@ -116,7 +116,8 @@ def test_versions():
 
 
 def test_best_version_has_the_highest_r2(spark):
-    rows = spark.createDataFrame([("v1", 0.3), ("v4", 0.6), ("v2", 0.5)], "version string, r2 double")
+    rows = spark.createDataFrame(
+        [("v1", 0.3), ("v4", 0.6), ("v2", 0.5)], "version string, r2 double")
     assert models.best_version(rows).first().version == "v4"
     ordered = models.history([rows.filter("version = 'v4'"), rows.filter("version = 'v1'")])
     assert [r.version for r in ordered.collect()] == ["v1", "v4"]
