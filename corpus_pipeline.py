@@ -1,22 +1,55 @@
-"""A training corpus in five stages, each one operator of ``marquee.llm``."""
+"""A training corpus in five stages, each one operator of ``marquee.llm``.
+
+Each stage gets the session, what the stage before it kept, and the folder of the tables. All
+but the last give back the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marquee.llm import quality
+from marquee.llm import decontaminate, quality, sentence_pieces, simhash, suffixes
 from marquee.llm.common import load
 from marquee.sources.tables import materialize
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Quality rules: documents they reject go."""
+    """Quality rules: documents that they reject go."""
     return quality.keep_good(docs)
 
 
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SimHash near-duplicates: of each group the document with the least doc_id stays."""
+    return simhash.keep_one(docs, simhash.SHINGLE, simhash.DISTANCE)
+
+
+def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 400 bytes found twice or more are cut out; every document stays."""
+    return suffixes.without_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that have the question and answer of a benchmark item go."""
+    return decontaminate.keep_clean(docs, decontaminate.halves(load(spark, sf_dir, "benchmark")))
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of whole texts, and the texts they decode to."""
+    return sentence_pieces.encode(docs, carry=True).select(
+        "doc_id", "row.lang", "row.source", F.size("ids").cast("long").alias("n_tokens"), "ids",
+        F.col("decoded").alias("text"))
+
+
 STAGES = [
     ("quality", good),
+    ("simhash", distinct),
+    ("suffixes", unrepeated),
+    ("decontaminate", clean),
+    ("sentencepiece", encoded),
 ]
+# Fingerprints, byte windows and piece merges are beyond SQL; tests hold the rows against a
+# brute-force version.
 ORACLE_SQL = None
 
 

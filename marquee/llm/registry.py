@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
-from marquee.llm import decontaminate, quality, sentence_pieces, simhash, token_counts, token_store, warc
+from marquee.llm import (
+    decontaminate, licences, quality, sentence_pieces, sharding, simhash, suffixes, token_counts, token_store, warc,
+)
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_token_ids": token_store.op3_token_ids,
     "op4_warc": warc.op4_warc,
+    "op5_suffix_array": suffixes.op5_suffix_array,
     "op6_sentencepiece": sentence_pieces.op6_sentencepiece,
+    "op7_sharding": sharding.op7_sharding,
+    "op8_licences": licences.op8_licences,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_quality_rules": quality.op10_quality_rules,
 }
 ORACLE = {
     "op2_decontaminate": decontaminate.LEAK_SQL,
     "op4_warc": warc.WARC_SQL,
+    "op8_licences": licences.LICENCE_SQL,
     "op10_quality_rules": quality.QUALITY_SQL,
 }

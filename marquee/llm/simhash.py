@@ -306,16 +306,11 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return pairs.union(starred.distinct())
 
 
-def grouped(documents: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
-            carry: bool = False) -> DataFrame:
-    """Each document's ``fp`` and ``component_id``, the least doc_id it is linked to.
-
-    Equal fingerprints link, too, and so do chains of links. Texts without words, null ones
-    included, share the fingerprint 0 and link like others. Rows repeated with the same doc_id
-    stay as many rows; null doc_ids do not count as least, so a group of nothing else has a
-    null component. An empty table gives an empty one. With ``carry`` the result also has the
-    input's ``row`` and ``uid``, a number of its own for each row.
+def fingerprint_groups(documents: DataFrame, shingle: int, distance: int,
+                       carry: bool) -> tuple[DataFrame, DataFrame]:
+    """Stored tables: a row per document with its ``fp``, and each fp's label and component.
 
+    With ``carry`` the former also has the input's ``row``, and ``uid``, a number of its own.
     Copies are reduced to one fingerprint before anything is compared, with a map-side
     combine, and only distinct fingerprints are indexed, probed and linked.
     """
@@ -325,24 +320,37 @@ def grouped(documents: DataFrame, shingle: int = SHINGLE, distance: int = DISTAN
     marked = materialize(marked, "fingerprints")
     distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     labels = components(links(distinct, distance))
-    labelled = distinct.join(labels, distinct.fp == labels.node, "left").select(
-        "fp", "least", F.coalesce("label", "fp").alias("label"))
-    labelled = materialize(labelled, "labelled")
-    least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    least = materialize(least, "least")
-    by_print = materialize(labelled.join(least, "label").select("fp", "label", "component_id"), "groups")
-    return marked.join(by_print, "fp")
+    labelled = materialize(distinct.join(labels, distinct.fp == labels.node, "left").select(
+        "fp", "least", F.coalesce("label", "fp").alias("label")), "labelled")
+    least = materialize(
+        labelled.groupBy("label").agg(F.min("least").alias("component_id")), "least")
+    return marked, materialize(labelled.join(least, "label").select("fp", "label", "component_id"), "groups")
+
+
+def grouped(documents: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """Each document's ``fp`` and ``component_id``, the least doc_id it is linked to.
+
+    Equal fingerprints link, too, and so do chains of links. Texts without words, null ones
+    included, share the fingerprint 0 and link like others. Rows repeated with the same doc_id
+    stay as many rows; null doc_ids do not count as least, so a group of nothing else has a
+    null component. An empty table gives an empty one. Other columns are not read.
+    """
+    marked, groups = fingerprint_groups(documents, shingle, distance, carry=False)
+    return marked.join(groups, "fp")
 
 
 def keep_one(documents: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One document of each group, columns unchanged: that with the least doc_id.
 
-    Of rows that repeat it, or if a group has null doc_ids only, any one row stays.
+    Of rows that repeat it, or if a group has null doc_ids only, any one row stays. Which rows
+    stay is settled on narrow rows; the documents themselves move once, to be picked.
     """
-    rows = materialize(grouped(documents, shingle, distance, carry=True), "grouped")
+    marked, groups = fingerprint_groups(documents, shingle, distance, carry=True)
     rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("uid"))
-    first = rows.groupBy("label").agg(F.min(rank).alias("first")).select(F.col("first.uid").alias("uid"))
-    return rows.join(first, "uid", "left_semi").select("row.*")
+    first = (marked.select("fp", "doc_id", "uid").join(groups, "fp").groupBy("label")
+             .agg(F.min(rank).alias("first")).select(F.col("first.uid").alias("uid")))
+    kept = materialize(first, "kept")
+    return marked.select("uid", "row").join(kept, "uid", "left_semi").select("row.*")
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
