@@ -186,12 +186,12 @@ WITH files AS (
     SELECT doc_id, coalesce(lower(text), '') AS text,
       {PATH_SQL.replace("DIV", "//").replace("AS string", "AS VARCHAR")} AS path FROM documents),
   words AS (
-    SELECT template, licence, unnest(list_filter(regexp_split_to_array(lower(t), '[^0-9a-z]+'), x -> x <> '')) AS word
+    SELECT template, licence, unnest(list_filter(regexp_split_to_array(lower(t), '[^0-9a-z]+'), lambda x: x <> '')) AS word
     FROM (VALUES {_values([(n, *t) for n, t in enumerate(TEMPLATES)])}) v(template, licence, t)),
   total AS (SELECT count(*) AS n FROM files),
   present AS (
     SELECT word, count(*) AS df FROM (
-      SELECT DISTINCT doc_id, unnest(list_filter(regexp_split_to_array(text, '[^0-9a-z]+'), x -> x <> '')) AS word
+      SELECT DISTINCT doc_id, unnest(list_filter(regexp_split_to_array(text, '[^0-9a-z]+'), lambda x: x <> '')) AS word
       FROM files) GROUP BY word),
   idf AS (
     SELECT word, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf
@@ -205,7 +205,7 @@ WITH files AS (
     FROM (SELECT doc_id, string_split(regexp_replace(text, '([.;!?]) +', '\\1' || chr(10), 'g'), chr(10)) AS p FROM files)),
   counted AS (
     SELECT doc_id, line, word, count(*) AS c FROM (
-      SELECT doc_id, line, unnest(list_filter(regexp_split_to_array(passage, '[^0-9a-z]+'), x -> x <> '')) AS word
+      SELECT doc_id, line, unnest(list_filter(regexp_split_to_array(passage, '[^0-9a-z]+'), lambda x: x <> '')) AS word
       FROM lines) GROUP BY ALL),
   weighted AS (
     SELECT doc_id, line, word, c * coalesce(idf, ln(1 + n) + 1) AS w FROM counted LEFT JOIN idf USING (word), total),
