@@ -85,16 +85,27 @@ REQUEST_COLUMNS = [
     _unless_every(19, "(o_custkey % 21) / 20D") + " AS director_hit_rate",
     f"CASE WHEN {RATED} THEN cast({RATING} AS double) END AS actual",
 ]
-# JSON requests: every 29th is cut off, every 31st has a year that is no number.
-JSON_COLUMNS = [
-    "request_id",
-    """CASE WHEN request_id % 29 = 0 THEN '{"genres": "Drama"'
-    ELSE to_json(struct(genres, runtime, num_votes, director_avg_rating, director_hit_rate,
-      CASE WHEN request_id % 31 = 0 THEN 'unknown' ELSE cast(year AS string) END AS year))
-    END AS request""",
+# JSON requests as clients write them: with spaces, keys in any order, decimals, unknown keys,
+# whole numbers as text. Of the others, by request_id: cut off, with text after the object, a
+# list, a key given twice, a null, a year that is no number, or is a decimal number as text.
+JSON_FIELDS = """concat_ws(', ',
+      '"runtime" : ' || runtime, '"genres": "' || genres || '"', '"num_votes":' || num_votes,
+      '"director_avg_rating":' || cast(director_avg_rating AS string), '"note": {"b": 1.0, "a": [1, 2]}',
+      '"director_hit_rate": ' || cast(director_hit_rate AS string), '"year":"' || year || '"')"""
+JSON_CASES = [
+    (29, """'{"genres": "Drama"'"""), (31, """'{"genres": "Drama"} xyz'"""), (37, """'["genres"]'"""),
+    (41, """'{"genres":"Drama","genres":"Comedy"}'"""), (43, """'{"genres": null, "year": 1999}'"""),
+    (47, """'{"genres": "Drama", "year": "unknown"}'"""), (53, """'{"genres": "Drama", "year": "90.7"}'"""),
+    (59, """'{"genres": "Drama", "runtime": null}'"""), (61, """'{ "year" : 1990.7 , "genres" : "War" }'"""),
+    (67, """'{"genres": 7}'"""), (71, """'{}'"""),
 ]
+JSON_TEXT = ("CASE " + " ".join(f"WHEN request_id % {n} = 0 THEN {text}" for n, text in JSON_CASES)
+             + " ELSE '{ ' || " + JSON_FIELDS + " || '}' END")
+JSON_COLUMNS = ["request_id", f"{JSON_TEXT} AS request"]
+# Event times carry no zone; they are read as UTC whatever zone the session has.
 METRIC_COLUMNS = [
-    "cast(ts AS timestamp) AS ts", "event_type AS job",
+    """timestamp_micros(timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts))
+    AS ts""", "event_type AS job",
     "CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS completed",
     "CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS failed",
     "value AS elapsed",
@@ -126,16 +137,9 @@ def request_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests(spark, sf_dir).selectExpr(*JSON_COLUMNS)
 
 
-def utc(spark: SparkSession) -> None:
-    """Event times carry no zone; read them as UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
 def job_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    utc(spark)
     return load(spark, sf_dir, "events").selectExpr(*METRIC_COLUMNS)
 
 
 def job_metrics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    utc(spark)
     return load_stream(spark, sf_dir, "events").selectExpr(*METRIC_COLUMNS)

@@ -281,24 +281,58 @@ def right_closed() -> str:
     return sql(f"select tconst, {', '.join(parts)} from cleaned")
 
 
-def request_text() -> str:
-    """A request's JSON with keys in alphabetical order and absent values left out."""
-    def field(name: str, value: str, present: str) -> str:
-        return f"case when {present} is not null then '\"{name}\":' || {value} end"
-
-    # whole decimals lose their trailing zero when JSON numbers are read exactly
-    def number(name: str) -> str:
-        return f"regexp_replace(cast({name} as varchar), '\\.0$', '')"
-
-    fields = [
-        field("director_avg_rating", number("director_avg_rating"), "director_avg_rating"),
-        field("director_hit_rate", number("director_hit_rate"), "director_hit_rate"),
-        field("genres", "'\"' || genres || '\"'", "genres"),
-        field("num_votes", "num_votes", "num_votes"),
-        field("runtime", "runtime", "runtime"),
-        field("year", "'\"' || year || '\"'", "year"),
-    ]
-    return "concat_ws(',', " + ", ".join(fields) + ")"
+# The text of a request, as it was written; the first case whose number divides request_id.
+PLAIN_TEXT = """'{ ' || concat_ws(', ', '"runtime" : ' || runtime, '"genres": "' || genres || '"',
+  '"num_votes":' || num_votes, '"director_avg_rating":' || director_avg_rating,
+  '"note": {"b": 1.0, "a": [1, 2]}', '"director_hit_rate": ' || director_hit_rate,
+  '"year":"' || year || '"') || '}'"""
+DECIMAL_TEXT = """'{ "year" : 1990.7 , "genres" : "War" }'"""
+REFUSED = [
+    (29, "request is not valid JSON", 500), (31, "request is not valid JSON", 500),
+    (37, "request is not valid JSON", 500), (41, "request is not valid JSON", 500),
+    (43, "genres cannot be read", 500), (47, "year cannot be read", 500),
+    (53, "year cannot be read", 500), (59, "runtime cannot be read", 500), (61, None, 200),
+    (67, "genres cannot be read", 500), (71, "genres field required", 400),
+]
+
+
+def refused(item: int) -> str:
+    """Of a request's error (1) or status (2), by its number."""
+    cases = " ".join(
+        f"when request_id % {r[0]} = 0 then " + ("null" if r[item] is None else repr(r[item])) for r in REFUSED)
+    rest = "'genres field required'" if item == 1 else "400"
+    return f"case {cases} when genres is null then {rest} else {'null' if item == 1 else '200'} end"
+
+
+# The versions: name, population, features, rounds; and the rows they are fitted and tested on.
+FITS = """select version, population, n_features, rounds,
+    count(*) filter (where split = 'train') as train_rows,
+    count(*) filter (where split = 'test') as test_rows, true as sound
+  from (values ('v1', 'all', 28, 200), ('v2', 'all', 37, 500), ('v3', 'reliable', 37, 500),
+      ('v4-full', 'all', 43, 500), ('v4-filtered', 'reliable', 43, 500))
+      v(version, population, n_features, rounds)
+    join (select tconst, split, numvotes >= 49999 as reliable from cleaned join split using (tconst))
+      on population = 'all' or reliable
+  group by version, population, n_features, rounds"""
+FITS = f"select * from ({FITS})"
+PREDICTED = """select tconst, primarytitle, averagerating as actual, true as agrees
+  from cleaned join split using (tconst) where split = 'test'"""
+# one split: the flag that leaves the least squared error, and the mean on either side of it
+STUMP = f"""select tconst, round(case when on_side then mean_on else mean_off end, 6) as predicted from (
+  select * from (
+    select t.tconst, t.flag, t.set as on_side, best.mean_on, best.mean_off
+    from (unpivot (select tconst, split, {{flags}} from features join split using (tconst)) on {{names}}
+          into name flag value set) t
+    join (
+      select flag, avg(y) filter (where set = 1) as mean_on, avg(y) filter (where set = 0) as mean_off
+      from (unpivot (select cast(target_rating as double) as y, {{flags}} from features
+            join split using (tconst) where split = 'train') on {{names}} into name flag value set)
+      group by flag
+      order by power(sum(y) filter (where set = 1), 2) / count(*) filter (where set = 1)
+        + power(sum(y) filter (where set = 0), 2) / count(*) filter (where set = 0) desc nulls last
+      limit 1) best using (flag)
+    where split = 'test'))"""
+STUMP = STUMP.format(flags=", ".join(V.GENRE_FLAGS), names=", ".join(V.GENRE_FLAGS))
 
 
 # written to text and read back, these get the double nearest to their short form
@@ -415,31 +449,61 @@ ORACLE: dict[str, str] = {
         f"cast({f'cast({c} as varchar)' if c in FLOATS else c} as double) as {c}"
         for c in ["target_rating", *V.FULL_FEATURES])
         + f" from (select {columns(MATRIX_COLUMNS)} from matrix)"),
-    "sink_sample_csv": sql(f"select * from cleaned {SAMPLE_ORDER}"),
+    "sink_sample_csv": sql(f"""select *, case tconst % 7 when 0 then '  lead' when 1 then 'trail  '
+      when 2 then '' when 3 then 'line' || chr(10) || 'break' when 4 then 'a "quote", a comma'
+      when 5 then 'back' || chr(92) || 'slash' end as note from cleaned {SAMPLE_ORDER}"""),
     "sink_metrics_json": REGRESSION_SQL,
     "regression_metrics": REGRESSION_SQL,
+    "feature_audit": sql(f"""select (select count(*) from features) as row_count,
+      unnest([{", ".join(f"'{c}'" for c in V.FULL_FEATURES if c not in V.BASE_FEATURES)}]) as missing"""),
+    "add_if_absent": sql("""select tconst, -1.0::double as popularity_score, long_drama,
+      votes_log_binned from matrix"""),
+    "model_fit": sql(FITS + " where version = 'v4-full'"),
+    "model_fit_v1": sql(FITS + " where version = 'v1'"),
+    "model_fit_v2": sql(FITS + " where version = 'v2'"),
+    "model_fit_v3": sql(FITS + " where version = 'v3'"),
+    "model_fit_v4_filtered": sql(FITS + " where version = 'v4-filtered'"),
+    "model_history": sql(FITS),
+    "model_best": sql("select 'all' as population, 3::bigint as versions, true as is_best"),
+    "model_record": sql("select 43 as n_features, true as agrees"),
+    "model_importance": sql(
+        "select 43::bigint as n_features, 1.0::double as total, 10 as n_top, true as ordered"),
+    "model_curve": sql("select cast(unnest(range(1, 501)) as integer) as round, true as sound"),
+    "model_predictions": sql(PREDICTED),
+    "model_sample": sql(PREDICTED + " order by md5('42:' || tconst), tconst limit 8"),
+    "model_stump": sql(STUMP),
     "model_reloaded": sql("""select count(*) as test_rows, 0::bigint as differing_rows
       from split where split = 'test'"""),
     "score_features": request_features("training"),
     "score_features_service": request_features("service"),
     "score_features_client": request_features("client"),
-    "score_rejects": sql("""
-      select request_id, 'request is not valid JSON' as error, 500 as status_code
-        from requests where request_id % 29 = 0
-      union all select request_id, 'genres field required', 400
-        from requests where request_id % 29 <> 0 and genres is null
-      union all select request_id, 'year cannot be read', 500
-        from requests where request_id % 29 <> 0 and genres is not null and request_id % 31 = 0"""),
+    "score_rejects": sql(f"""select *, '{{"error":"' || error || '"}}' as response from (
+      select request_id, {refused(1)} as error, {refused(2)} as status_code from requests)
+      where error is not null"""),
+    "score_requests": sql(
+        "select request_id, genres, year, actual, true as agrees from requests where genres is not null"),
+    "score_client": sql("""select request_id, p as predicted_rating, p >= 7 as is_high_rated,
+      case when p < 5 then 'poor' when p < 7 then 'average' when p < 8 then 'good'
+           else 'excellent' end as confidence_tier
+      from (select request_id, round(a * 1.25 - 1.5 + case when v >= 10000 then 0.5 else 0 end, 2) as p
+            from filled_client)"""),
     "score_error": SCORED_SQL,
     "score_error_stream": SCORED_SQL,
     "score_requests_stream": sql(
         "select count(*) as requests, 0::bigint as differing_rows from filled"),
-    "score_json": sql(f"""select request_id, '{{"predicted_rating":' || predicted_rating
-      || ',"is_high_rated":' || is_high_rated || ',"confidence_tier":"' || confidence_tier
-      || '","input":{{' || {request_text()} || '}}}}' as response
-      from scored where request_id % 29 <> 0 and request_id % 31 <> 0"""),
+    "score_json": sql(f"""select request_id, 200 as status_code, case when decimal then
+        '{{"predicted_rating":6.0,"is_high_rated":false,"confidence_tier":"average","input":'
+          || {DECIMAL_TEXT} || '}}'
+      else '{{"predicted_rating":' || predicted_rating || ',"is_high_rated":' || is_high_rated
+        || ',"confidence_tier":"' || confidence_tier || '","input":' || {PLAIN_TEXT} || '}}'
+      end as response
+      from (select r.*, request_id % 61 = 0 as decimal, {refused(1)} as error from requests r)
+        left join (select request_id, predicted_rating, is_high_rated, confidence_tier from scored)
+        using (request_id)
+      where error is null"""),
     "metric_sum_5m": sql(METRIC_SUMS),
     "metric_sum_5m_stream": sql(METRIC_SUMS),
+    "metric_sum_5m_batches": sql(METRIC_SUMS),
     "metric_avg_5m": sql("""select window_start, job, round(avg(value), 6) as avg_elapsed
       from metrics group by all"""),
     "metric_avg_daily": sql("""select day_start as window_start,

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acceptance import analog
@@ -21,8 +20,6 @@ from marquee.streaming import job_metrics, updates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Boosting rounds of the model queries: enough to exercise a fit, few enough to repeat it.
-ROUNDS = 5
 LOGS = ("votes_log", "votes_log_squared", "director_votes_log")
 
 
@@ -75,8 +72,15 @@ def on_cleaned(operator: Callable[..., DataFrame], *args) -> Query:
 
 
 def view(name: str) -> Query:
+    """A catalog view over the cleaned table, which is stored once per session and folder."""
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        catalog.register_views(cleaned(spark, sf_dir))
+        def make():
+            path = scratch_path(spark, "warehouse")
+            tables.write_cleaned(cleaned(spark, sf_dir), path)
+            return path
+
+        path = once(spark, sf_dir, "warehouse", make)
+        catalog.register_stored(spark, path, "stored_cleaned")
         return spark.sql(f"SELECT * FROM {name}")
     return query
 
@@ -110,6 +114,20 @@ def right_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def feature_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of the 43 features the base matrix lacks."""
+    missing = tables.missing_columns(features(spark, sf_dir), V.FULL_FEATURES)
+    base = features(spark, sf_dir).agg(F.count("*").alias("row_count"))
+    return base.select("row_count", F.explode(F.array(*map(F.lit, missing))).alias("missing"))
+
+
+def add_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interaction features added beside one that is there already, which stays."""
+    base = features(spark, sf_dir).withColumn("popularity_score", F.lit(-1.0))
+    return matrix.with_interactions(base, vote_bins(spark, sf_dir)).select(
+        "tconst", "popularity_score", "long_drama", "votes_log_binned")
+
+
 def split_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matrix.with_split(cleaned(spark, sf_dir)).select("tconst", "split")
 
@@ -124,8 +142,7 @@ def reliable_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.stage_counts(
-        analog.titles(spark, sf_dir), analog.ratings(spark, sf_dir), analog.credits(spark, sf_dir),
-        enriched=enriched(spark, sf_dir), features=features(spark, sf_dir),
+        analog.titles(spark, sf_dir), analog.ratings(spark, sf_dir), analog.credits(spark, sf_dir)
     )
 
 
@@ -153,7 +170,8 @@ def store_tsv(df: DataFrame, names: dict[str, str], path: str) -> None:
     """Write a raw file the way it is published: gzip, tabs, no quotes, ``\\N``."""
     raw = df.select([F.col(old).cast("string").alias(new) for old, new in names.items()])
     (raw.write.option("sep", "\t").option("header", True).option("nullValue", V.NULL_MARKER)
-        .option("quote", "").option("compression", "gzip").csv(path))
+        .option("quote", "").option("emptyValue", "").option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False).option("compression", "gzip").csv(path))
 
 
 def cleaned_from_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,9 +224,14 @@ def training_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).csv(path)
 
 
+# Text that a careless CSV would change.
+NOTE = """CASE tconst % 7 WHEN 0 THEN '  lead' WHEN 1 THEN 'trail  ' WHEN 2 THEN '' WHEN 3 THEN
+  'line\nbreak' WHEN 4 THEN 'a "quote", a comma' WHEN 5 THEN 'back\\\\slash' END"""
+
+
 def sample_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "sample")
-    chosen = sampling.sample_n(cleaned(spark, sf_dir), 1000)
+    chosen = sampling.sample_n(cleaned(spark, sf_dir), 1000).withColumn("note", F.expr(NOTE))
     tables.write_sample_csv(chosen, path)
     return tables.read_sample_csv(spark, path, chosen.schema)
 
@@ -233,39 +256,115 @@ def metrics_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(metrics.schema).json(path)
 
 
+# What a session has stored or fitted for a folder of tables: kept by application and folder.
+_kept: dict[tuple[str, str, str], object] = {}
+
+
+def once(spark: SparkSession, sf_dir: str, label: str, make: Callable[[], object]):
+    """What ``make`` gives, made once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, label)
+    if key not in _kept:
+        _kept[key] = make()
+    return _kept[key]
+
+
 def stored_matrix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, EqualWidthBins]:
-    bins = vote_bins(spark, sf_dir)
-    full = matrix.training_matrix_in_one_pass(enriched(spark, sf_dir), bins)
-    return tables.materialize(matrix.with_split(full), "training"), bins
+    def make():
+        bins = vote_bins(spark, sf_dir)
+        full = matrix.training_matrix_in_one_pass(enriched(spark, sf_dir), bins)
+        path = scratch_path(spark, "training")
+        tables.write_split(matrix.with_split(full), path)
+        return path, bins
 
+    path, bins = once(spark, sf_dir, "training", make)
+    return tables.read_table(spark, path), bins
 
-def short(version: models.Version) -> models.Version:
-    return replace(version, settings=replace(version.settings, rounds=ROUNDS))
 
+def fitted(spark: SparkSession, sf_dir: str,
+           name: str = "v4-full") -> tuple[models.RatingModel, DataFrame, DataFrame]:
+    """A version fitted at its published settings, its metrics, and all rows.
 
-def fitted(spark: SparkSession, sf_dir: str) -> tuple[models.RatingModel, DataFrame, DataFrame]:
+    Each version is fitted once per session and folder; its model and metrics are stored in
+    the shared folder, and the queries load them.
+    """
     rows, bins = stored_matrix(spark, sf_dir)
-    full = next(v for v in models.VERSIONS if v.name == "v4-full")
-    model, metrics = models.train_version(short(full), rows, bins)
-    return model, metrics, rows
+    version = next(v for v in models.VERSIONS if v.name == name)
+
+    def make():
+        path = scratch_path(spark, name)
+        model, metrics = models.train_version(version, rows, bins)
+        model.save(f"{path}/model")
+        tables.write_record(metrics, f"{path}/metrics")
+        return path
+
+    path = once(spark, sf_dir, name, make)
+    metrics = spark.read.schema(models.METRICS).json(f"{path}/metrics")
+    return models.RatingModel.load(spark, f"{path}/model"), metrics, rows
+
+
+def test_rows(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("split") == "test")
+
+
+def is_finite(name: str) -> Column:
+    return F.col(name).isNotNull() & ~F.isnan(name) & (F.abs(name) != float("inf"))
+
+
+def fit_facts(metrics: DataFrame) -> DataFrame:
+    """What is known of a fit beforehand, and whether its scores are numbers in range."""
+    sound = is_finite("rmse") & is_finite("r2") & is_finite("mae") & (F.col("r2") <= 1) & (
+        F.col("mae") >= 0) & (F.col("mae") <= F.col("rmse"))
+    return metrics.select("version", "population", "n_features", "rounds", "train_rows",
+                          "test_rows", sound.alias("sound"))
+
+
+def prediction_facts(predicted: DataFrame) -> DataFrame:
+    """Titles and actual ratings, and whether the error follows from the prediction."""
+    agrees = is_finite("predicted") & (F.col("error") == F.abs(F.col("actual") - F.col("predicted")))
+    return predicted.select("tconst", "primarytitle", "actual", agrees.alias("agrees"))
 
 
-def model_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fitted(spark, sf_dir)[1]
+def model_fit(name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fit_facts(fitted(spark, sf_dir, name)[1])
+    return query
 
 
 def model_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.importances(fitted(spark, sf_dir)[0], 10)
+    """How many features have an importance, whether they are in order, and their sum."""
+    model = fitted(spark, sf_dir)[0]
+    every, top = models.importances(model), models.importances(model, 10)
+    listed = top.agg(F.collect_list("importance").alias("listed"))
+    ordered = (F.sort_array("listed", asc=False) == F.col("listed")).alias("ordered")
+    return every.agg(F.count_distinct("feature").alias("n_features"),
+                     F.round(F.sum("importance"), 6).alias("total")).join(
+        listed.select(F.size("listed").alias("n_top"), ordered))
 
 
 def model_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, _, rows = fitted(spark, sf_dir)
-    return models.predictions(model, rows.filter(F.col("split") == "test"))
+    return prediction_facts(models.predictions(model, test_rows(rows)))
 
 
 def model_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, _, rows = fitted(spark, sf_dir)
-    return models.sample_predictions(model, rows.filter(F.col("split") == "test"))
+    return prediction_facts(models.sample_predictions(model, test_rows(rows)))
+
+
+def model_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rounds of a fit, and whether each has an error on the test rows."""
+    model, _, rows = fitted(spark, sf_dir)
+    curve = models.learning_curve(model, test_rows(rows))
+    return curve.select("round", (is_finite("rmse") & (F.col("rmse") > 0)).alias("sound"))
+
+
+def model_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test predictions of one tree with one split on the genre flags, all rows and columns used."""
+    rows, bins = stored_matrix(spark, sf_dir)
+    plain = models.Boosting(rounds=1, depth=1, row_share=1.0, column_share=1.0)
+    model = models.fit(rows.filter(F.col("split") == "train"), V.GENRE_FLAGS, bins, plain)
+    predicted = models.predictions(model, test_rows(rows))
+    return predicted.select("tconst", F.round("predicted", 6).alias("predicted"))
 
 
 def model_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,7 +373,7 @@ def model_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "model")
     model.save(path)
     again = models.RatingModel.load(spark, path)
-    test = rows.filter(F.col("split") == "test")
+    test = test_rows(rows)
     both = models.predictions(model, test).select("tconst", "predicted").join(
         models.predictions(again, test).select("tconst", F.col("predicted").alias("reloaded")),
         "tconst")
@@ -284,15 +383,29 @@ def model_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.history([fitted(spark, sf_dir, v.name)[1] for v in models.VERSIONS])
+
+
 def model_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, bins = stored_matrix(spark, sf_dir)
-    return models.history([
-        models.train_version(short(v), rows, bins)[1] for v in models.VERSIONS
-    ])
+    return fit_facts(history(spark, sf_dir))
 
 
 def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.best_version(model_history(spark, sf_dir).filter(F.col("population") == "all"))
+    """Whether the version chosen has the highest R² of those on all titles."""
+    every = history(spark, sf_dir).filter(F.col("population") == "all")
+    most = every.agg(F.count("*").alias("versions"), F.max("r2").alias("most"))
+    return models.best_version(every).join(most).select(
+        "population", "versions", (F.col("r2") == F.col("most")).alias("is_best"))
+
+
+def best_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the record of the best model agrees with itself."""
+    record = models.best_record(history(spark, sf_dir))
+    both = F.greatest("full_dataset_r2", "filtered_dataset_r2")
+    named = F.when(F.col("filtered_dataset_r2") > F.col("full_dataset_r2"), "v4-filtered").otherwise("v4-full")
+    gain = F.col("improvement_over_first") == F.col("r2") - F.col("first_r2")
+    return record.select("n_features", ((F.col("r2") == both) & (F.col("best_model") == named) & gain).alias("agrees"))
 
 
 # --- scoring --------------------------------------------------------------
@@ -315,7 +428,7 @@ def request_features(variant: str) -> Query:
 
 def score_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = scoring.parse_requests(analog.request_json(spark, sf_dir))
-    return scoring.rejected(parsed).select("request_id", "error", "status_code")
+    return scoring.error_json(parsed).select("request_id", "error", "status_code", "response")
 
 
 def score_simple(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,14 +440,26 @@ def score_simple(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = scoring.accepted(scoring.parse_requests(analog.request_json(spark, sf_dir)))
     scored = scoring.score_requests(wanted, simple_predictor, variant="service")
-    return scoring.response_json(scored).select("request_id", "response")
+    return scoring.response_json(scored).select("request_id", "status_code", "response")
 
 
 def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests rated by the fitted model, and whether each response agrees with itself."""
     model = fitted(spark, sf_dir)[0]
     wanted = scoring.accepted(scoring.validate(analog.requests(spark, sf_dir)))
-    scored = scoring.score_requests(wanted, model.transform, model.bins)
-    return scoring.scoring_error(scored)
+    scored = scoring.scoring_error(scoring.score_requests(wanted, model.transform, model.bins))
+    rating = F.col("predicted_rating")
+    tier = F.when(rating < 5, "poor").when(rating < 7, "average").when(rating < 8, "good").otherwise("excellent")
+    agrees = rating.between(1, 10) & (F.col("is_high_rated") == (rating >= 7)) & (
+        F.col("confidence_tier") == tier) & F.col("error").eqNullSafe(F.abs(F.col("actual") - rating))
+    return scored.select("request_id", "genres", "year", "actual", agrees.alias("agrees"))
+
+
+def score_client(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The client variant does not keep ratings from 1 to 10."""
+    wanted = scoring.accepted(scoring.validate(analog.requests(spark, sf_dir)))
+    scored = scoring.score_requests(wanted, simple_predictor, variant="client")
+    return scored.select("request_id", "predicted_rating", "is_high_rated", "confidence_tier")
 
 
 def model_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -389,7 +514,24 @@ def metric_alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_alarms_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return job_metrics.alarms(metric_sums_stream(spark, sf_dir))
+    """Alarms raised within the stream, by the batch in which a window first fails."""
+    stream = analog.job_metrics_stream(spark, sf_dir).withWatermark("ts", "10 minutes")
+    raised = job_metrics.alarms(job_metrics.task_sums(stream))
+    return updates.run_updates(raised, ("window_start", "job"), "alarms")
+
+
+def replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored job metrics as a stream of several files, a micro-batch for each."""
+    path = scratch_path(spark, "replay")
+    metrics = analog.job_metrics(spark, sf_dir)
+    metrics.repartition(4).write.parquet(path)
+    stream = spark.readStream.schema(metrics.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return stream.withWatermark("ts", updates.disorder(metrics))
+
+
+def metric_sums_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sums = job_metrics.task_sums(replayed(spark, sf_dir))
+    return updates.run_updates(sums, ("window_start", "job"), "batches")
 
 
 QUERIES: dict[str, Query] = {
@@ -437,6 +579,8 @@ QUERIES: dict[str, Query] = {
     "equal_width_bins": equal_width_bins,
     "training_matrix": merged_matrix,
     "training_matrix_one_pass": over(full_matrix, rounded),
+    "feature_audit": feature_audit,
+    "add_if_absent": add_if_absent,
     "train_test_split": split_titles,
     "reliable_subset": reliable_titles,
     "sample_n": sample,
@@ -451,13 +595,20 @@ QUERIES: dict[str, Query] = {
     "sink_metrics_json": metrics_record,
     # models
     "regression_metrics": baseline_metrics,
-    "model_fit": model_fit,
+    "model_fit": model_fit("v4-full"),
+    "model_fit_v1": model_fit("v1"),
+    "model_fit_v2": model_fit("v2"),
+    "model_fit_v3": model_fit("v3"),
+    "model_fit_v4_filtered": model_fit("v4-filtered"),
     "model_importance": model_importance,
     "model_predictions": model_predictions,
     "model_sample": model_sample,
     "model_reloaded": model_reloaded,
     "model_history": model_history,
     "model_best": best_model,
+    "model_record": best_record,
+    "model_curve": model_curve,
+    "model_stump": model_stump,
     # scoring
     "score_features": request_features("training"),
     "score_features_service": request_features("service"),
@@ -465,12 +616,14 @@ QUERIES: dict[str, Query] = {
     "score_rejects": score_rejects,
     "score_error": score_simple,
     "score_json": score_json,
+    "score_client": score_client,
     "score_requests": score_requests,
     "score_error_stream": score_stream,
     "score_requests_stream": model_stream,
     # job metrics
     "metric_sum_5m": metric_sums,
     "metric_sum_5m_stream": metric_sums_stream,
+    "metric_sum_5m_batches": metric_sums_batches,
     "metric_avg_5m": metric_average,
     "metric_avg_daily": metric_daily,
     "metric_alarms": metric_alarms,

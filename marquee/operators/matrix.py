@@ -9,7 +9,6 @@ from marquee import vocabulary as V
 from marquee.functions import features as X
 from marquee.functions.bins import EqualWidthBins
 from marquee.functions.keys import percent_of
-from marquee.operators.joins import balanced_left_join
 from marquee.sources.tables import only_missing, require_columns
 
 
@@ -41,9 +40,12 @@ def interaction_matrix(features: DataFrame, bins: EqualWidthBins) -> DataFrame:
 
 
 def merge_directors(features: DataFrame, enriched: DataFrame) -> DataFrame:
-    """Bring director columns to a stored feature matrix by title."""
+    """Bring director columns to a stored feature matrix by title.
+
+    Both tables have a row per title, so no key can be hot and titles join as they are.
+    """
     slim = enriched.select("tconst", *V.DIRECTOR_FEATURES).dropDuplicates(["tconst"])
-    return balanced_left_join(features, slim, "tconst").na.fill(V.UNKNOWN_DIRECTOR)
+    return features.join(slim, "tconst", "left").na.fill(V.UNKNOWN_DIRECTOR)
 
 
 def training_matrix(features: DataFrame, enriched: DataFrame, bins: EqualWidthBins) -> DataFrame:

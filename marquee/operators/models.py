@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee import vocabulary as V
@@ -56,6 +56,10 @@ class Version:
     settings: Boosting
     reliable_only: bool = False
 
+    @property
+    def rounds(self) -> int:
+        return self.settings.rounds
+
     @property
     def population(self) -> str:
         return "reliable" if self.reliable_only else "all"
@@ -113,7 +117,7 @@ def fit(train: DataFrame, features: Sequence[str], bins: EqualWidthBins,
     lineage of hundreds of rounds stays short.
     """
     shared_dir(train.sparkSession)
-    filled = train.na.fill(0, list(features))
+    filled = gathered(train, features).na.fill(0, list(features))
     min_gain = 0.0
     if settings.min_gain_total:
         min_gain = 2 * settings.min_gain_total / max(rows or filled.count(), 1)
@@ -123,7 +127,7 @@ def fit(train: DataFrame, features: Sequence[str], bins: EqualWidthBins,
         maxIter=settings.rounds, maxDepth=settings.depth, stepSize=settings.rate,
         subsamplingRate=settings.row_share, featureSubsetStrategy=str(settings.column_share),
         minInstancesPerNode=settings.min_rows, minInfoGain=min_gain, seed=settings.seed,
-        validationTol=tolerance,
+        validationTol=tolerance, maxMemoryInMB=512,
     )
     if watch is not None:
         booster = booster.setValidationIndicatorCol(watch)
@@ -131,6 +135,28 @@ def fit(train: DataFrame, features: Sequence[str], bins: EqualWidthBins,
     return RatingModel(stages, list(features), bins)
 
 
+# Rows of a training matrix worth a task of their own.
+ROWS_PER_TASK = 20_000
+
+
+def gathered(train: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The columns a fit reads, in no more partitions than there is work for.
+
+    Every level of every tree is a job over all partitions, so of a small matrix in many
+    partitions, most of the time would go into starting tasks; and of a large one in few, most
+    cores would wait.
+    """
+    wanted = train.select(*dict.fromkeys([LABEL, *features, *_flags(train)]))
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, -(-train.count() // ROWS_PER_TASK))
+    return wanted.coalesce(1) if tasks == 1 else wanted.repartition(max(tasks, min(cores, 2 * tasks)))
+
+
+def _flags(df: DataFrame) -> list[str]:
+    """Boolean columns, one of which may mark validation rows."""
+    return [name for name, kind in df.dtypes if kind == "boolean"]
+
+
 def learning_curve(model: RatingModel, df: DataFrame) -> DataFrame:
     """The error on ``df`` after each round, without stopping the fit early."""
     assembled = model.stages.stages[0].transform(df.na.fill(0, model.features))
@@ -184,6 +210,11 @@ def sample_predictions(model: RatingModel, df: DataFrame, n: int = 8) -> DataFra
     return sample_n(predictions(model, df), n)
 
 
+# The columns of a metrics record.
+METRICS = ("version string, population string, n_features int, rounds int, train_rows long, "
+           "test_rows long, rmse double, r2 double, mae double")
+
+
 def train_version(version: Version, matrix: DataFrame,
                   bins: EqualWidthBins) -> tuple[RatingModel, DataFrame]:
     """Fit one version on the train rows of ``matrix`` and measure it on the test rows."""
@@ -195,6 +226,7 @@ def train_version(version: Version, matrix: DataFrame,
         F.lit(version.name).alias("version"),
         F.lit(version.population).alias("population"),
         F.lit(len(version.features)).alias("n_features"),
+        F.lit(version.rounds).alias("rounds"),
         F.lit(train_rows).alias("train_rows"),
         "test_rows", "rmse", "r2", "mae",
     )
@@ -209,3 +241,22 @@ def history(metrics: Sequence[DataFrame]) -> DataFrame:
 def best_version(metrics: DataFrame) -> DataFrame:
     """The row with the highest R². Compare versions of the same population only."""
     return metrics.orderBy(F.desc("r2"), "version").limit(1)
+
+
+def best_record(metrics: DataFrame, first: str = "v1", full: str = "v4-full",
+                filtered: str = "v4-filtered") -> DataFrame:
+    """One row about the better of the last two versions, and what it gained over the first.
+
+    The filtered version is measured on another population than the others, as published, so
+    its gain mixes a better model with easier titles. Where the R² are equal the full one wins.
+    """
+    def of(name: str, column: str) -> Column:
+        return F.max(F.when(F.col("version") == name, F.col(column)))
+
+    better = of(filtered, "r2") > of(full, "r2")
+    columns = ["rmse", "r2", "mae", "n_features"]
+    best = [F.when(better, of(filtered, c)).otherwise(of(full, c)).alias(c) for c in columns]
+    chosen = F.when(better, filtered).otherwise(full).alias("best_model")
+    row = metrics.agg(chosen, *best, of(full, "r2").alias("full_dataset_r2"),
+                      of(filtered, "r2").alias("filtered_dataset_r2"), of(first, "r2").alias("first_r2"))
+    return row.withColumn("improvement_over_first", F.col("r2") - F.col("first_r2"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from marquee import vocabulary as V
 from marquee.operators import cleaning, reports
+from marquee.operators.joins import balanced_left_join
 
 
 def completeness(column: str, digits: int = 2) -> Column:
@@ -52,24 +53,36 @@ def dq_by_decade(cleaned: DataFrame) -> DataFrame:
     ).orderBy("decade")
 
 
+# Stages that add columns to every cleaned title and no rows: they join sides with one row
+# per title or director, or none at all.
+ROW_FOR_ROW = ("enriched", "features")
+
+
 def stage_counts(titles: DataFrame, ratings: DataFrame, credits: DataFrame,
                  **later: DataFrame) -> DataFrame:
-    """Rows at each stage of the jobs, one row per stage; ``later`` names further stages.
+    """Rows at each stage of the jobs, one row per stage.
 
-    Each source is scanned once per join it takes part in; there is no action per stage.
+    Titles meet ratings once and credits meet ratings once; the stages of ``ROW_FOR_ROW`` have
+    the count of the cleaned titles. ``later`` names further stages, best given as stored tables;
+    one of the same name as a row-for-row stage is counted instead.
     """
+    same = [s for s in ROW_FOR_ROW if s not in later]
+    clean = F.count_if(cleaning.is_clean())
     joined = cleaning.rated_movies(titles, ratings).agg(
-        F.count("*").alias("joined"), F.count_if(cleaning.is_clean()).alias("clean")
+        F.count("*").alias("joined"), clean.alias("clean"), *[clean.alias(s) for s in same]
     )
     basics = titles.agg(
         F.count("*").alias("titles"),
         F.count_if(F.col("titletype") == V.MOVIE_TYPE).alias("movies"),
     )
-    directed = credits.filter(F.col("category") == V.DIRECTOR_CATEGORY)
     # a director counts when at least one of their titles is rated
-    rated = directed.join(ratings.select("tconst"), "tconst", "left_semi")
-    directors = rated.agg(F.count_distinct("nconst").alias("directors"))
-    plain = {"ratings": ratings, "director_entries": directed, **later}
+    rated = ratings.select("tconst").distinct().withColumn("rated", F.lit(True))
+    directed = credits.filter(F.col("category") == V.DIRECTOR_CATEGORY).select("tconst", "nconst")
+    directors = balanced_left_join(directed, rated, "tconst").agg(
+        F.count("*").alias("director_entries"),
+        F.count_distinct(F.when(F.col("rated"), F.col("nconst"))).alias("directors"),
+    )
+    plain = {"ratings": ratings, **later}
     counts = [df.agg(F.count("*").alias(stage)) for stage, df in plain.items()]
     long = [c.unpivot([], c.columns, "stage", "row_count")
             for c in (basics, joined, directors, *counts)]

@@ -43,8 +43,8 @@ def director_stats(entries: DataFrame, ratings: DataFrame) -> DataFrame:
 def primary_director(entries: DataFrame) -> DataFrame:
     """The first-billed director of each title; equal billing goes to the lower id.
 
-    Taking the least (ordering, director) pair keeps one row per title in every map task.
-    A window would sort all credits of a title in one task.
+    The least (ordering, director) pair is taken in every map task first, so a title with very
+    many credits reaches the final step as one row per task.
     """
     first = F.min(F.struct("ordering", "director_id"))
     return (
@@ -56,9 +56,9 @@ def primary_director(entries: DataFrame) -> DataFrame:
 def with_directors(cleaned: DataFrame, primary: DataFrame, stats: DataFrame) -> DataFrame:
     """Cleaned titles with their director's stats, and fixed values where there is none.
 
-    One director may hold very many titles, and many titles have none; both joins are
-    balanced for that. A small stats table Spark broadcasts, after measuring it.
+    The two narrow sides meet first: one director may hold very many titles, so that join is
+    balanced, and every row in it has a director. What comes out has a row per title and joins
+    the wide rows by title, where they already lie after cleaning, so these do not move again.
     """
-    directed = balanced_left_join(cleaned, primary, "tconst")
-    enriched = balanced_left_join(directed, stats, "director_id", spread="tconst")
-    return enriched.na.fill(V.UNKNOWN_DIRECTOR)
+    known = balanced_left_join(primary, stats, "director_id")
+    return cleaned.join(known, "tconst", "left").na.fill(V.UNKNOWN_DIRECTOR)

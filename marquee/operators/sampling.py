@@ -1,4 +1,4 @@
-"""Samples and heads with a repeatable choice."""
+"""Samples with a repeatable choice."""
 
 from __future__ import annotations
 

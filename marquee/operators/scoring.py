@@ -29,43 +29,41 @@ GENRES_MISSING = "genres field required"
 def parse_requests(df: DataFrame, column: str = "request") -> DataFrame:
     """Read JSON requests into typed columns and say in ``error`` what is wrong.
 
-    A field that is absent or null stays null and later gets its default. A field that is
-    present but cannot be read as its type is an error, and so is text that is no JSON.
-    The text is parsed once: ``json_tuple`` yields rows, below which a filter on the fields
-    cannot be moved, so it is not parsed again for the filter.
+    Every row is checked: text that is not one JSON object, or names a field twice, is refused.
+    A field that is absent stays null and later gets its default; without genres there is
+    nothing to rate. A field that is present but null, or cannot be read as its type, is an
+    error. Numbers may be written as text; decimals of a whole number are cut off if it is a
+    number, and refused if it is text.
     """
     names = list(REQUEST_TYPES)
-    text = {n: f"_{n}" for n in names}
-    fields = df.select("*", F.json_tuple(F.col(column), *names).alias(*text.values()))
-    parsed = {n: _typed(F.col(text[n]), kind) for n, kind in REQUEST_TYPES.items()}
-    # invalid text yields no fields at all, so only rows without genres are looked at again
-    invalid = F.when(F.col("genres").isNull() & F.try_parse_json(column).isNull(),
-                     "request is not valid JSON")
-    unreadable = [
-        F.when(F.col(text[n]).isNotNull() & F.col(n).isNull(), f"{n} cannot be read")
-        for n in names
-    ]
+    # What follows a value is not looked at, so it is put into a list and into an object: text
+    # after it that would pass in the one does not pass in the other.
+    text = F.col(column)
+    in_list = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    in_object = F.try_parse_json(F.concat(F.lit('{"":'), text, F.lit(',"-":0}')))
+    checked = F.try_variant_get(F.when(in_object.isNotNull(), in_list), "$[0]", "variant")
+    # a generated row, below which no filter or field is moved: the text is parsed here alone
+    read = df.select("*", F.explode(F.array(checked)).alias("_value"))
+    kinds = F.schema_of_variant("_value")
+    read = read.withColumn("_parsed", F.when(kinds.startswith("OBJECT"), F.col("_value")))
+    parsed = {n: F.try_variant_get("_parsed", f"$.{n}", kind) for n, kind in REQUEST_TYPES.items()}
+    held = {n: F.try_variant_get("_parsed", f"$.{n}", "variant") for n in names}
+    present = {n: held[n].isNotNull() for n in names}
+    # genres must be text: any other value would be read as its JSON
+    parsed["genres"] = F.when(F.schema_of_variant(held["genres"]) == "STRING", parsed["genres"])
+    invalid = F.when(F.col("_parsed").isNull(), "request is not valid JSON")
+    missing = F.when(~present["genres"], GENRES_MISSING)
+    unreadable = [F.when(present[n] & F.col(n).isNull(), f"{n} cannot be read") for n in names]
     return (
-        fields.withColumns(parsed)
-        .withColumn("error", F.coalesce(invalid, missing_genres(), *unreadable))
-        .drop(*text.values())
+        read.withColumns(parsed)
+        .withColumn("error", F.coalesce(invalid, missing, *unreadable))
+        .drop("_parsed", "_value")
     )
 
 
-def _typed(text: Column, kind: str) -> Column:
-    """Whole numbers may be written with decimals, which are cut off."""
-    if kind == "int":
-        return F.coalesce(text.try_cast("int"), text.try_cast("double").try_cast("int"))
-    return text.try_cast(kind)
-
-
-def missing_genres() -> Column:
-    return F.when(F.col("genres").isNull(), GENRES_MISSING)
-
-
 def validate(requests: DataFrame) -> DataFrame:
     """Set ``error`` on typed requests without genres."""
-    return requests.withColumn("error", missing_genres())
+    return requests.withColumn("error", F.when(F.col("genres").isNull(), GENRES_MISSING))
 
 
 def accepted(requests: DataFrame) -> DataFrame:
@@ -94,8 +92,8 @@ def score_features(requests: DataFrame, bins: EqualWidthBins | None = None,
     - ``training``: the vote bin and popularity score of the training data (needs the
       model's ``bins``); the choice for a model trained here.
     - ``service``: whole part of the log as bin, no third popularity term.
-    - ``client``: the same bin, a third popularity term from 10,000 votes on, and other
-      defaults for the director.
+    - ``client``: the same bin, a third popularity term from 10,000 votes on, other
+      defaults for the director, and ratings that are not kept from 1 to 10.
     """
     if variant not in ("training", "service", "client"):
         raise ValueError(f"unknown variant: {variant}")
@@ -132,11 +130,17 @@ def bounded_rating(prediction: Column) -> Column:
     return F.round(F.greatest(low, F.least(high, prediction)), 2)
 
 
-def with_response(predicted: DataFrame) -> DataFrame:
-    """Turn ``prediction`` into the rating, flag and tier of a response."""
+def with_response(predicted: DataFrame, variant: str = "training") -> DataFrame:
+    """Turn ``prediction`` into the rating, flag and tier of a response.
+
+    The client variant rounds the prediction and leaves it where it is; the others keep it
+    from 1 to 10.
+    """
     rating = F.col("predicted_rating")
+    prediction = F.col("prediction")
+    answer = F.round(prediction, 2) if variant == "client" else bounded_rating(prediction)
     return (
-        predicted.withColumn("predicted_rating", bounded_rating(F.col("prediction")))
+        predicted.withColumn("predicted_rating", answer)
         .withColumns({
             "is_high_rated": rating >= V.HIGH_RATING,
             "confidence_tier": rating_tier(rating),
@@ -150,18 +154,29 @@ def score_requests(requests: DataFrame, predict: Predictor,
     own = [c for c in requests.columns if c not in ("prediction", "predicted_rating")]
     hidden = {c: f"_in_{c}" for c in own if c in V.FULL_FEATURES}
     kept = requests.withColumns({h: F.col(c) for c, h in hidden.items()})
-    scored = with_response(predict(score_features(kept, bins, variant)))
+    scored = with_response(predict(score_features(kept, bins, variant)), variant)
     restored = [F.col(hidden[c]).alias(c) if c in hidden else F.col(c) for c in own]
     return scored.select(*restored, "predicted_rating", "is_high_rated", "confidence_tier")
 
 
 def response_json(scored: DataFrame, request: str = "request") -> DataFrame:
-    """Add the response as JSON, with the request repeated as ``input``."""
-    body = F.struct(
-        "predicted_rating", "is_high_rated", "confidence_tier",
-        F.try_parse_json(F.col(request)).alias("input"),
+    """Add status and response as JSON, with the request repeated as it came as ``input``.
+
+    The request has been checked, so its text goes into the response without being read again.
+    """
+    body = F.to_json(F.struct("predicted_rating", "is_high_rated", "confidence_tier"))
+    opened = F.expr("substring(_body, 1, length(_body) - 1)")
+    return (
+        scored.withColumn("_body", body)
+        .withColumn("response", F.concat(opened, F.lit(',"input":'), F.col(request), F.lit("}")))
+        .withColumn("status_code", F.lit(200)).drop("_body")
     )
-    return scored.withColumn("response", F.to_json(body))
+
+
+def error_json(requests: DataFrame) -> DataFrame:
+    """Refused requests with status and the error as JSON."""
+    body = F.to_json(F.struct("error"))
+    return rejected(requests).withColumn("response", body)
 
 
 def scoring_error(scored: DataFrame, actual: str = "actual") -> DataFrame:

@@ -36,6 +36,13 @@ def local_session(app: str = "marquee", cores: int | str = "*", partitions: int
     return spark
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the recommended settings to a session that someone else has made."""
+    for key, value in RECOMMENDED.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 

@@ -48,17 +48,33 @@ def write_training_csv(df: DataFrame, path: str, features: Sequence[str] = V.FUL
     training_csv(df, features, label).write.mode("overwrite").option("header", False).csv(path)
 
 
+# Text comes back as it was: spaces at its ends, line breaks, quotes, and empty beside missing.
+_SAMPLE_CSV = {
+    "header": True, "escape": '"', "nullValue": V.NULL_MARKER,
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
 def write_sample_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Missing values are written as ``\\N``, which the raw files mark them with, too."""
+    df.write.mode("overwrite").options(**_SAMPLE_CSV).csv(path)
 
 
 def read_sample_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+    """A line break within quotes belongs to the value, so each file is read by one task."""
+    return spark.read.schema(schema).options(**_SAMPLE_CSV, multiLine=True).csv(path)
 
 
 def write_record(df: DataFrame, path: str) -> None:
-    """Write a small record, such as a model's metrics, as JSON lines."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    """Write the first row, such as a model's metrics, as one JSON line in one file."""
+    df.limit(1).coalesce(1).write.mode("overwrite").json(path)
+
+
+def write_split_csv(df: DataFrame, path: str, features: Sequence[str] = V.FULL_FEATURES,
+                    label: str = "target_rating") -> None:
+    """A training export for each value of ``split``, in a folder of its own, in one pass."""
+    rows = df.select("split", label, *features).na.fill(0, [label, *features])
+    rows.write.mode("overwrite").partitionBy("split").option("header", False).csv(path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

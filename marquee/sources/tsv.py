@@ -34,8 +34,8 @@ def read_tsv(spark: SparkSession, path: str | Sequence[str],
     being read into the wrong columns. Without it, names come from the file.
 
     A gzip file is one task until it is unpacked, so ``path`` should be many part files
-    at scale. When there are fewer gzip files than cores, rows are spread out right after
-    reading; ``partitions`` sets to how many.
+    at scale. Rows stay where they are read unless ``partitions`` says over how many tasks to
+    spread them, which pays for a few large gzip files.
     """
     reader = (
         spark.read.option("sep", "\t").option("header", True)
@@ -45,9 +45,4 @@ def read_tsv(spark: SparkSession, path: str | Sequence[str],
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
         reader = reader.schema(schema).option("enforceSchema", False)
     df = lowercase_names(reader.csv(path if isinstance(path, str) else list(path)))
-
-    files = df.inputFiles()
-    wanted = partitions or spark.sparkContext.defaultParallelism
-    if all(f.endswith(".gz") for f in files) and len(files) < wanted:
-        df = df.repartition(wanted)
-    return df
+    return df if partitions is None else df.repartition(partitions)

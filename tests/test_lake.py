@@ -1,10 +1,13 @@
 import gzip
+import json
 
 import pytest
+from pyspark.sql import functions as F
 from rows import CREDITS, RATINGS, TITLES, credits, ratings, titles
 
 from marquee import vocabulary as V
-from marquee.operators import quality
+from marquee.functions.bins import EqualWidthBins
+from marquee.operators import matrix, models, quality
 from marquee.plans import lake as plans
 from marquee.session import scratch_path, shared_dir
 from marquee.sources import tables, tsv
@@ -54,6 +57,39 @@ def test_stored_tables(spark, built):
     assert bins.low < bins.high and bins.count == 10
 
 
+def test_stored_catalog(spark, built):
+    assert spark.sql("SELECT sum(movie_count) AS n FROM v_decade_stats").first().n == 6
+
+
+def test_models_are_fitted_stored_and_used(spark, tmp_path):
+    """From the training data to answered requests, with versions small enough for a test."""
+    lake = plans.Lake(str(tmp_path))
+    rows = spark.range(400).selectExpr(
+        "concat('tt', id) AS tconst", "concat('T', id) AS primarytitle", "2000 AS startyear",
+        "cast(4 + id % 5 AS float) AS target_rating", "0 AS is_high_rated",
+        *[f"cast((id * {k + 3}) % 7 AS double) AS {c}" for k, c in enumerate(V.FULL_FEATURES)])
+    rows = rows.withColumn("votes_log", F.log(F.lit(40000.0) + F.expr("cast(substring(tconst, 3) AS int) * 100")))
+    tables.write_split(matrix.with_split(rows), lake.path("training"))
+    small = models.Boosting(rounds=2, depth=2, rate=0.5)
+    versions = [models.Version("v1", V.BASE_FEATURES, small), models.Version("v4-full", V.FULL_FEATURES, small),
+                models.Version("v4-filtered", V.FULL_FEATURES, small, reliable_only=True)]
+    found = plans.store_models(spark, lake, EqualWidthBins(2.0, 12.0), versions)
+    assert [(r.version, r.rounds, r.n_features) for r in found.collect()] == [
+        ("v1", 2, 28), ("v4-filtered", 2, 43), ("v4-full", 2, 43)]
+    best = spark.read.json(lake.path("metrics/best")).first()
+    by_name = {r.version: r for r in found.collect()}
+    assert best.r2 == max(by_name["v4-full"].r2, by_name["v4-filtered"].r2) == by_name[best.best_model].r2
+    assert best.improvement_over_first == pytest.approx(best.r2 - by_name["v1"].r2)
+    both = spark.read.csv(lake.path("training_csv"))
+    assert both.count() == 400 and len(both.columns) == 45
+    requests = spark.createDataFrame(
+        [(1, '{"genres":"Drama"}'), (2, "{"), (3, '{"year":1999}')], "id int, request string")
+    answers = {r.id: r for r in plans.answer(requests, plans.best_model(spark, lake)).collect()}
+    assert [answers[k].status_code for k in (1, 2, 3)] == [200, 500, 400]
+    assert json.loads(answers[1].response)["input"] == {"genres": "Drama"}
+    assert json.loads(answers[3].response) == {"error": "genres field required"}
+
+
 def test_scratch_paths_are_fresh_and_below_the_shared_folder(spark):
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second and first.startswith(shared_dir(spark))

@@ -115,6 +115,19 @@ def test_versions():
     assert filtered.settings.min_rows == 3 and filtered.settings.rounds == 500
 
 
+def test_the_record_of_the_best(spark):
+    rows = spark.createDataFrame(
+        [("v1", 28, 1.1, 0.3, 0.8), ("v4-full", 43, 0.8, 0.66, 0.55), ("v4-filtered", 43, 0.7, 0.56, 0.5)],
+        "version string, n_features int, rmse double, r2 double, mae double")
+    row = models.best_record(rows).first()
+    assert (row.best_model, row.rmse, row.filtered_dataset_r2) == ("v4-full", 0.8, 0.56)
+    assert row.improvement_over_first == pytest.approx(0.36)
+
+
+def test_a_small_matrix_is_fitted_in_one_task(signal):
+    assert models.gathered(signal.repartition(8), FEATURES).rdd.getNumPartitions() == 1
+
+
 def test_best_version_has_the_highest_r2(spark):
     rows = spark.createDataFrame(
         [("v1", 0.3), ("v4", 0.6), ("v2", 0.5)], "version string, r2 double")

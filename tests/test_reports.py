@@ -94,8 +94,16 @@ def test_stage_counts(spark):
     counts = quality.stage_counts(titles(spark), ratings(spark), credits(spark)).collect()
     assert dict(counts) == {
         "titles": 13, "movies": 12, "ratings": 12, "joined": 11, "clean": 6,
-        "director_entries": 7, "directors": 3,
+        "director_entries": 7, "directors": 3, "enriched": 6, "features": 6,
     }
+    later = quality.stage_counts(titles(spark), ratings(spark), credits(spark), features=titles(spark))
+    assert dict(later.collect())["features"] == 13
+
+
+def test_stage_counts_join_once_per_pair(spark):
+    plan = quality.stage_counts(titles(spark), ratings(spark), credits(spark))
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Join ") == 2
 
 
 def test_value_counts_leave_out_nulls(cleaned):

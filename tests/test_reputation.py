@@ -104,6 +104,21 @@ def test_a_director_of_a_third_of_all_titles_is_split(spark, no_broadcast):
     assert hot.count() == hot.first().director_movie_count == n // 3
 
 
+def test_wide_rows_are_shuffled_once(spark, no_broadcast):
+    """Cleaning deals the titles out; the directors come to them, not the other way round."""
+    n = 2000
+    rated = spark.range(n).selectExpr(
+        "concat('tt', id) AS tconst", "6.0F AS averagerating", "100 AS numvotes")
+    entries = spark.range(n).selectExpr(
+        "concat('tt', id) AS tconst", "1 AS ordering", "concat('nm', id % 50) AS director_id")
+    cleaned = cleaning.clean_titles(wide_titles(spark, n), rated)
+    enriched = reputation.with_directors(
+        cleaned, reputation.primary_director(entries), reputation.director_stats(entries, rated))
+    plan = enriched._jdf.queryExecution().sparkPlan().toString()
+    physical = enriched._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and physical.count("Exchange hashpartitioning") <= 9
+
+
 def test_a_title_with_a_third_of_all_credits_is_split(spark, no_broadcast):
     n = 30000
     entries = spark.range(n).selectExpr(

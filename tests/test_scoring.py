@@ -112,6 +112,11 @@ def test_ratings_stay_within_bounds_and_get_tiers(spark):
     assert [r.is_high_rated for r in rows] == [False, False, False, True, True, True]
 
 
+def test_the_client_variant_leaves_ratings_unbounded(spark):
+    df = spark.createDataFrame([(-3.004,), (11.5,)], "prediction double")
+    assert [r.predicted_rating for r in scoring.with_response(df, "client").collect()] == [-3.0, 11.5]
+
+
 def test_error_is_null_without_an_actual_rating(samples):
     rows = scoring.scoring_error(scoring.score_requests(samples, predictor, BINS)).collect()
     assert rows[0].error == pytest.approx(1.0) and rows[-1].error is None
@@ -127,14 +132,22 @@ def test_own_columns_come_back_unchanged(spark):
 TEXTS = [
     ('{"genres":"Drama","year":2008,"num_votes":"500"}', None),
     ('{"year":2008}', "genres field required"),
-    ('{"genres":null}', "genres field required"),
+    ('{"genres":null}', "genres cannot be read"),
     ('{"year":"soon"}', "genres field required"),
     ('{"genres":"Drama","year":"soon"}', "year cannot be read"),
     ('{"genres":"Drama","director_avg_rating":"high"}', "director_avg_rating cannot be read"),
     ('{"genres":"Drama"', "request is not valid JSON"),
     ("", "request is not valid JSON"),
-    ("[1]", "genres field required"),
+    ("[1]", "request is not valid JSON"),
     ('{"genres":"","runtime":90.7}', None),
+    ('{"genres":"Drama"} xyz', "request is not valid JSON"),
+    ('{"genres":"Drama","genres":"Comedy"}', "request is not valid JSON"),
+    ('{"genres":"Drama","year":"90.7"}', "year cannot be read"),
+    ('{"genres":"Drama","num_votes":null}', "num_votes cannot be read"),
+    ('{"genres":5}', "genres cannot be read"),
+    (None, "request is not valid JSON"),
+    ('  { "genres" : "War" , "director_hit_rate" : "0.5" }  ', None),
+    ("{}", "genres field required"),
 ]
 
 
@@ -145,14 +158,18 @@ def test_requests_are_parsed_and_refused(spark):
     assert (parsed[0].year, parsed[0].num_votes, parsed[9].runtime) == (2008, 500, 90)
     refused = by_key(scoring.rejected(scoring.parse_requests(df)), "id")
     assert refused[1].status_code == 400 and refused[4].status_code == 500
-    assert scoring.accepted(scoring.parse_requests(df)).count() == 2
+    assert scoring.accepted(scoring.parse_requests(df)).count() == 3
+    bodies = by_key(scoring.error_json(scoring.parse_requests(df)), "id")
+    assert json.loads(bodies[1].response) == {"error": "genres field required"}
+    assert parsed[16].director_hit_rate == 0.5
 
 
 def test_response_repeats_the_request(spark):
-    text = '{"genres":"Drama","year":2008,"extra":[1,"a"]}'
+    text = '{"genres":"Drama","year":2008.0, "b":6.0,"a":[1,"a"]}'
     df = spark.createDataFrame([(text,)], "request string")
     wanted = scoring.accepted(scoring.parse_requests(df))
     row = scoring.response_json(scoring.score_requests(wanted, predictor, BINS)).first()
+    assert row.status_code == 200 and row.response.endswith(f',"input":{text}}}')
     assert json.loads(row.response) == {
         "predicted_rating": 8.0, "is_high_rated": True, "confidence_tier": "excellent",
         "input": json.loads(text)}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee import vocabulary as V
 from marquee.operators import cleaning
-from marquee.sources import tables, tsv
+from marquee.sources import catalog, tables, tsv
 
 HEADER = "\t".join(tsv.TITLE_COLUMNS)
 LINES = [
@@ -51,8 +51,9 @@ def test_another_header_is_refused(spark, title_file):
         tsv.read_tsv(spark, title_file, wrong).collect()
 
 
-def test_few_gzip_files_are_spread_out(spark, title_file):
-    assert tsv.read_tsv(spark, title_file).rdd.getNumPartitions() == 4
+def test_rows_are_spread_out_only_when_asked(spark, title_file):
+    plan = tsv.read_tsv(spark, title_file)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
     assert tsv.read_tsv(spark, title_file, partitions=6).rdd.getNumPartitions() == 6
 
 
@@ -127,6 +128,43 @@ def test_sample_csv_keeps_quotes_and_commas(spark, tmp_path):
     assert tables.read_sample_csv(spark, path, df.schema).collect() == df.collect()
 
 
+def test_sample_csv_keeps_every_text(spark, tmp_path):
+    path = str(tmp_path / "sample")
+    texts = ["  lead", "trail  ", "", "line\nbreak", None, 'say "hi", a\\b', "cr\r\nlf", " ", '"', "#x", "\\"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    tables.write_sample_csv(df, path)
+    assert tables.read_sample_csv(spark, path, df.schema).orderBy("id").collect() == df.collect()
+
+
+def test_training_csv_per_split(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    df = spark.createDataFrame([(0.5, None, 7.5, "train"), (1.5, 2, 8.0, "test")],
+                               "b double, a int, target_rating float, split string")
+    tables.write_split_csv(df, path, ["a", "b"])
+    for split, line in (("train", "7.5,0,0.5\n"), ("test", "8.0,2,1.5\n")):
+        assert "".join(open(p).read() for p in glob.glob(f"{path}/split={split}/part-*.csv")) == line
+
+
+def test_stored_views_outlive_a_plan_and_are_pruned(spark, tmp_path):
+    path = str(tmp_path / "cleaned")
+    df = movies(spark, 300)
+    tables.write_cleaned(df, path)
+    catalog.register_stored(spark, path, "kept_cleaned", prefix="kept_")
+    catalog.register_views(df, "plan_cleaned")
+    names = {v.name for v in spark.catalog.listTables() if not v.isTemporary}
+    assert {"kept_cleaned", *(f"kept_{v}" for v in catalog.VIEWS)} <= names
+    for view in catalog.VIEWS:
+        stored = spark.sql(f"SELECT * FROM kept_{view}")
+        temporary = spark.table(view)
+        assert sorted(map(str, stored.select(temporary.columns).collect())) == sorted(
+            map(str, temporary.collect()))
+        spark.catalog.dropTempView(view)
+    plan = spark.sql("SELECT * FROM kept_v_decade_stats WHERE decade >= 1990")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(decade" in text
+    catalog.register_stored(spark, path, "kept_cleaned", prefix="kept_")  # again
+
+
 def test_record_is_one_json_line(spark, tmp_path):
     path = str(tmp_path / "metrics")
     tables.write_record(spark.createDataFrame([(0.5, 3)], "rmse double, n int"), path)

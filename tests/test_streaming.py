@@ -69,19 +69,63 @@ def test_rows_later_than_the_watermark_are_dropped(spark, tmp_path):
         spark.createDataFrame(rows(part), SCHEMA).coalesce(1).write.mode("append").parquet(path)
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
     sums = job_metrics.task_sums(stream.withWatermark("ts", "10 minutes"))
-    result = keyed(updates.run_updates(sums, ("window_start", "job"), "test"))
+    table = str(tmp_path / "late")
+    assert updates.run_to_table(sums, table, allow_late=True) == 1
+    result = keyed(updates.latest(spark, table, ("window_start", "job")))
     assert result[seconds(0), "etl"].completed == 2  # minute 3 came after minute 600
     assert result[seconds(600), "etl"].completed == 2
+    with pytest.raises(updates.LateRowsDropped):
+        updates.run_to_table(sums, str(tmp_path / "again"))
+
+
+def test_a_replay_may_come_in_any_order(spark, tmp_path):
+    path = str(tmp_path / "in")
+    for part in ([600], [1, 2], [601], [3]):
+        spark.createDataFrame(rows(part), SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    stored = spark.read.schema(SCHEMA).parquet(path)
+    assert updates.disorder(stored) == f"{600 * 60 + 1} seconds"
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
+    sums = job_metrics.task_sums(stream.withWatermark("ts", updates.disorder(stored)))
+    result = keyed(updates.run_updates(sums, ("window_start", "job"), "test"))
+    assert result[seconds(0), "etl"].completed == 3
+
+
+def test_closed_windows_are_written_once(spark, tmp_path):
+    path = str(tmp_path / "in")
+    for part in ([1, 2], [3], [30], [31], [90]):
+        spark.createDataFrame(rows(part), SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
+    sums = job_metrics.task_sums(stream.withWatermark("ts", "10 minutes"))
+    closed = updates.run_rows(sums, "closed").collect()
+    assert sorted((r.window_start, r.completed) for r in closed) == [(seconds(0), 3), (seconds(30), 2)]
+
+
+def test_alarms_are_raised_within_the_stream(spark, metrics, tmp_path):
+    stream = stream_of(spark, metrics, str(tmp_path / "in"), lambda df: [df])
+    sums = job_metrics.task_sums(stream.withWatermark("ts", "30 days"))
+    raised = keyed(updates.run_updates(job_metrics.alarms(sums), ("window_start", "job"), "alarms"))
+    assert set(raised) == {(seconds(0), "etl"), (seconds(10), "etl")}
+
+
+def test_a_table_belongs_to_its_checkpoint(spark, tmp_path):
+    """A second run over the same table continues the first: nothing starts again at epoch 0."""
+    source, table = str(tmp_path / "in"), str(tmp_path / "table")
+    spark.createDataFrame(rows([1]), SCHEMA).coalesce(1).write.parquet(source)
+    for _ in range(2):
+        stream = spark.readStream.schema(SCHEMA).parquet(source).withWatermark("ts", "1 day")
+        updates.run_to_table(job_metrics.task_sums(stream), table)
+    (row,) = updates.latest(spark, table, ("window_start", "job")).collect()
+    assert row.completed == 1
 
 
 def test_a_continued_stream_adds_to_its_table(spark, tmp_path):
-    source, log, checkpoint = (str(tmp_path / n) for n in ("in", "log", "checkpoint"))
+    source, log = (str(tmp_path / n) for n in ("in", "log"))
 
     def arrive_and_run(minutes):
         new = spark.createDataFrame(rows(minutes), SCHEMA).coalesce(1)
         new.write.mode("append").parquet(source)
         stream = spark.readStream.schema(SCHEMA).parquet(source).withWatermark("ts", "1 day")
-        updates.run_to_table(job_metrics.task_sums(stream), log, checkpoint)
+        updates.run_to_table(job_metrics.task_sums(stream), log)
         return keyed(updates.latest(spark, log, ("window_start", "job")))
 
     assert arrive_and_run([1, 2])[seconds(0), "etl"].completed == 2
