@@ -19,9 +19,9 @@ SHINGLE = 5
 OVERLAP_PCT = 80
 PART_PCT = 50
 K1, B = 1.2, 0.75
-# Items indexed at once. A larger benchmark is searched for in several passes over the texts,
-# so what a worker holds stays bounded; the index of one pass takes a few MB.
-PASS_ITEMS = 1024
+# Items, and words of items, indexed at once. A larger benchmark is searched for in several passes
+# over the texts, so what a worker holds stays bounded; the index of one pass takes a few MB.
+PASS_ITEMS, PASS_WORDS = 1024, 200_000
 BLOCK_ITEMS = 16
 # A passage is this much longer than the longest item, to leave room for words put in.
 ROOM = 1.25
@@ -185,7 +185,7 @@ def indexes(items: DataFrame) -> tuple[int, list[Index]]:
     counted = counted.filter(F.size("words") > 0).withColumn("digest", F.xxhash64("item_id", "words"))
     total, longest, length = counted.agg(
         F.count("*"), F.coalesce(F.max(F.size("words")), F.lit(0)), F.sum(F.size("words"))).first()
-    passes = max(1, -(-total // PASS_ITEMS))
+    passes = max(1, -(-total // PASS_ITEMS), -(-(length or 0) // PASS_WORDS))
     counted = materialize(counted.withColumn("pass", F.pmod("digest", F.lit(passes))), "items")
     terms = counted.select("pass", F.explode(F.array_distinct("words")).alias("term"))
     frequency = materialize(terms.groupBy("term").agg(F.count("*").alias("n")), "frequency")

@@ -168,12 +168,9 @@ def sections(doc_id, text: str | None, tokenizer, rule: str) -> list[tuple]:
 
 def leaks(documents: list[tuple], items: list[tuple]) -> dict[tuple, tuple]:
     """(doc_id, item_id) to shingles found of question and answer, anywhere in one document."""
-    def cut(text):
-        return re.findall(r"[0-9a-z]+|[^\x00-\x7f]+", "")
-
     def tokens(text):
         folded = "".join(c if ord(c) > 127 or c.isalnum() else " " for c in lower(text or ""))
-        return folded.split(" ") and [w for w in folded.split(" ") if w]
+        return [w for w in folded.split(" ") if w]
 
     def grams(words, size):
         return {tuple(words[i:i + size]) for i in range(len(words) - size + 1)}

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import brute
 import numpy as np
 import pytest
-from conftest import odd_texts, sentence
+from samples import odd_texts, sentence
 from pyspark.sql import functions as F
 
 from marquee.llm import licences, sharding, token_store, warc

@@ -3,7 +3,7 @@
 import brute
 import numpy as np
 import pytest
-from conftest import FOLDER, odd_texts, sentence
+from samples import FOLDER, odd_texts, sentence
 from pyspark.sql import functions as F
 
 import corpus_pipeline

@@ -5,7 +5,7 @@ import random
 import brute
 import numpy as np
 import pytest
-from conftest import odd_texts
+from samples import odd_texts
 
 from marquee.llm import pieces, quality, sentence_pieces, token_counts
 
