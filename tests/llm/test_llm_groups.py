@@ -160,7 +160,7 @@ def planted() -> list[tuple]:
              ITEMS[1][1] + " -- " + ITEMS[1][2], "yes no", "Yes?", ITEMS[3][2], ITEMS[5][1], None, "",
              q[: len(q) // 2] + sentence(70, 400) + q[len(q) // 2:] + " " + a]
     return [(k, t if t is None else sentence(80 + k, 37 * k) + " " + t + "\n" + sentence(90 + k, 20))
-            for k, t in enumerate(cases)] + [(500, None), (None, q + " " + a), (0, q), (0, q)]
+            for k, t in enumerate(cases)] + [(500, None), (None, q + " " + a), (600, q), (600, q)]
 
 
 @pytest.mark.parametrize("at_once", [2, 1024])
