@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,7 +32,8 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
 
-PIECES = "gid long, pid binary, digest binary, low long, n int, anchor long"
+RUNS = "array<struct<low: long, n: int, anchor: long>>"
+PIECES = "gid long, pid binary, digest binary, low long, n int, anchor long, lows array<long>"
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,10 +96,11 @@ def anchors(raw: np.ndarray, bounds: np.ndarray, length: int = LENGTH):
 
 
 def scan(documents: DataFrame, length: int) -> DataFrame:
-    """A row for each run of window starts with a common anchor; ``seen`` tells rows apart.
+    """A row for each text and key, with the text's runs of window starts of that key.
 
-    A text met again in the same task is not scanned again. Texts longer than SCAN_BYTES are
-    scanned in parts that overlap by a window; a run cut in two makes two rows.
+    A text that repeats a few bytes over and over has very many runs of few keys, and so few
+    rows. A text met again in the same task is not scanned again. Texts longer than SCAN_BYTES
+    are scanned in parts that overlap by a window; a run cut in two makes two.
     """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[bytes] = set()
@@ -123,15 +125,18 @@ def scan(documents: DataFrame, length: int) -> DataFrame:
         for digests, begin, texts in parts:
             bounds = np.cumsum([0, *map(len, texts)])
             text, low, n, anchor, key = anchors(np.frombuffer(b"".join(texts), np.uint8), bounds, length)
+            order = np.lexsort((low, key, text))
+            text, low, n, anchor, key = (x[order] for x in (text, low, n, anchor, key))
             shift = begin - bounds[text]
+            fields = [pa.array(low + shift), pa.array(n, pa.int32()), pa.array(anchor + shift)]
+            runs = pa.StructArray.from_arrays(fields, ["low", "n", "anchor"])
+            own = np.flatnonzero(np.diff(text, prepend=-1) | (np.diff(key.view(np.int64), prepend=0) != 0))
+            ends = np.append(own, len(text)) if len(text) else np.zeros(1, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), pa.array(digests, pa.binary()).take(pa.array(text)),
-                 pa.array(low + shift), pa.array(n, pa.int32()), pa.array(anchor + shift)],
-                ["key", "digest", "low", "n", "anchor"])
+                [pa.array(key[own].view(np.int64)), pa.array(digests, pa.binary()).take(pa.array(text[own])),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), runs)], ["key", "digest", "runs"])
 
-    rows = documents.select("digest", "text").mapInArrow(
-        work, "key long, digest binary, low long, n int, anchor long")
-    return rows.withColumn("seen", F.xxhash64("digest", "anchor"))
+    return documents.select("digest", "text").mapInArrow(work, f"key long, digest binary, runs {RUNS}")
 
 
 def cut(low: np.ndarray, n: np.ndarray, anchor: np.ndarray, width: int):
@@ -153,7 +158,8 @@ def pieces(texts: DataFrame, width: int, length: int, extra: str = "") -> DataFr
 
     All windows of a piece contain its core, which follows from any one of them. ``gid`` is a
     hash of the core and of its place, ``pid`` a 128-bit digest of all bytes of the piece and of
-    its starts. Equal windows are in pieces of the same gid.
+    its starts. Equal windows are in pieces of the same gid. Equal pieces of a text are one row,
+    with all their first starts in ``lows``, unless each has ``extra`` fields of its own.
     """
     names = extra.split()
 
@@ -175,12 +181,17 @@ def pieces(texts: DataFrame, width: int, length: int, extra: str = "") -> DataFr
                     pid = [hashlib.blake2b(raw[b:b + c + length - 1], digest_size=16,
                                            salt=int(a - b).to_bytes(8, "little")).digest()
                            for b, c, a in zip(begin.tolist(), count.tolist(), at.tolist())]
-                    made = [pa.array(gid.view(np.int64)), pa.array(pid, pa.binary()),
-                            pa.array([part.column("digest")[row].as_py()] * len(begin), pa.binary()),
-                            pa.array(begin), pa.array(count, pa.int32()), pa.array(at)]
-                    made += [runs.field(f).take(pa.array(source)) for f in names]
+                    equal: dict[tuple, list[int]] = {}
+                    for k, kind in enumerate(zip(gid.tolist(), pid)):
+                        equal.setdefault((*kind, k if names else 0), []).append(k)
+                    first = np.array([ks[0] for ks in equal.values()], np.int64)
+                    made = [pa.array(gid[first].view(np.int64)), pa.array([pid[k] for k in first], pa.binary()),
+                            pa.array([part.column("digest")[row].as_py()] * len(first), pa.binary()),
+                            pa.array(begin[first]), pa.array(count[first], pa.int32()), pa.array(at[first]),
+                            pa.array([begin[ks] for ks in equal.values()], pa.list_(pa.int64()))]
+                    made += [runs.field(f).take(pa.array(source[first])) for f in names]
                     yield pa.RecordBatch.from_arrays(
-                        made, ["gid", "pid", "digest", "low", "n", "anchor", *names])
+                        made, ["gid", "pid", "digest", "low", "n", "anchor", "lows", *names])
 
     kinds = {f.name: f.dataType for f in texts.schema["runs"].dataType.elementType}
     schema = T.StructType.fromDDL(PIECES)
@@ -333,9 +344,13 @@ def decide(found: DataFrame, texts: DataFrame, length: int, level: int = 0) -> D
     parts = materialize(decide(narrower, texts, length, level + 1), "parts")
     whole = narrower.join(parts, ["gid", "pid"]).select(
         F.col("of_gid").alias("gid"), F.col("of_pid").alias("pid"),
-        F.explode(F.transform("found", lambda r: F.struct(
-            (r.begin + F.col("low") - F.col("of_low")).alias("begin"), r.n.alias("n")))).alias("run"))
-    return done.union(whole.groupBy("gid", "pid").agg(F.collect_list("run").alias("found")))
+        moved("found", F.col("low") - F.col("of_low")).alias("found"))
+    return done.union(whole.groupBy("gid", "pid").agg(F.flatten(F.collect_list("found")).alias("found")))
+
+
+def moved(runs: str, by: Column) -> Column:
+    """Runs with their first starts moved."""
+    return F.transform(runs, lambda r: F.struct((r.begin + by).alias("begin"), r.n.alias("n")))
 
 
 def repeated_runs(documents: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
@@ -346,18 +361,20 @@ def repeated_runs(documents: DataFrame, length: int = LENGTH) -> tuple[DataFrame
     """
     ship_package(documents.sparkSession)
     rows = materialize(scan(documents, length), "anchors")
+    # a key has several anchors if the first and last of any text, by hash, are not all the same
+    first, last = (F.xxhash64("digest", F.element_at("runs", k)["anchor"]) for k in (1, -1))
     keys = materialize(
-        rows.groupBy("key").agg(F.min("seen").alias("a"), F.max("seen").alias("b"))
+        rows.groupBy("key").agg(F.min(F.least(first, last)).alias("a"), F.max(F.greatest(first, last)).alias("b"))
         .filter("a <> b").select("key"), "keys")
-    close = rows.join(keys, "key").groupBy("digest").agg(
-        F.collect_set(F.struct("low", "n", "anchor")).alias("runs"))
+    close = rows.join(keys, "key").groupBy("digest").agg(F.flatten(F.collect_set("runs")).alias("runs"))
     texts = materialize(
         documents.select("digest", "text").dropDuplicates(["digest"]).join(close, "digest"), "texts")
-    found = materialize(pieces(texts, WIDTHS[0], length).withColumn("copies", F.lit(1).cast("long")), "pieces")
+    found = materialize(
+        pieces(texts, WIDTHS[0], length).withColumn("copies", F.size("lows").cast("long")), "pieces")
     decisions = materialize(decide(found, texts, length), "decisions")
-    starts = found.join(decisions, ["gid", "pid"]).select("digest", F.explode(F.transform(
-        "found", lambda r: F.struct((r.begin + F.col("low")).alias("begin"), r.n.alias("n")))).alias("run"))
-    return starts.groupBy("digest").agg(F.collect_list("run").alias("runs")), texts
+    starts = found.join(decisions, ["gid", "pid"]).select(
+        "digest", F.flatten(F.transform("lows", lambda low: moved("found", low))).alias("runs"))
+    return starts.groupBy("digest").agg(F.flatten(F.collect_list("runs")).alias("runs")), texts
 
 
 def covered(size: int, runs: list[dict], length: int) -> np.ndarray:
