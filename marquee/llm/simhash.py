@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,13 +54,10 @@ def fingerprint(texts: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
     return out
 
 
-def fingerprints(documents: DataFrame, shingle: int = SHINGLE, carry: bool = False) -> DataFrame:
-    """``doc_id`` and ``fp`` (64 bits in a long); with ``carry`` also the whole ``row``."""
-    names = ["doc_id"]
-    source = documents.select("doc_id", "text")
-    if carry:
-        source = documents.select("doc_id", "text", F.struct("*").alias("row"))
-        names.append("row")
+def fingerprints(documents: DataFrame, shingle: int = SHINGLE, tell_apart: bool = False) -> DataFrame:
+    """``doc_id`` and ``fp`` (64 bits in a long); to tell texts apart, also a hash, ``tie``."""
+    source = documents.select("doc_id", "text", *[_tie()] * tell_apart)
+    names = [n for n in source.columns if n != "text"]
     schema = T.StructType([source.schema[n] for n in names] + [T.StructField("fp", T.LongType())])
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -71,6 +68,10 @@ def fingerprints(documents: DataFrame, shingle: int = SHINGLE, carry: bool = Fal
     return map_text(source, work, schema)
 
 
+def _tie() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("tie")
+
+
 @dataclass(frozen=True)
 class Partitions:
     """Bits in groups, and what is needed to estimate how many fingerprints share a value.
@@ -307,17 +308,13 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 
 def fingerprint_groups(documents: DataFrame, shingle: int, distance: int,
-                       carry: bool) -> tuple[DataFrame, DataFrame]:
-    """Stored tables: a row per document with its ``fp``, and each fp's label and component.
+                       tell_apart: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Stored tables: the fingerprint rows, and each fingerprint's label and component.
 
-    With ``carry`` the former also has the input's ``row``, and ``uid``, a number of its own.
     Copies are reduced to one fingerprint before anything is compared, with a map-side
     combine, and only distinct fingerprints are indexed, probed and linked.
     """
-    marked = fingerprints(documents, shingle, carry)
-    if carry:
-        marked = marked.withColumn("uid", F.monotonically_increasing_id())
-    marked = materialize(marked, "fingerprints")
+    marked = materialize(fingerprints(documents, shingle, tell_apart), "fingerprints")
     distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     labels = components(links(distinct, distance))
     labelled = materialize(distinct.join(labels, distinct.fp == labels.node, "left").select(
@@ -335,7 +332,7 @@ def grouped(documents: DataFrame, shingle: int = SHINGLE, distance: int = DISTAN
     stay as many rows; null doc_ids do not count as least, so a group of nothing else has a
     null component. An empty table gives an empty one. Other columns are not read.
     """
-    marked, groups = fingerprint_groups(documents, shingle, distance, carry=False)
+    marked, groups = fingerprint_groups(documents, shingle, distance)
     return marked.join(groups, "fp")
 
 
@@ -343,14 +340,22 @@ def keep_one(documents: DataFrame, shingle: int = SHINGLE, distance: int = DISTA
     """One document of each group, columns unchanged: that with the least doc_id.
 
     Of rows that repeat it, or if a group has null doc_ids only, any one row stays. Which rows
-    stay is settled on narrow rows; the documents themselves move once, to be picked.
+    stay is settled on narrow rows and stored; the documents themselves move once, to be picked.
     """
-    marked, groups = fingerprint_groups(documents, shingle, distance, carry=True)
-    rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("uid"))
-    first = (marked.select("fp", "doc_id", "uid").join(groups, "fp").groupBy("label")
-             .agg(F.min(rank).alias("first")).select(F.col("first.uid").alias("uid")))
+    marked, groups = fingerprint_groups(documents, shingle, distance, tell_apart=True)
+    key = [F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id")]
+    rank = F.struct(*key, "tie")
+    first = marked.join(groups, "fp").groupBy("label").agg(F.min(rank).alias("first")).select("first.*")
     kept = materialize(first, "kept")
-    return marked.select("uid", "row").join(kept, "uid", "left_semi").select("row.*")
+    names = kept.columns
+    rows = documents.select(F.struct("*").alias("row"), *key, _tie())
+    picked = rows.join(kept, names, "left_semi")
+    same = marked.select(*key, "tie").groupBy(names).count().filter("count > 1").select(names)
+    same = materialize(same.join(kept, names, "left_semi"), "same")
+    if same.limit(1).count():
+        once = picked.join(same, names, "left_semi").dropDuplicates(names)
+        picked = picked.join(same, names, "left_anti").unionByName(once)
+    return picked.select("row.*")
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
