@@ -28,6 +28,74 @@ TEMPLATES = [
                      "are permitted provided that the following conditions are met."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
+# Published headers and licences, however they are wrapped and commented, and titles of one to
+# three lines. The query's SQL states the wordings above only; none of these is in the tables.
+NOTICES = [
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+            "associated documentation files (the \"Software\"), to deal in the Software without restriction, "
+            "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+            "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+            "subject to the following conditions: The above copyright notice and this permission notice shall be "
+            "included in all copies or substantial portions of the Software."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except "
+                   "in compliance with the License. You may obtain a copy of the License at "
+                   "http://www.apache.org/licenses/LICENSE-2.0"),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                "General Public License as published by the Free Software Foundation, either version 3 of the License, "
+                "or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of "
+                 "the License, or (at your option) any later version."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+                     "provided that the following conditions are met: 1. Redistributions of source code must retain "
+                     "the above copyright notice, this list of conditions and the following disclaimer. "
+                     "2. Redistributions in binary form must reproduce the above copyright notice, this list of "
+                     "conditions and the following disclaimer in the documentation and/or other materials provided "
+                     "with the distribution."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+                     "provided that the following conditions are met:"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
+                "MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("CC-BY-4.0", "This work is licensed under the Creative Commons Attribution 4.0 International License. To view a "
+                  "copy of this license, visit http://creativecommons.org/licenses/by/4.0/"),
+]
+TITLES = [
+    ("MIT", "MIT License"), ("MIT", "The MIT License (MIT)"), ("ISC", "ISC License"),
+    ("Apache-2.0", "Apache License, Version 2.0"), ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("GPL-3.0", "GNU General Public License Version 3"), ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("BSD-3-Clause", "BSD 3-Clause License"), ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("CC-BY-4.0", "Attribution 4.0 International"), ("CC-BY-4.0", "Creative Commons Attribution 4.0 International"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International Public License"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
+    ("CC-BY-ND-4.0", "Creative Commons Attribution-NoDerivatives 4.0 International Public License"),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"), ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0"),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0"), ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0"),
+    ("CC0-1.0", "CC0 1.0 Universal"),
+    *[(name, f"SPDX-License-Identifier: {identifier}") for name, identifier in [
+        ("MIT", "MIT"), ("ISC", "ISC"), ("Apache-2.0", "Apache-2.0"), ("MPL-2.0", "MPL-2.0"),
+        ("GPL-2.0", "GPL-2.0"), ("GPL-2.0", "GPL-2.0-only"), ("GPL-2.0", "GPL-2.0-or-later"),
+        ("GPL-3.0", "GPL-3.0"), ("GPL-3.0", "GPL-3.0-only"), ("GPL-3.0", "GPL-3.0-or-later"),
+        ("LGPL-2.1", "LGPL-2.1-only"), ("LGPL-2.1", "LGPL-2.1-or-later"), ("LGPL-3.0", "LGPL-3.0-or-later"),
+        ("AGPL-3.0", "AGPL-3.0-only"), ("AGPL-3.0", "AGPL-3.0-or-later"),
+        ("BSD-2-Clause", "BSD-2-Clause"), ("BSD-3-Clause", "BSD-3-Clause"), ("CC0-1.0", "CC0-1.0"),
+        ("CC-BY-4.0", "CC-BY-4.0"), ("CC-BY-SA-4.0", "CC-BY-SA-4.0"), ("CC-BY-NC-4.0", "CC-BY-NC-4.0")]],
+]
+# What a passage must have to be of a family, in words joined by single blanks.
+FAMILIES = {
+    "MIT": r"\bmit\b|permission is hereby granted", "ISC": r"\bisc\b|permission to use copy modify",
+    "Apache": r"\bapache|compliance with the license", "GPL": r"general public license|\b[al]?gpl",
+    "BSD": r"\bbsd\b|redistribution and use", "MPL": r"mozilla public license|\bmpl\b",
+    "CC": r"\bcc by\b|attribution", "CC0": r"\bcc0\b",
+}
+# Lines of titles; words, and lines, after a passage in which variants are told apart.
+TITLE_LINES, AFTER, AFTER_LINES = 3, 300, 40
 # Names of files that speak for their directory and all below it.
 LICENCE_FILES = ("license", "licence", "copying", "unlicense")
 
@@ -73,41 +141,29 @@ class Weights:
         return sorted(found)
 
 
-def weigh(texts: DataFrame, templates: list[tuple[str, str]]) -> Weights:
+def weigh(texts: DataFrame, *templates: list[tuple[str, str]]) -> list[Weights]:
     """Count in how many texts each template word occurs, over all texts.
 
     The driver gets a row per template word.
     """
-    vocabulary = sorted({w for _, t in templates for w in _words(t)})
+    vocabulary = sorted({w for own in templates for _, t in own for w in _words(t)})
     known = F.array(*[F.lit(w) for w in vocabulary])
     present = texts.select(F.explode(F.array_append(
         F.array_intersect(terms(F.coalesce(F.col("text"), F.lit(""))), known), F.lit(""))).alias("word"))
     counts = {r.word: r["n"] for r in present.groupBy("word").agg(F.count("*").alias("n")).collect()}
-    return Weights(templates, counts.pop("", 0), counts)
-
+    total = counts.pop("", 0)
+    return [Weights(own, total, counts) for own in templates]
 
-def declared(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
-             least: float = LEAST_COSINE) -> DataFrame:
-    """The licence that each file's closest passage declares: file_id, licence, score.
 
-    Files without a passage of cosine ``least`` are left out. Words that no template has count
-    with the weight of a word that no text has. Passages without any telling word cannot reach
-    the cosine and are dropped before they are taken apart. Of equal scores the first
-    licence by name is given; a file_id that repeats gives one row.
-    """
-    texts = files.select("file_id", F.col("text").cast("string").alias("text"))
-    weights = weigh(texts, templates)
-    telling = "(?<![0-9a-z])(" + "|".join(weights.telling(least)) + ")(?![0-9a-z])"
-    lines = (texts.filter(F.lower("text").rlike(telling))
-             .select("file_id", F.posexplode(passages(F.col("text"))).alias("line", "passage"))
-             .filter(F.lower("passage").rlike(telling)))
-    spark = files.sparkSession
+def closest(rows: DataFrame, weights: Weights, least: float) -> DataFrame:
+    """Licences of cosine ``least`` to a passage, of rows file_id, line and passage."""
+    spark = rows.sparkSession
     idf = spark.createDataFrame(sorted(weights.idf.items()), "word string, idf double")
     vectors = spark.createDataFrame(
         [(n, name, word, x / norm) for n, (name, vector, norm) in enumerate(weights.vectors)
          for word, x in sorted(vector.items())], "template int, licence string, word string, share double")
     # both tables have a row per word of the templates, whatever the input
-    counted = (lines.select("file_id", "line", F.explode(terms(F.col("passage"))).alias("word"))
+    counted = (rows.select("file_id", "line", F.explode(terms(F.col("passage"))).alias("word"))
                .groupBy("file_id", "line", "word").agg(F.count("*").alias("n"))
                .join(F.broadcast(idf), "word", "left")
                .withColumn("weight", F.col("n") * F.coalesce("idf", F.lit(weights.unseen))))
@@ -116,9 +172,128 @@ def declared(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
             .groupBy("file_id", "line", "template", "licence")
             .agg(F.sum(F.col("weight") * F.col("share")).alias("dot")))
     scored = dots.join(norms, [dots.file_id.eqNullSafe(norms.file_id), dots.line == norms.line]).select(
-        dots.file_id, "licence", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
+        dots.file_id, dots.line, "licence", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
+    scored = scored.filter(F.col("score") >= least)
+    # of several variants that are close enough, the words after the passage decide
+    places = rows.select(F.col("file_id").alias("of"), F.col("line").alias("at"), "passage", "context").distinct()
+    found = scored.join(places, [scored.file_id.eqNullSafe(places.of), scored.line == places["at"]])
+    family, own = family_of(F.col("licence")), joined(F.col("passage"))
+    has = F.lit(False)
+    for name, pattern in FAMILIES.items():
+        has = F.when(family == name, own.rlike(pattern)).otherwise(has)
+    known = family.isin(*FAMILIES)
+    return found.filter(has | ~known).select("file_id", variant(F.col("licence"), F.col("context")).alias("licence"), "score")
+
+
+def joined(text: Column) -> Column:
+    """The words in a row: comment marks, punctuation and line ends are single blanks."""
+    return F.trim(F.regexp_replace(F.lower(text), "[^0-9a-z]+", " "))
+
+
+def family_of(licence: Column) -> Column:
+    return F.regexp_replace(F.regexp_extract(licence, "^[A-Za-z]+0?", 0), "^[AL]GPL$", "GPL")
+
+
+def variant(licence: Column, context: Column) -> Column:
+    """The licence of its family that the words of ``context`` name, else ``licence`` itself."""
+    def part(pattern: str, group: int) -> Column:
+        return F.regexp_extract(context, pattern, group)
+
+    def version(pattern: str, group: int) -> Column:
+        minor = part(pattern, group + 1)
+        return F.concat(part(pattern, group), F.lit("."), F.when(minor == "", "0").otherwise(minor))
+
+    named = r"(?:(affero|lesser|library) )?(?:general public license|\b([al]?)gpl)"
+    since = (r"(?:general public license|gpl)(?: as published by the free software foundation)?"
+             r"(?: either)?(?: version| v)? ?v?([123])(?: ([01])\b)?(?![0-9])")
+    kind = F.when((part(named, 1) == "affero") | (part(named, 2) == "a"), "AGPL").when(
+        (part(named, 1) != "") | (part(named, 2) == "l"), "LGPL").otherwise("GPL")
+    gpl = F.when(part(since, 1) != "", F.concat(kind, F.lit("-"), version(since, 1))).when(
+        kind == "AGPL", "AGPL-3.0").when(kind == "LGPL", "LGPL").otherwise(licence)
+    apache = r"apache(?: software)?(?: license)?(?: version| v)? ?v?([12])(?: ([01])\b)?(?![0-9])"
+    mozilla = r"(?:mozilla public license|mpl)(?: version| v)? ?([12])(?: ([01])\b)?(?![0-9])"
+    clause = part(r"\b(?:bsd ([234]) clause|([234]) clause bsd)", 0)
+    first = part("redistribution and use.*?(all advertising materials|neither the name|this software is provided)", 1)
+    bsd = (F.when(clause != "", F.concat(F.lit("BSD-"), F.regexp_extract(clause, "[234]", 0), F.lit("-Clause")))
+           .when(first == "all advertising materials", "BSD-4-Clause").when(first == "neither the name", "BSD-3-Clause")
+           .when(first != "", "BSD-2-Clause").otherwise(licence))
+    commons = (r"\b(?:cc by|attribution)((?: (?:nc|sa|nd|non ?commercial|share ?alike|no ?deriv(?:ative)?s?))*)"
+               r"(?: license)?(?: version)?(?: ([1-4]) ([05])\b)?")
+    terms_of = part(commons, 1)
+    cc = F.when(part(commons, 0) == "", licence).otherwise(F.concat(
+        F.lit("CC-BY"), F.when(terms_of.rlike("nc|commercial"), "-NC").otherwise(""),
+        F.when(terms_of.rlike("sa|alike"), "-SA").otherwise(""), F.when(terms_of.rlike("nd|deriv"), "-ND").otherwise(""),
+        F.lit("-"), F.when(part(commons, 2) == "", "4.0").otherwise(version(commons, 2))))
+    family = family_of(licence)
+    return (F.when(family == "GPL", gpl).when(family == "BSD", bsd).when(family == "CC", cc)
+            .when((family == "Apache") & (part(apache, 1) != ""), F.concat(F.lit("Apache-"), version(apache, 1)))
+            .when((family == "MPL") & (part(mozilla, 1) != ""), F.concat(F.lit("MPL-"), version(mozilla, 1)))
+            .otherwise(licence))
+
+
+def windows(texts: DataFrame) -> DataFrame:
+    """Joined stretches of texts that speak of licences: file_id, line (a key), passage, context.
+
+    Titles are one to three consecutive lines that have words. Notices are as many words as
+    the notice has, beginning at every quarter of it, where its family's words are in reach.
+    """
+    rows = texts.withColumn("lines", F.filter(
+        F.transform(F.split("text", "\n"), joined), lambda x: x != "")).filter(F.size("lines") > 0)
+    rows = materialize(rows.select("file_id", "lines", terms(F.col("text")).alias("words")), "marked")
+    titles = (rows.select("file_id", "lines", F.explode(F.sequence(F.lit(0), F.size("lines") - 1)).alias("at"))
+              .select("file_id", "at", "lines",
+                      F.explode(F.array(*[F.lit(n) for n in range(1, TITLE_LINES + 1)])).alias("n"))
+              .filter(F.col("at") + F.col("n") <= F.size("lines"))
+              .select("file_id", F.concat_ws("-", F.lit("title"), "n", "at").alias("line"),
+                      F.array_join(F.slice("lines", F.col("at") + 1, F.col("n")), " ").alias("passage"),
+                      F.array_join(F.slice("lines", F.col("at") + 1, F.lit(AFTER_LINES)), " ").alias("context"))
+              .filter(F.size(F.split("passage", " ")) <= 24)
+              .filter(F.col("passage").rlike("|".join(FAMILIES.values()))))
+    kinds = sorted({(name, len(_words(text))) for name, text in NOTICES})
+    wanted = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(FAMILIES[_family(name)]).alias("needs")) for name, n in kinds])
+    text = F.array_join("words", " ")
+    notices = (rows.select("file_id", "words", text.alias("whole"), F.explode(wanted).alias("kind"))
+               .select("file_id", "words", "whole", "kind.n", "kind.needs").filter(F.expr("rlike(whole, needs)"))
+               .select("file_id", "words", "n", "needs", F.explode(F.expr(
+                   "sequence(0, size(words) - 1, n div 4)")).alias("at"))
+               .withColumn("passage", F.array_join(F.slice("words", F.col("at") + 1, F.col("n")), " "))
+               .filter(F.expr("rlike(passage, needs)"))
+               .select("file_id", F.concat_ws("-", F.lit("notice"), "n", "at").alias("line"), "passage",
+                       F.array_join(F.slice("words", F.col("at") + 1, F.col("n") + AFTER), " ").alias("context")))
+    return titles.union(notices).distinct()
+
+
+def _family(name: str) -> str:
+    return "GPL" if "GPL" in name else name.split("-")[0]
+
+
+def declared(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
+             least: float = LEAST_COSINE) -> DataFrame:
+    """The licence that each file's closest passage declares: file_id, licence, score.
+
+    Passages are lines and sentences for ``templates``, joined lines for titles, and joined
+    words for published notices. Versions and clauses named in or after a passage decide
+    between the variants of a licence. Files without a passage of cosine ``least`` are left
+    out. Words that no template has count with the weight of a word that no text has.
+    Lines without any telling word cannot reach the cosine and are dropped before they are
+    taken apart. Of equal scores the first licence by name is given; a file_id that repeats
+    gives one row.
+    """
+    texts = files.select("file_id", F.col("text").cast("string").alias("text"))
+    weights, wider = weigh(texts, templates, [*NOTICES, *TITLES])
+    telling = "(?<![0-9a-z])(" + "|".join(weights.telling(least)) + ")(?![0-9a-z])"
+    lines = (texts.filter(F.lower("text").rlike(telling))
+             .withColumn("parts", passages(F.col("text")))
+             .select("file_id", "parts", F.posexplode("parts").alias("line", "passage"))
+             .filter(F.lower("passage").rlike(telling))
+             .select("file_id", "line", "passage", joined(F.array_join(
+                 F.slice("parts", F.col("line") + 1, F.lit(AFTER_LINES)), " ")).alias("context")))
+    marks = "licen[sc]e|spdx|creative commons|cc0|attribution|permission|redistribution"
+    marked = texts.filter(F.lower("text").rlike(marks))
+    lines = materialize(lines, "lines")
+    found = closest(lines, weights, least).union(closest(materialize(windows(marked), "windows"), wider, least))
     best = F.min(F.struct((-F.col("score")).alias("rank"), "licence"))
-    return scored.filter(F.col("score") >= least).groupBy("file_id").agg(best.alias("best")).select(
+    return found.groupBy("file_id").agg(best.alias("best")).select(
         "file_id", F.col("best.licence").alias("licence"), (-F.col("best.rank")).alias("score"))
 
 

@@ -176,6 +176,64 @@ def test_licences(spark):
     assert licences.licences(df.limit(0)).count() == 0
 
 
+WRAPPED_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+BSD = [""" * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions
+ * are met:
+ * 1. Redistributions of source code must retain the above copyright
+ *    notice, this list of conditions and the following disclaimer.
+ * 2. Redistributions in binary form must reproduce the above copyright
+ *    notice, this list of conditions and the following disclaimer in the
+ *    documentation and/or other materials provided with the distribution.
+""", """ * 3. Neither the name of the University nor the names of its contributors
+ *    may be used to endorse or promote products derived from this software.
+""", """ * THIS SOFTWARE IS PROVIDED BY THE REGENTS AND CONTRIBUTORS ``AS IS'' AND
+ * ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."""]
+GPL = """# This program is free software; you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation; either version {} of the License, or
+# (at your option) any later version."""
+APACHE = """// Licensed under the Apache License, Version 2.0 (the "License");
+// you may not use this file except in compliance with the License.
+// You may obtain a copy of the License at
+//
+//     http://www.apache.org/licenses/LICENSE-2.0"""
+
+
+def test_published_notices(spark):
+    """Wrapped and commented notices, titles and identifiers, among prose and alone."""
+    prose = sentence(7, 300)
+    cases = [
+        ("MIT License\n\nCopyright (c) 2020 A\n\n" + WRAPPED_MIT, "MIT"), (prose + "\n" + WRAPPED_MIT + "\n" + prose, "MIT"),
+        ("The MIT License (MIT)", "MIT"), ("MIT License", "MIT"),
+        ("/*\n" + BSD[0] + BSD[1] + BSD[2], "BSD-3-Clause"), ("/*\n" + BSD[0] + BSD[2], "BSD-2-Clause"),
+        (prose + "\n" + BSD[0] + BSD[2], "BSD-2-Clause"),
+        (GPL.format(2), "GPL-2.0"), (prose + "\n" + GPL.format(3) + "\n" + prose, "GPL-3.0"),
+        (GPL.format("2.1").replace("GNU General", "GNU Lesser General"), "LGPL-2.1"),
+        (APACHE, "Apache-2.0"), (prose + "\n" + APACHE + "\n" + prose, "Apache-2.0"),
+        ("        GNU GENERAL PUBLIC LICENSE\n          Version 3, 29 June 2007\n" + prose, "GPL-3.0"),
+        ("GNU GENERAL PUBLIC LICENSE\nVersion 3", "GPL-3.0"), ("GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991", "GPL-2.0"),
+        ("# SPDX-License-Identifier: MIT\nimport x", "MIT"), ("// SPDX-License-Identifier: GPL-2.0-only\n", "GPL-2.0"),
+        ("/* SPDX-License-Identifier: Apache-2.0 */", "Apache-2.0"), ("# SPDX-License-Identifier: BSD-2-Clause", "BSD-2-Clause"),
+        ("# SPDX-License-Identifier: EPL-2.0", None), ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+        ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"), ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
+        (prose, None), ("Please read the license before use of the software.", None),
+    ]
+    rows = [(k, f"{k}/LICENSE", t) for k, (t, _) in enumerate(cases)] + [(k + 100, f"{k}/a/b", "") for k in range(len(cases))]
+    rows += [(1000 + k, f"z/{k}", sentence(k, 40)) for k in range(200)]
+    found = licences.licences(spark.createDataFrame(rows, "file_id long, path string, text string").repartition(4))
+    got = {r.file_id: r.licence for r in found.collect()}
+    assert [(got[k], got[k + 100]) for k in range(len(cases))] == [(want, want) for _, want in cases]
+
+
 def test_no_python_on_the_native_path(spark, given):
     for df in (sharding.shard(given[0]), licences.licences(given[0].selectExpr("doc_id AS file_id", "source AS path", "text"))):
         plan = df._jdf.queryExecution().toString()
