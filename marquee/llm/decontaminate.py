@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,7 +23,8 @@ K1, B = 1.2, 0.75
 # over the texts, so what a worker holds stays bounded; the index of one pass takes a few MB.
 PASS_ITEMS, PASS_WORDS = 1024, 200_000
 BLOCK_ITEMS = 16
-# A passage is this much longer than the longest item, to leave room for words put in.
+# An item is looked for in windows of twice its words and this much more, to leave room for words
+# put in. Passages are cut so that each window of each item lies within one.
 ROOM = 1.25
 
 # Letters and digits of ASCII in lower case and all bytes of other characters make up words.
@@ -57,15 +58,49 @@ class Item:
         twice = len(self.question) + len(self.answer) - 2 * (SHINGLE - 1) - len(self.q) - len(self.a)
         return absent * (SHINGLE if short else 1) * (1 + max(0, twice))
 
+    def span(self) -> int:
+        """The words of a window that is searched for the item; of other items none counts."""
+        return 2 * stride_of(len(self.question) + len(self.answer))
+
     def found_in(self, passage: list[bytes]) -> tuple[int, int] | None:
-        """Shingles of question and answer that the passage has, if they are enough."""
-        own = {size: shingles(passage, size) if len(passage) >= size else set() for size in {
-            min(SHINGLE, len(p)) for p in (self.question, self.answer) if p}}
-        q = len(self.q & own[min(SHINGLE, len(self.question))]) if self.q else 0
-        a = len(self.a & own[min(SHINGLE, len(self.answer))]) if self.a else 0
-        enough = (100 * (q + a) >= OVERLAP_PCT * (len(self.q) + len(self.a))
-                  and 100 * q >= PART_PCT * len(self.q) and 100 * a >= PART_PCT * len(self.a))
-        return (q, a) if enough else None
+        """Shingles of question and answer in the best window of the passage, if they are enough.
+
+        Windows begin at every word. Only those that end with a shingle of the item can be
+        better than the one before them.
+        """
+        places = []
+        for part, (words_of, grams) in enumerate(((self.question, self.q), (self.answer, self.a))):
+            size = min(SHINGLE, len(words_of))
+            for i in range(len(passage) - size + 1 if grams else 0):
+                gram = b" ".join(passage[i:i + size])
+                if gram in grams:
+                    places.append((i + size, i, part, gram))
+        if not self._enough(*(len({g for _, _, p, g in places if p == part}) for part in (0, 1))):
+            return None
+        span, best = self.span(), None
+        held, counts = (deque(), deque()), (Counter(), Counter())
+        for end, begin, part, gram in sorted(places):
+            held[part].append((begin, gram))
+            counts[part][gram] += 1
+            for own, seen in zip(held, counts):
+                while own and own[0][0] < end - span:
+                    gone = own.popleft()[1]
+                    seen[gone] -= 1
+                    if not seen[gone]:
+                        del seen[gone]
+            got = (len(counts[0]), len(counts[1]))
+            if self._enough(*got) and (best is None or (sum(got), got) > (sum(best), best)):
+                best = got
+        return best
+
+    def _enough(self, q: int, a: int) -> bool:
+        return (100 * (q + a) >= OVERLAP_PCT * (len(self.q) + len(self.a))
+                and 100 * q >= PART_PCT * len(self.q) and 100 * a >= PART_PCT * len(self.a))
+
+
+def stride_of(length: int) -> int:
+    """The words between passages for items of at most ``length`` words."""
+    return max(1, int(length * ROOM + 1))
 
 
 class Index:
@@ -107,7 +142,8 @@ class Index:
     def search(self, texts: list[list[bytes]], stride: int) -> Iterator[tuple[int, int, int]]:
         """(text, passage, item) of every passage that scores enough for an item.
 
-        Passages of two strides begin at every stride. A passage is left as soon as the
+        Passages of three strides begin at every stride, so each holds all windows of two
+        strides that begin before the next passage. A passage is left as soon as the
         largest weights of its terms add up to too little, then block by block; only in blocks
         that can reach the score are items scored.
         """
@@ -117,12 +153,12 @@ class Index:
         place = np.arange(len(ids)) - np.repeat(np.cumsum(counts) - counts, counts)
         known = ids >= 0
         ids, text, passage = ids[known], text[known], place[known] // stride
-        back = passage > 0
+        back = [passage >= n for n in range(3)]
         widest = int(passage.max(initial=0)) + 1
-        keys = np.concatenate((text * widest + passage, (text * widest + passage - 1)[back]))
+        keys = np.concatenate([(text * widest + passage - n)[b] for n, b in enumerate(back)])
         if not len(keys):
             return
-        pairs = np.unique(keys * len(self.terms) + np.concatenate((ids, ids[back])))
+        pairs = np.unique(keys * len(self.terms) + np.concatenate([ids[b] for b in back]))
         owner, term = np.divmod(pairs, len(self.terms))
         enough = np.float32(1 - 1e-4)
 
@@ -153,7 +189,7 @@ class Index:
         tokens = [words(t) for t in texts]
         found: dict[tuple[int, int], tuple[int, int]] = {}
         for text, passage, number in self.search(tokens, stride):
-            hits = self.items[number].found_in(tokens[text][passage * stride: (passage + 2) * stride])
+            hits = self.items[number].found_in(tokens[text][passage * stride: (passage + 3) * stride])
             if hits:
                 before = found.get((text, number), (-1, -1))
                 found[text, number] = max(before, hits, key=lambda h: (sum(h), h))
@@ -196,16 +232,16 @@ def indexes(items: DataFrame) -> tuple[int, list[Index]]:
         if chosen:
             held = [Item(r["item_id"], r["question"], r["answer"]) for r in chosen]
             out.append(Index(held, {bytes(r.term): r.n for r in own}, total, length / total))
-    return max(1, int(longest * ROOM + 1)), out
+    return stride_of(longest), out
 
 
 def leaked(documents: DataFrame, items: DataFrame) -> DataFrame:
     """Pairs of documents and items of which they have question and answer.
 
-    ``items`` has item_id, question and answer. A pair is kept if one passage of the document
-    has at least 80 % of the five-word shingles of both together, and half of each. Case and
-    punctuation do not count. Rows: doc_id, item_id, shingles found and asked for of question
-    (q_found, q_shingles) and answer. Items without words are never found, and repeated items
+    ``items`` has item_id, question and answer. A pair is kept if some window of the document,
+    of twice the item's words and a quarter more, has at least 80 % of the five-word shingles of
+    both together, and half of each. Case and punctuation do not count. Rows: doc_id, item_id,
+    shingles found and asked for of question (q_found, q_shingles) and answer. Items without words are never found, and repeated items
     count once. Null or empty texts have nothing, repeated rows are repeated.
     """
     source = narrow(documents, "doc_id", "text")

@@ -178,6 +178,28 @@ def test_leaks(spark, monkeypatch, at_once):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(d) for d, _ in planted() if d not in bad)
 
 
+def test_separated_parts_are_found_at_every_offset(spark):
+    """Text between question and answer; a longer item of the benchmark changes nothing."""
+    question, answer = sentence(200, 40), sentence(201, 19)
+    documents = []
+    for between in (45, 60, 80, 100):
+        middle = sentence(300 + between, between)
+        for offset in range(150):
+            documents.append((1000 * between + offset, sentence(400 + offset, offset) + " " + question + " "
+                              + middle + " " + answer))
+    df = spark.createDataFrame(documents, "doc_id long, text string")
+    items = [(1, question, answer), (2, sentence(202, 200), sentence(203, 90))]
+    found = [{r.doc_id for r in decontaminate.leaked(
+        df, spark.createDataFrame(own, "item_id long, question string, answer string")).collect() if r.item_id == 1}
+        for own in (items[:1], items)]
+    span = 2 * int(1.25 * 59 + 1)
+    want = {1000 * between + k for between in (45, 60, 80) for k in range(150) if 59 + between <= span}
+    assert found[0] == found[1]
+    assert want <= found[0]
+    some = [d for d in documents if d[0] % 1000 % 37 == 0]
+    assert {d for d, _ in brute.leaks(some, items[:1])} == found[0] & {d for d, _ in some}
+
+
 def test_leaks_in_nothing(spark, none):
     items = spark.createDataFrame(ITEMS, "item_id long, question string, answer string")
     assert decontaminate.leaked(none, items).count() == 0
