@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter, deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -196,11 +196,11 @@ class Index:
         return found
 
 
-def indexes(items: DataFrame) -> tuple[int, list[Index]]:
-    """The stride of passages, and an index for each pass.
+def indexes(items: DataFrame) -> tuple[int, int, Callable[[int], Index | None]]:
+    """The stride of passages, the number of passes, and what builds the index of a pass.
 
-    Term statistics are counted by Spark over all items. The driver holds the items of one
-    pass at a time, and the frequencies of their words.
+    Term statistics are counted by Spark over all items. The index of a pass is built when it is
+    asked for, from the items of that pass and the frequencies of their words.
     """
     spark = items.sparkSession
     ship_package(spark)
@@ -225,14 +225,16 @@ def indexes(items: DataFrame) -> tuple[int, list[Index]]:
     counted = materialize(counted.withColumn("pass", F.pmod("digest", F.lit(passes))), "items")
     terms = counted.select("pass", F.explode(F.array_distinct("words")).alias("term"))
     frequency = materialize(terms.groupBy("term").agg(F.count("*").alias("n")), "frequency")
-    out = []
-    for number in range(passes):
+
+    def build(number: int) -> Index | None:
         chosen = counted.filter(F.col("pass") == number).orderBy("digest").toArrow().to_pylist()
+        if not chosen:
+            return None
         own = frequency.join(terms.filter(F.col("pass") == number).select("term").distinct(), "term").collect()
-        if chosen:
-            held = [Item(r["item_id"], r["question"], r["answer"]) for r in chosen]
-            out.append(Index(held, {bytes(r.term): r.n for r in own}, total, length / total))
-    return stride_of(longest), out
+        held = [Item(r["item_id"], r["question"], r["answer"]) for r in chosen]
+        return Index(held, {bytes(r.term): r.n for r in own}, total, length / total)
+
+    return stride_of(longest), passes, build
 
 
 def leaked(documents: DataFrame, items: DataFrame) -> DataFrame:
@@ -244,14 +246,24 @@ def leaked(documents: DataFrame, items: DataFrame) -> DataFrame:
     shingles found and asked for of question (q_found, q_shingles) and answer. Items without words are never found, and repeated items
     count once. Null or empty texts have nothing, repeated rows are repeated.
     """
+    return _leaked(documents, items, *indexes(items))
+
+
+def _leaked(documents: DataFrame, items: DataFrame, stride: int, passes: int,
+            build: Callable[[int], Index | None]) -> DataFrame:
+    """Of several passes, each is stored and its index given up before the next is built."""
     source = narrow(documents, "doc_id", "text")
     kind = items.schema["item_id"]
     names = ["q_found", "q_shingles", "a_found", "a_shingles"]
     schema = T.StructType([source.schema["doc_id"], kind, *[T.StructField(n, T.LongType()) for n in names]])
-    stride, found = indexes(items)
+    batch_type = pa.int64() if isinstance(kind.dataType, T.LongType) else None
     out = None
-    for index in found:
+    for number in range(passes):
+        index = build(number)
+        if index is None:
+            continue
         everywhere = documents.sparkSession.sparkContext.broadcast(index)
+        del index
 
         def work(batch: pa.RecordBatch, everywhere=everywhere) -> pa.RecordBatch:
             index = everywhere.value
@@ -265,26 +277,37 @@ def leaked(documents: DataFrame, items: DataFrame) -> DataFrame:
                 [batch.column("doc_id").take(texts), ids, *[pa.array(n, pa.int64()) for n in numbers]],
                 schema.names)
 
-        batch_type = pa.int64() if isinstance(kind.dataType, T.LongType) else None
         part = map_text(source, work, schema)
+        if passes > 1:
+            part = materialize(part, "leaks")
+            everywhere.destroy()
         out = part if out is None else out.union(part)
     return out if out is not None else documents.sparkSession.createDataFrame([], schema)
 
 
 def keep_clean(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents, columns unchanged, in which no item is found."""
-    stride, found = indexes(items)
+    """The documents, columns unchanged, in which no item is found.
+
+    After several passes, what was found in each is known by the digest of the text.
+    """
+    stride, passes, build = indexes(items)
     source = documents.select("text", F.struct("*").alias("row"))
+    if passes > 1:
+        digest = F.sha2(F.col("text").cast("binary"), 256)
+        bad = _leaked(documents.select(digest.alias("doc_id"), "text"), items, stride, passes, build)
+        bad = bad.select(F.col("doc_id").alias("digest")).distinct()
+        return source.withColumn("digest", digest).join(bad, "digest", "left_anti").select("row.*")
+    index = build(0)
+    if index is None:
+        return documents
+    everywhere = documents.sparkSession.sparkContext.broadcast(index)
     schema = T.StructType([source.schema["text"], source.schema["row"]])
-    for index in found:
-        everywhere = documents.sparkSession.sparkContext.broadcast(index)
 
-        def work(batch: pa.RecordBatch, everywhere=everywhere) -> pa.RecordBatch:
-            bad = {text for text, _ in everywhere.value.leaks(octets(batch, "text"), stride)}
-            return batch.filter(pa.array([i not in bad for i in range(batch.num_rows)], pa.bool_()))
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        bad = {text for text, _ in everywhere.value.leaks(octets(batch, "text"), stride)}
+        return batch.filter(pa.array([i not in bad for i in range(batch.num_rows)], pa.bool_()))
 
-        source = map_text(source, work, schema)
-    return source.select("row.*")
+    return map_text(source, work, schema).select("row.*")
 
 
 def halves(benchmark: DataFrame) -> DataFrame:

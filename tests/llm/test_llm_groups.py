@@ -1,5 +1,7 @@
 """Near-duplicates, repeated strings, leaks and the pipeline, against plain versions."""
 
+import weakref
+
 import brute
 import numpy as np
 import pytest
@@ -200,6 +202,25 @@ def test_separated_parts_are_found_at_every_offset(spark):
     assert {d for d, _ in brute.leaks(some, items[:1])} == found[0] & {d for d, _ in some}
 
 
+def test_one_index_is_held_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PASS_ITEMS", 2)
+    build, made, alive = decontaminate.Index.__init__, [], []
+
+    def counted(self, *args):
+        alive.append(sum(r() is not None for r in made))
+        made.append(weakref.ref(self))
+        build(self, *args)
+
+    monkeypatch.setattr(decontaminate.Index, "__init__", counted)
+    documents = spark.createDataFrame(planted(), "doc_id long, text string")
+    items = spark.createDataFrame(ITEMS, "item_id long, question string, answer string")
+    for search in (decontaminate.leaked, decontaminate.keep_clean):
+        made.clear()
+        search(documents, items)
+        assert len(made) > 1
+    assert set(alive) == {0}
+
+
 def test_leaks_in_nothing(spark, none):
     items = spark.createDataFrame(ITEMS, "item_id long, question string, answer string")
     assert decontaminate.leaked(none, items).count() == 0
