@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from marquee.llm import (
-    decontaminate, licences, quality, sentence_pieces, sharding, simhash, suffixes, token_counts, token_store, warc,
+    decontaminate, licences, packing, quality, resampling, sentence_pieces, sharding, simhash, suffixes, token_counts,
+    token_store, vector_codes, warc,
 )
 
 QUERIES = {
@@ -17,10 +18,15 @@ QUERIES = {
     "op8_licences": licences.op8_licences,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_quality_rules": quality.op10_quality_rules,
+    "op11_vector_codes": vector_codes.op11_vector_codes,
+    "op12_packing": packing.op12_packing,
+    "op13_resampling": resampling.op13_resampling,
 }
 ORACLE = {
     "op2_decontaminate": decontaminate.LEAK_SQL,
     "op4_warc": warc.WARC_SQL,
     "op8_licences": licences.LICENCE_SQL,
     "op10_quality_rules": quality.QUALITY_SQL,
+    "op11_vector_codes": vector_codes.CODES_SQL,
+    "op13_resampling": resampling.RESAMPLING_SQL,
 }
