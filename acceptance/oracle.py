@@ -335,6 +335,49 @@ STUMP = f"""select tconst, round(case when on_side then mean_on else mean_off en
 STUMP = STUMP.format(flags=", ".join(V.GENRE_FLAGS), names=", ".join(V.GENRE_FLAGS))
 
 
+# trees in full: sums by node, feature and value, as whole numbers of a unit; the best split of each
+# node by the penalised gain; a value for each leaf, added to the predictions before
+UNIT = 1 << 20
+
+
+def trees_sql(features: list[str], rounds: int, depth: int, rate: float, l1: float, l2: float,
+              least: int, least_gain: float) -> str:
+    def worth(g: str, n: str) -> str:
+        part = f"greatest(abs({g}::double / {UNIT}) - {l1}, 0)"
+        return f"{part} * {part} / ({n} + {l2})"
+
+    steps = [f"""x as materialized (select tconst, split, cast(target_rating as double) as y,
+        unnest([{", ".join(f"cast({f} as double)" for f in features)}]) as x, unnest(range({len(features)})) as f
+      from features join split using (tconst))""",
+             f"""p0 as materialized (select tconst, split, y, (select sum(cast(round_even(y * {UNIT}, 0) as bigint))
+        ::double / {UNIT} / count(*) from x where split = 'train' and f = 0) as predicted from x where f = 0)"""]
+    for t in range(rounds):
+        steps.append(f"""n{t}_0 as materialized (select tconst, split, 1 as node,
+          cast(round_even((predicted - y) * {UNIT}, 0) as bigint) as g from p{t})""")
+        for level in range(depth):
+            steps.append(f"""s{t}_{level} as materialized (select node, f, x from (
+              select node, f, x, {worth("lg", "ln")} + {worth("(tg - lg)", "(tn - ln)")} - {worth("tg", "tn")} as gain
+              from (select node, f, x, sum(g) over before as lg, sum(n) over before as ln,
+                  sum(g) over whole as tg, sum(n) over whole as tn
+                from (select node, f, x, sum(g)::bigint as g, count(*) as n from n{t}_{level} join x using (tconst)
+                  where x.split = 'train' and node >= {2 ** level} group by all)
+                window before as (partition by node, f order by x rows between unbounded preceding and 1 preceding),
+                  whole as (partition by node, f))
+              where ln >= {least} and tn - ln >= {least})
+              where gain >= {least_gain}
+              qualify row_number() over (partition by node order by gain desc, f, x) = 1)""")
+            steps.append(f"""n{t}_{level + 1} as materialized (select n.tconst, n.split, n.g, case when s.node is null
+                then n.node else 2 * n.node + cast(x.x >= s.x as integer) end as node
+              from n{t}_{level} n left join s{t}_{level} s using (node) left join x on x.tconst = n.tconst and x.f = s.f)""")
+        steps.append(f"""v{t} as (select node, -{rate} * (sign(g) * greatest(abs(g::double / {UNIT}) - {l1}, 0)
+            / (n + {l2})) as value
+          from (select node, sum(g)::bigint as g, count(*) as n from n{t}_{depth} where split = 'train' group by node))""")
+        steps.append(f"""p{t + 1} as materialized (select p.tconst, p.split, p.y, predicted + value as predicted
+          from p{t} p join n{t}_{depth} using (tconst) join v{t} using (node))""")
+    return sql("select * from (with " + ",\n".join(steps)
+               + f"\nselect tconst, round(predicted, 6) as predicted from p{rounds} where split = 'test')")
+
+
 # written to text and read back, these get the double nearest to their short form
 FLOATS = ("target_rating", "director_max_rating")
 
@@ -472,6 +515,8 @@ ORACLE: dict[str, str] = {
     "model_predictions": sql(PREDICTED),
     "model_sample": sql(PREDICTED + " order by md5('42:' || tconst), tconst limit 8"),
     "model_stump": sql(STUMP),
+    "model_one_tree": trees_sql(V.PLAIN_FEATURES, 1, 3, 1.0, 0.0, 1.0, 1, 0.01),
+    "model_two_trees": trees_sql(V.PLAIN_FEATURES, 2, 3, 0.5, 2.5, 1.0, 5, 0.1),
     "model_reloaded": sql("""select count(*) as test_rows, 0::bigint as differing_rows
       from split where split = 'test'"""),
     "score_features": request_features("training"),

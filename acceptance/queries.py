@@ -280,26 +280,33 @@ def stored_matrix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, EqualWid
     return tables.read_table(spark, path), bins
 
 
-def fitted(spark: SparkSession, sf_dir: str,
-           name: str = "v4-full") -> tuple[models.RatingModel, DataFrame, DataFrame]:
-    """A version fitted at its published settings, its metrics, and all rows.
+def fitted_paths(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> dict[str, str]:
+    """Where versions are stored, fitted at their published settings, all in one go.
 
-    Each version is fitted once per session and folder; its model and metrics are stored in
-    the shared folder, and the queries load them.
+    A version is fitted once per session and folder; its model and metrics are stored in the
+    shared folder, and the queries load them.
     """
     rows, bins = stored_matrix(spark, sf_dir)
-    version = next(v for v in models.VERSIONS if v.name == name)
-
-    def make():
+    application = spark.sparkContext.applicationId
+    missing = [v for v in models.VERSIONS if v.name in names and (application, sf_dir, v.name) not in _kept]
+    for name, (model, metrics) in models.train_versions(missing, rows, bins).items() if missing else ():
         path = scratch_path(spark, name)
-        model, metrics = models.train_version(version, rows, bins)
         model.save(f"{path}/model")
         tables.write_record(metrics, f"{path}/metrics")
-        return path
+        _kept[application, sf_dir, name] = path
+    return {name: _kept[application, sf_dir, name] for name in names}
 
-    path = once(spark, sf_dir, name, make)
-    metrics = spark.read.schema(models.METRICS).json(f"{path}/metrics")
-    return models.RatingModel.load(spark, f"{path}/model"), metrics, rows
+
+def stored_metrics(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
+    return [spark.read.schema(models.METRICS).json(f"{path}/metrics") for path in paths]
+
+
+def fitted(spark: SparkSession, sf_dir: str,
+           name: str = "v4-full") -> tuple[models.RatingModel, DataFrame, DataFrame]:
+    """A fitted version, its metrics, and all rows."""
+    path = fitted_paths(spark, sf_dir, (name,))[name]
+    rows, _ = stored_matrix(spark, sf_dir)
+    return models.RatingModel.load(spark, f"{path}/model"), stored_metrics(spark, [path])[0], rows
 
 
 def test_rows(rows: DataFrame) -> DataFrame:
@@ -361,12 +368,22 @@ def model_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test predictions of one tree with one split on the genre flags, all rows and columns used."""
     rows, bins = stored_matrix(spark, sf_dir)
-    plain = models.Boosting(rounds=1, depth=1, row_share=1.0, column_share=1.0)
+    plain = models.Boosting(rounds=1, depth=1, rate=1.0, row_share=1.0, column_share=1.0, l2=0.0)
     model = models.fit(rows.filter(F.col("split") == "train"), V.GENRE_FLAGS, bins, plain)
     predicted = models.predictions(model, test_rows(rows))
     return predicted.select("tconst", F.round("predicted", 6).alias("predicted"))
 
 
+def model_trees(settings: models.Boosting) -> Query:
+    """Test predictions of a few trees in full, all rows and columns used."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows, bins = stored_matrix(spark, sf_dir)
+        model = models.fit(rows.filter(F.col("split") == "train"), V.PLAIN_FEATURES, bins, settings)
+        predicted = models.predictions(model, test_rows(rows))
+        return predicted.select("tconst", F.round("predicted", 6).alias("predicted"))
+    return query
+
+
 def model_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many test rows a stored and reloaded model predicts differently: none."""
     model, _, rows = fitted(spark, sf_dir)
@@ -384,7 +401,8 @@ def model_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.history([fitted(spark, sf_dir, v.name)[1] for v in models.VERSIONS])
+    paths = fitted_paths(spark, sf_dir, tuple(v.name for v in models.VERSIONS))
+    return models.history(stored_metrics(spark, list(paths.values())))
 
 
 def model_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -609,6 +627,10 @@ QUERIES: dict[str, Query] = {
     "model_record": best_record,
     "model_curve": model_curve,
     "model_stump": model_stump,
+    "model_one_tree": model_trees(models.Boosting(
+        rounds=1, depth=3, rate=1.0, row_share=1.0, column_share=1.0, min_gain_total=0.01)),
+    "model_two_trees": model_trees(models.Boosting(
+        rounds=2, depth=3, rate=0.5, row_share=1.0, column_share=1.0, min_rows=5, min_gain_total=0.1, l1=2.5)),
     # scoring
     "score_features": request_features("training"),
     "score_features_service": request_features("service"),

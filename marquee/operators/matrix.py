@@ -65,12 +65,17 @@ def training_matrix_in_one_pass(enriched: DataFrame, bins: EqualWidthBins) -> Da
     return require_columns(wide, V.ID_COLUMNS + V.FULL_FEATURES).na.fill(0)
 
 
-def reliable(features: DataFrame, votes: int = V.RELIABLE_VOTES) -> DataFrame:
-    """Titles whose log votes reach the log of ``votes``, so ``votes - 1`` is enough.
+def is_reliable(votes: int = V.RELIABLE_VOTES) -> Column:
+    """Whether log votes reach the log of ``votes``, so ``votes - 1`` is enough.
 
     The threshold is computed by the same engine function as the feature.
     """
-    return features.filter(F.col("votes_log") >= F.log(F.lit(float(votes))))
+    return F.col("votes_log") >= F.log(F.lit(float(votes)))
+
+
+def reliable(features: DataFrame, votes: int = V.RELIABLE_VOTES) -> DataFrame:
+    """The titles that ``is_reliable`` finds."""
+    return features.filter(is_reliable(votes))
 
 
 def with_split(df: DataFrame, train_percent: int = 80) -> DataFrame:

@@ -1,49 +1,29 @@
-"""Gradient-boosted rating models on MLlib, their metrics and comparison."""
+"""Gradient-boosted rating models, their metrics and comparison."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee import vocabulary as V
 from marquee.functions.bins import EqualWidthBins
-from marquee.operators.matrix import reliable
+from marquee.operators.boosting import Boosting, Fit, Trees, grow
+from marquee.operators.matrix import is_reliable
 from marquee.operators.sampling import sample_n
-from marquee.session import shared_dir
+from marquee.session import ship_package
 from marquee.sources.tables import write_record
 
 LABEL = "target_rating"
 
-
-@dataclass(frozen=True)
-class Boosting:
-    """Settings of a fit.
-
-    ``min_gain_total`` is the least reduction of the summed squared error, halved, that a
-    split must bring. MLlib compares the reduction per row, so it is divided by the rows
-    trained on. The L1 and L2 penalties of the published models have no MLlib equal.
-    """
-
-    rounds: int = 200
-    depth: int = 6
-    rate: float = 0.1
-    row_share: float = 0.8
-    column_share: float = 0.8
-    min_rows: int = 1
-    min_gain_total: float = 0.0
-    seed: int = V.SEED
-
-
 FIRST_FIT = Boosting()
 TUNED_FIT = Boosting(rounds=500, depth=5, rate=0.05, column_share=0.7, min_rows=5,
-                     min_gain_total=0.1)
+                     min_gain_total=0.1, l1=0.1)
 TUNED_SMALL_FIT = replace(TUNED_FIT, min_rows=3)
 
 
@@ -78,91 +58,83 @@ VERSIONS = [
 class RatingModel:
     """A fitted model with all that scoring needs: its features and their bins."""
 
-    stages: PipelineModel
+    trees: Trees
     features: list[str]
     bins: EqualWidthBins
 
-    @property
-    def trees(self) -> GBTRegressionModel:
-        return self.stages.stages[-1]
-
     def transform(self, df: DataFrame) -> DataFrame:
         """Add ``prediction``; missing features count as 0."""
+        ship_package(df.sparkSession)
+        trees = self.trees
+
+        def predict(*columns: pa.Array) -> pa.Array:
+            return pa.array(trees.predict(np.column_stack(
+                [c.to_numpy(zero_copy_only=False) for c in columns])))
+
         filled = df.na.fill(0, list(self.features))
-        return self.stages.transform(filled).drop("features")
+        inputs = [F.col(f"`{f}`").cast("double") for f in self.features]
+        return filled.withColumn("prediction", F.arrow_udf(predict, "double")(*inputs))
 
     def save(self, path: str) -> None:
-        self.stages.write().overwrite().save(f"{path}/stages")
-        spark = SparkSession.active()
+        """Store the trees, a row each, and the inputs; what is there is overwritten."""
+        spark, t = SparkSession.active(), self.trees
+        rows = [(k, t.features[k].tolist(), t.thresholds[k].tolist(), t.gains[k].tolist(), t.values[k].tolist())
+                for k in range(len(t))]
+        spark.createDataFrame(rows, _TREES).coalesce(1).write.mode("overwrite").parquet(f"{path}/trees")
         record = spark.createDataFrame(
-            [(list(self.features), self.bins.to_json())], "features array<string>, bins string"
-        )
+            [(list(self.features), self.bins.to_json(), t.base, t.depth)], _INPUTS)
         write_record(record, f"{path}/inputs")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> RatingModel:
-        row = spark.read.schema("features array<string>, bins string").json(f"{path}/inputs").first()
-        stages = PipelineModel.load(f"{path}/stages")
-        return cls(stages, list(row.features), EqualWidthBins.from_json(row.bins))
+        row = spark.read.schema(_INPUTS).json(f"{path}/inputs").first()
+        stored = spark.read.schema(_TREES).parquet(f"{path}/trees").orderBy("tree").collect()
+        inner = 2 ** row.depth - 1
+        arrays = [np.array([r[n] for r in stored], kind).reshape(len(stored), size) for n, kind, size in (
+            ("features", np.int64, inner), ("thresholds", np.float64, inner), ("gains", np.float64, inner),
+            ("leaves", np.float64, inner + 1))]
+        return cls(Trees(row.base, row.depth, *arrays), list(row.features), EqualWidthBins.from_json(row.bins))
+
+
+_TREES = "tree int, features array<int>, thresholds array<double>, gains array<double>, leaves array<double>"
+_INPUTS = "features array<string>, bins string, base double, depth int"
 
 
 def fit(train: DataFrame, features: Sequence[str], bins: EqualWidthBins,
         settings: Boosting = FIRST_FIT, watch: str | None = None,
-        tolerance: float = 0.01, rows: int | None = None) -> RatingModel:
-    """Fit boosted trees on a stored training matrix.
+        tolerance: float = 0.01, **dealing: int) -> RatingModel:
+    """Fit boosted trees on a training matrix.
 
-    The rows are read several times per fit, so pass a table rather than a long plan.
     ``watch`` names a boolean column marking validation rows; the fit then stops once
-    their error no longer falls by ``tolerance``. A shared checkpoint folder is set, so the
-    lineage of hundreds of rounds stays short.
+    their error no longer falls by ``tolerance``. ``dealing`` goes to ``boosting.grow``.
     """
-    shared_dir(train.sparkSession)
-    filled = gathered(train, features).na.fill(0, list(features))
-    min_gain = 0.0
-    if settings.min_gain_total:
-        min_gain = 2 * settings.min_gain_total / max(rows or filled.count(), 1)
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    booster = GBTRegressor(
-        featuresCol="features", labelCol=LABEL, predictionCol="prediction",
-        maxIter=settings.rounds, maxDepth=settings.depth, stepSize=settings.rate,
-        subsamplingRate=settings.row_share, featureSubsetStrategy=str(settings.column_share),
-        minInstancesPerNode=settings.min_rows, minInfoGain=min_gain, seed=settings.seed,
-        validationTol=tolerance, maxMemoryInMB=512,
-    )
-    if watch is not None:
-        booster = booster.setValidationIndicatorCol(watch)
-    stages = Pipeline(stages=[assembler, booster]).fit(filled)
-    return RatingModel(stages, list(features), bins)
+    found = grow(train, LABEL, [Fit("model", list(features), settings)], watch=watch, tolerance=tolerance, **dealing)
+    return RatingModel(found["model"], list(features), bins)
 
 
-# Rows of a training matrix worth a task of their own.
-ROWS_PER_TASK = 20_000
-
-
-def gathered(train: DataFrame, features: Sequence[str]) -> DataFrame:
-    """The columns a fit reads, in no more partitions than there is work for.
+def learning_curve(model: RatingModel, df: DataFrame) -> DataFrame:
+    """The error on ``df`` after each round, without stopping the fit early.
 
-    Every level of every tree is a job over all partitions, so of a small matrix in many
-    partitions, most of the time would go into starting tasks; and of a large one in few, most
-    cores would wait.
+    A task adds up its rows, so a shuffle carries one row per task and round.
     """
-    wanted = train.select(*dict.fromkeys([LABEL, *features, *_flags(train)]))
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    tasks = max(1, -(-train.count() // ROWS_PER_TASK))
-    return wanted.coalesce(1) if tasks == 1 else wanted.repartition(max(tasks, min(cores, 2 * tasks)))
-
-
-def _flags(df: DataFrame) -> list[str]:
-    """Boolean columns, one of which may mark validation rows."""
-    return [name for name, kind in df.dtypes if kind == "boolean"]
-
-
-def learning_curve(model: RatingModel, df: DataFrame) -> DataFrame:
-    """The error on ``df`` after each round, without stopping the fit early."""
-    assembled = model.stages.stages[0].transform(df.na.fill(0, model.features))
-    losses = model.trees.evaluateEachIteration(assembled, "squared")
-    rows = [(i + 1, float(loss) ** 0.5) for i, loss in enumerate(losses)]
-    return df.sparkSession.createDataFrame(rows, "round int, rmse double")
+    ship_package(df.sparkSession)
+    trees, width = model.trees, len(model.features)
+    zero = [F.coalesce(F.nanvl(F.col(f"`{f}`").cast("double"), F.lit(0.0)), F.lit(0.0)) for f in model.features]
+
+    def errors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = np.zeros(len(trees)), 0
+        for batch in batches:
+            matrix = pa.ListArray.flatten(batch.column("x")).to_numpy(zero_copy_only=False).reshape(-1, width)
+            label = batch.column("y").to_numpy()
+            total += [np.square(p - label).sum() for p in trees.stages(matrix)]
+            n += len(label)
+        yield pa.RecordBatch.from_pydict({
+            "round": pa.array(np.arange(1, len(trees) + 1), pa.int32()), "total": total, "n": np.full(len(trees), n)})
+
+    rows = df.filter(F.col(LABEL).isNotNull()).select(F.array(*zero).alias("x"), F.col(LABEL).cast("double").alias("y"))
+    found = rows.mapInArrow(errors, "round int, total double, n long").groupBy("round").agg(
+        F.sum("total").alias("total"), F.sum("n").alias("n"))
+    return found.select("round", F.sqrt(F.try_divide("total", "n")).alias("rmse"))
 
 
 def regression_metrics(predicted: DataFrame, label: str = LABEL,
@@ -184,7 +156,7 @@ def regression_metrics(predicted: DataFrame, label: str = LABEL,
 
 def importances(model: RatingModel, n: int | None = None) -> DataFrame:
     """Features by importance, one row each. As many rows as features, at most."""
-    weights = model.trees.featureImportances.toArray()
+    weights = model.trees.importances(len(model.features))
     rows = [(f, float(w)) for f, w in zip(model.features, weights)]
     df = SparkSession.active().createDataFrame(rows, "feature string, importance double")
     ordered = df.orderBy(F.desc("importance"), "feature")
@@ -215,22 +187,37 @@ METRICS = ("version string, population string, n_features int, rounds int, train
            "test_rows long, rmse double, r2 double, mae double")
 
 
-def train_version(version: Version, matrix: DataFrame,
-                  bins: EqualWidthBins) -> tuple[RatingModel, DataFrame]:
-    """Fit one version on the train rows of ``matrix`` and measure it on the test rows."""
-    rows = reliable(matrix) if version.reliable_only else matrix
-    train, test = (rows.filter(F.col("split") == s) for s in ("train", "test"))
-    train_rows = train.count()
-    model = fit(train, version.features, bins, version.settings, rows=train_rows)
-    metrics = regression_metrics(model.transform(test)).select(
-        F.lit(version.name).alias("version"),
-        F.lit(version.population).alias("population"),
-        F.lit(len(version.features)).alias("n_features"),
-        F.lit(version.rounds).alias("rounds"),
-        F.lit(train_rows).alias("train_rows"),
-        "test_rows", "rmse", "r2", "mae",
-    )
-    return model, metrics
+def train_versions(versions: Sequence[Version], matrix: DataFrame, bins: EqualWidthBins,
+                   **dealing: int) -> dict[str, tuple[RatingModel, DataFrame]]:
+    """Fit versions side by side on the train rows of ``matrix``; each model with its metrics on the test rows.
+
+    The rows are counted in one pass for all versions.
+    """
+    def taken(version: Version) -> Column:
+        return is_reliable() if version.reliable_only else F.lit(True)
+
+    train, test = (matrix.filter(F.col("split") == s) for s in ("train", "test"))
+    found = grow(train, LABEL, [Fit(v.name, list(v.features), v.settings, taken(v)) for v in versions], **dealing)
+    counts = train.agg(*[F.count_if(taken(v)).alias(f"n{k}") for k, v in enumerate(versions)]).first()
+    out = {}
+    for k, version in enumerate(versions):
+        model = RatingModel(found[version.name], list(version.features), bins)
+        metrics = regression_metrics(model.transform(test.filter(taken(version)))).select(
+            F.lit(version.name).alias("version"),
+            F.lit(version.population).alias("population"),
+            F.lit(len(version.features)).alias("n_features"),
+            F.lit(version.rounds).alias("rounds"),
+            F.lit(counts[k]).cast("long").alias("train_rows"),
+            "test_rows", "rmse", "r2", "mae",
+        )
+        out[version.name] = model, metrics
+    return out
+
+
+def train_version(version: Version, matrix: DataFrame, bins: EqualWidthBins,
+                  **dealing: int) -> tuple[RatingModel, DataFrame]:
+    """Fit one version; see ``train_versions``."""
+    return train_versions([version], matrix, bins, **dealing)[version.name]
 
 
 def history(metrics: Sequence[DataFrame]) -> DataFrame:

@@ -107,10 +107,9 @@ def store_models(spark: SparkSession, lake: Lake, bins: EqualWidthBins,
     """
     rows = tables.read_table(spark, lake.path("training"))
     tables.write_split_csv(rows, lake.path("training_csv"))
-    for version in versions:
-        model, metrics = models.train_version(version, rows, bins)
-        model.save(lake.path(f"models/{version.name}"))
-        tables.write_record(metrics, lake.path(f"metrics/{version.name}"))
+    for name, (model, metrics) in models.train_versions(versions, rows, bins).items():
+        model.save(lake.path(f"models/{name}"))
+        tables.write_record(metrics, lake.path(f"metrics/{name}"))
     found = stored_metrics(spark, lake, versions)
     tables.write_record(models.best_record(found), lake.path("metrics/best"))
     return found

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -69,3 +72,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """
     application = spark.sparkContext.applicationId
     return f"{shared_dir(spark)}/{application}/{label}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever the driver was started.
+
+    Nothing is sent where the workers find it anyway: in their folder or on PYTHONPATH.
+    """
+    root = Path(__file__).resolve().parents[1]
+    found = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    application = spark.sparkContext.applicationId
+    if application in _shipped or str(root) in map(os.path.realpath, filter(None, found)):
+        return
+    folder = tempfile.mkdtemp(prefix="marquee-package-")
+    spark.sparkContext.addPyFile(
+        shutil.make_archive(f"{folder}/marquee_package", "zip", root, root.joinpath("marquee").name)
+    )
+    _shipped.add(application)

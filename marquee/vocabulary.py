@@ -83,6 +83,9 @@ BASE_FEATURES = GENRE_FLAGS + ERA_FEATURES + RUNTIME_FEATURES + VOTE_FEATURES
 INTERACTION_FEATURES = BASE_FEATURES + POPULARITY_FEATURES + GENRE_PAIR_FEATURES
 FULL_FEATURES = INTERACTION_FEATURES + DIRECTOR_FEATURES
 
+# Flags, and a measure of the year.
+PLAIN_FEATURES = GENRE_FLAGS + ERA_FEATURES + ["is_short_film", "is_epic", "is_well_known", "is_blockbuster"]
+
 CLEANED_COLUMNS = [
     "tconst", "primarytitle", "originaltitle", "startyear", "decade",
     "runtimeminutes", "runtime_bucket", "genres", "isadult",

@@ -1,6 +1,7 @@
 """Every query against its SQL at the smallest scale."""
 
-import os
+
+from pathlib import Path
 
 import pytest
 
@@ -8,10 +9,7 @@ import __spark_entry__ as entry_point
 from acceptance.compare import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
-# These fit four more versions of 200 to 500 rounds; `python -m acceptance.compare` runs them.
-LONG_FITS = {"model_fit_v1", "model_fit_v2", "model_fit_v3", "model_fit_v4_filtered", "model_history",
-             "model_best", "model_record"}
-pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+pytestmark = pytest.mark.skipif(not Path(FOLDER).is_dir(), reason="no test tables")
 
 
 @pytest.fixture(scope="module")
@@ -30,8 +28,6 @@ def test_entry_gives_rows(spark):
 
 @pytest.mark.parametrize("name", sorted(entry_point.queries()))
 def test_query(spark, database, name):
-    if name in LONG_FITS and not os.environ.get("LONG_FITS"):
-        pytest.skip("set LONG_FITS to fit all versions at their published rounds")
     mine = entry_point.queries()[name](spark, FOLDER).toArrow()
     if name in entry_point.oracle_sql():
         theirs = database.sql(entry_point.oracle_sql()[name]).to_arrow_table()
