@@ -89,6 +89,28 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int | None = None) -> DataFrame:
+    """Store ``df`` at ``path`` as table ``name`` in the catalog, dealt out and sorted by ``key``.
+
+    Joins and groups by ``key`` then read it as it is: no exchange, and with as many buckets on both
+    sides none at all. A table of that name is replaced. There are as many buckets as the session
+    has shuffle partitions, unless said otherwise; each is one file, as rows are brought together
+    first. A bucket goes to one task, so a key that very many rows share should be split before.
+    """
+    spark = df.sparkSession
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    (df.repartition(count, key).write.mode("overwrite").option("path", path).bucketBy(count, key).sortBy(key)
+     .saveAsTable(name))
+    return spark.table(name)
+
+
+def materialize_bucketed(df: DataFrame, label: str, key: str) -> DataFrame:
+    """``materialize``, dealt out by ``key`` so that later joins by it leave these rows where they are."""
+    path = scratch_path(df.sparkSession, label)
+    return write_bucketed(df, f"marquee_{path.rsplit('-', 1)[1]}", path, key)
+
+
 def only_missing(df: DataFrame, derived: dict) -> DataFrame:
     """Add the derived columns that ``df`` does not have yet."""
     return df.withColumns({n: c for n, c in derived.items() if n not in df.columns})

@@ -1,6 +1,5 @@
 """Every query against its SQL at the smallest scale."""
 
-
 from pathlib import Path
 
 import pytest
