@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,31 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marquee.session import ship_package
+
 SLICE_BYTES = 2 << 20
-_shipped: set[str] = set()
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package, wherever the driver was started.
-
-    Nothing is sent where the workers find it anyway: in their folder or on PYTHONPATH.
-    """
-    root = Path(__file__).resolve().parents[2]
-    found = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
-    application = spark.sparkContext.applicationId
-    if application in _shipped or str(root) in map(os.path.realpath, filter(None, found)):
-        return
-    folder = tempfile.mkdtemp(prefix="marquee-package-")
-    spark.sparkContext.addPyFile(
-        shutil.make_archive(f"{folder}/marquee_package", "zip", root, root.joinpath("marquee").name)
-    )
-    _shipped.add(application)
-
-
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of ``batch`` whose ``column`` holds about ``limit`` bytes, or one longer row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -72,6 +52,29 @@ def map_text(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], sc
     return df.mapInArrow(run, schema)
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """Columns named by their place, so that none can clash, and those names by the old ones.
+
+    ``.toDF(*df.columns)`` gives the old names back.
+    """
+    names = {c: f"_{k}" for k, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
+def keep_rows(documents: DataFrame, judge: Callable[[list[bytes]], np.ndarray], column: str = "text") -> DataFrame:
+    """The rows whose texts ``judge`` finds good, columns unchanged.
+
+    Every row passes through Python once, with its text once, so nothing has to be joined back.
+    """
+    rows, names = numbered(documents)
+    text = names[column]
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pa.array(judge(octets(batch, text)), pa.bool_()))
+
+    return map_text(rows, work, rows.schema, text).toDF(*documents.columns)
+
+
 def narrow(df: DataFrame, *columns: str) -> DataFrame:
     """Only the named columns, so that others cannot clash with an operator's own."""
     return df.select(*[F.col(f"`{c}`") for c in columns])

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import load, map_text, narrow, octets, ship_package
+from marquee.llm.common import keep_rows, load, map_text, narrow, numbered, octets, ship_package
 from marquee.sources.tables import materialize
 
 SHINGLE = 5
@@ -288,26 +288,29 @@ def _leaked(documents: DataFrame, items: DataFrame, stride: int, passes: int,
 def keep_clean(documents: DataFrame, items: DataFrame) -> DataFrame:
     """The documents, columns unchanged, in which no item is found.
 
-    After several passes, what was found in each is known by the digest of the text.
+    After several passes, what was found in each is known by the digest of the text. Null and empty
+    texts stay, and so do rows that repeat each other if their text does. Without items everything
+    stays; an empty table gives an empty one.
     """
     stride, passes, build = indexes(items)
-    source = documents.select("text", F.struct("*").alias("row"))
     if passes > 1:
+        rows, names = numbered(documents)
         digest = F.sha2(F.col("text").cast("binary"), 256)
         bad = _leaked(documents.select(digest.alias("doc_id"), "text"), items, stride, passes, build)
         bad = bad.select(F.col("doc_id").alias("digest")).distinct()
-        return source.withColumn("digest", digest).join(bad, "digest", "left_anti").select("row.*")
+        rows = rows.withColumn("digest", F.sha2(F.col(names["text"]).cast("binary"), 256))
+        return rows.join(bad, "digest", "left_anti").select(*names.values()).toDF(*documents.columns)
     index = build(0)
     if index is None:
         return documents
     everywhere = documents.sparkSession.sparkContext.broadcast(index)
-    schema = T.StructType([source.schema["text"], source.schema["row"]])
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        bad = {text for text, _ in everywhere.value.leaks(octets(batch, "text"), stride)}
-        return batch.filter(pa.array([i not in bad for i in range(batch.num_rows)], pa.bool_()))
+    def judge(texts: list[bytes]) -> np.ndarray:
+        good = np.ones(len(texts), bool)
+        good[[text for text, _ in everywhere.value.leaks(texts, stride)]] = False
+        return good
 
-    return map_text(source, work, schema).select("row.*")
+    return keep_rows(documents, judge)
 
 
 def halves(benchmark: DataFrame) -> DataFrame:

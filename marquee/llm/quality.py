@@ -5,10 +5,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import load, map_text, narrow, octets, segment_sums
+from marquee.llm.common import keep_rows, load, map_text, narrow, octets, segment_sums
 
 # The base rules.
 MIN_WORDS = 10
@@ -97,41 +96,45 @@ def measure(texts: list[bytes]) -> dict[str, np.ndarray]:
     return out
 
 
-def repetition(documents: DataFrame, carry: bool = False) -> DataFrame:
-    """Measures and verdicts, one row per document; with ``carry`` also its row as ``row``.
+def verdicts(found: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Which texts the base rules fail, and which all rules keep."""
+    failed = (found["n_words"] < MIN_WORDS) | (
+        100 * found["n_repeat_words"] > MAX_REPEAT_WORDS_PCT * found["n_words"])
+    repetitive = 100 * found["dup_line_chars"] > LINE_LIMIT * found["word_chars"]
+    for n, limit in GRAM_LIMITS.items():
+        repetitive |= 100 * found[f"gram{n}_chars"] > limit * found["word_chars"]
+    return failed, ~failed & ~repetitive
+
+
+def repetition(documents: DataFrame) -> DataFrame:
+    """Measures and verdicts, one row per document.
 
     A text without words (null, empty, blank) has 0 everywhere and fails the base rules. Equal
     rows give equal rows; an empty table gives an empty one. Documents are measured alone, so
     no shuffle is needed and a copied text costs no more than any other.
     """
     source = narrow(documents, "doc_id", "text")
-    names = ["doc_id"]
-    if carry:
-        source = documents.select("doc_id", "text", F.struct("*").alias("row"))
-        names.append("row")
+    rules = ["base_failed", "kept"]
     schema = T.StructType(
-        [source.schema[n] for n in names] + [T.StructField(m, T.LongType()) for m in MEASURES]
-    )
+        [source.schema["doc_id"], *(T.StructField(m, T.LongType()) for m in MEASURES),
+         *(T.StructField(r, T.BooleanType()) for r in rules)])
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = measure(octets(batch, "text"))
         return pa.RecordBatch.from_arrays(
-            [batch.column(c) for c in names] + [pa.array(found[m], pa.int64()) for m in MEASURES],
-            names + MEASURES,
-        )
+            [batch.column("doc_id"), *(pa.array(found[m], pa.int64()) for m in MEASURES),
+             *map(pa.array, verdicts(found))], ["doc_id", *MEASURES, *rules])
 
-    failed = (F.col("n_words") < MIN_WORDS) | (
-        100 * F.col("n_repeat_words") > MAX_REPEAT_WORDS_PCT * F.col("n_words"))
-    repetitive = 100 * F.col("dup_line_chars") > LINE_LIMIT * F.col("word_chars")
-    for n, limit in GRAM_LIMITS.items():
-        repetitive |= 100 * F.col(f"gram{n}_chars") > limit * F.col("word_chars")
-    return map_text(source, work, schema).withColumns(
-        {"base_failed": failed, "kept": ~failed & ~repetitive})
+    return map_text(source, work, schema)
 
 
 def keep_good(documents: DataFrame) -> DataFrame:
-    """The documents, all columns unchanged, that the rules keep."""
-    return repetition(documents, carry=True).filter("kept").select("row.*")
+    """The documents, all columns unchanged, that the rules keep.
+
+    Null, empty and blank texts go. Rows that repeat each other stay or go together; null ids are
+    ids like any other. An empty table gives an empty one.
+    """
+    return keep_rows(documents, lambda texts: verdicts(measure(texts))[1])
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

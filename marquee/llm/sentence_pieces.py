@@ -90,14 +90,15 @@ def pieces(path: str | None = None) -> Pieces:
 
 
 def encode(documents: DataFrame, model: str | None = None, carry: bool = False) -> DataFrame:
-    """``ids`` and ``decoded`` text of each document; with ``carry`` also its ``row``.
+    """``ids`` and ``decoded`` text of each document; with ``carry`` also its other columns as ``row``.
 
     Ids are those of the library for the whole text, with begin and end ids. A null or empty
     text has these two only and decodes to an empty one. Each distinct word of a worker's
     texts is segmented once, and ids are joined back in word order, so no shuffle is needed;
     a text of any length is cut into words, and repeated rows give equal rows.
     """
-    source = documents.select("doc_id", "text", *[F.struct("*").alias("row")] * carry)
+    others = [f"`{c}`" for c in documents.columns if c != "text"]
+    source = documents.select("doc_id", "text", *[F.struct(*others).alias("row")] * carry)
     names = ["doc_id", *["row"] * carry]
     schema = T.StructType(
         [source.schema[n] for n in names] + [T.StructField("ids", T.ArrayType(T.IntegerType())),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -12,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import load, map_text, octets, ship_package
+from marquee.llm.common import load, map_text, numbered, octets, ship_package
 from marquee.llm.components import components
 from marquee.sources.tables import materialize
 
@@ -23,40 +25,79 @@ BITS = 64
 # Cells of the index with more fingerprints than this are linked by shared neighbours instead
 # of by pairs, so a dense cluster never gives pairs by the square of its size.
 CELL = 48
+# Bytes of a text taken at a time, and hashes whose bits are added up at a time.
+PART, BLOCK = 1 << 18, 1 << 15
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def parts_of(text: bytes) -> Iterator[bytes]:
+    """A text in parts of about PART bytes, cut where white space begins."""
+    at = 0
+    while len(text) - at > PART:
+        found = _SPACE.search(text, at + PART)
+        end = found.start() if found else len(text)
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
+def shingle_hashes(text: bytes, shingle: int) -> Iterator[np.ndarray]:
+    """The hashes of a text's shingles, in blocks; a text of fewer words has one shingle, if any."""
+    carried: list[bytes] = []
+    some = False
+    hashed = xxhash.xxh64_intdigest
+    for part in parts_of(text):
+        words = carried + part.lower().split()
+        if len(words) < shingle:
+            carried = words
+            continue
+        line = b" ".join(words)
+        stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        starts = np.concatenate(([0], stops[:len(words) - shingle]))
+        spans = zip(starts.tolist(), (stops[shingle - 1:] - 1).tolist())
+        yield np.fromiter((hashed(line[a:b], SEED) for a, b in spans), np.uint64, len(starts))
+        carried, some = words[len(words) - shingle + 1:], True
+    if carried and not some:
+        yield np.array([hashed(b" ".join(carried), SEED)], np.uint64)
 
 
 def fingerprint(texts: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
-    """One unsigned 64-bit fingerprint per text; 0 for a text without words."""
-    hashes: list[int] = []
-    counts = []
-    hashed = xxhash.xxh64_intdigest
-    for text in texts:
-        words = text.lower().split()
-        before = len(hashes)
-        if words:
-            line = b" ".join(words)
-            size = min(shingle, len(words))
-            ends = np.cumsum([len(w) + 1 for w in words])
-            starts = [0, *ends[: len(words) - size].tolist()]
-            stops = (ends[size - 1:] - 1).tolist()
-            hashes += [hashed(line[a:b], SEED) for a, b in zip(starts, stops)]
-        counts.append(len(hashes) - before)
-    out = np.zeros(len(texts), np.uint64)
-    sizes = np.array(counts, np.int64)
-    full = np.flatnonzero(sizes)
-    if len(full):
-        bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1,
+    """One unsigned 64-bit fingerprint per text; 0 for a text without words.
+
+    Set bits are added up for at most BLOCK hashes at a time, or those of one part of a text.
+    """
+    ones = np.zeros((len(texts), BITS), np.int64)
+    sizes = np.zeros(len(texts), np.int64)
+    held: list[np.ndarray] = []
+    owners: list[int] = []
+
+    def count() -> None:
+        begins = np.cumsum([0, *map(len, held[:-1])])
+        bits = np.unpackbits(np.concatenate(held).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1,
                              bitorder="little")
-        begins = np.cumsum(sizes[full]) - sizes[full]
-        ones = np.add.reduceat(bits, begins, axis=0, dtype=np.int64)
-        most = (2 * ones > sizes[full, None]).astype(np.uint8)
-        out[full] = np.packbits(most, axis=1, bitorder="little").view("<u8")[:, 0]
-    return out
+        np.add.at(ones, owners, np.add.reduceat(bits, begins, axis=0, dtype=np.int32))
+        held.clear()
+        owners.clear()
+
+    waiting = 0
+    for k, text in enumerate(texts):
+        for hashes in shingle_hashes(text, shingle):
+            held.append(hashes)
+            owners.append(k)
+            sizes[k] += len(hashes)
+            waiting += len(hashes)
+            if waiting >= BLOCK:
+                count()
+                waiting = 0
+    if held:
+        count()
+    most = (2 * ones > sizes[:, None]).astype(np.uint8)
+    return np.packbits(most, axis=1, bitorder="little").view("<u8")[:, 0]
 
 
 def fingerprints(documents: DataFrame, shingle: int = SHINGLE, tell_apart: bool = False) -> DataFrame:
     """``doc_id`` and ``fp`` (64 bits in a long); to tell texts apart, also a hash, ``tie``."""
-    source = documents.select("doc_id", "text", *[_tie()] * tell_apart)
+    source = documents.select("doc_id", "text", *[_tie(F.col("text"))] * tell_apart)
     names = [n for n in source.columns if n != "text"]
     schema = T.StructType([source.schema[n] for n in names] + [T.StructField("fp", T.LongType())])
 
@@ -68,8 +109,8 @@ def fingerprints(documents: DataFrame, shingle: int = SHINGLE, tell_apart: bool
     return map_text(source, work, schema)
 
 
-def _tie() -> Column:
-    return F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("tie")
+def _tie(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit(""))).alias("tie")
 
 
 @dataclass(frozen=True)
@@ -339,23 +380,30 @@ def grouped(documents: DataFrame, shingle: int = SHINGLE, distance: int = DISTAN
 def keep_one(documents: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One document of each group, columns unchanged: that with the least doc_id.
 
-    Of rows that repeat it, or if a group has null doc_ids only, any one row stays. Which rows
-    stay is settled on narrow rows and stored; the documents themselves move once, to be picked.
+    Of rows that repeat it, or if a group has null doc_ids only, any one row stays. Null and empty
+    texts are one group. An empty table gives an empty one. Which rows go is settled on narrow rows
+    and stored; the documents meet the keys that go, far fewer than those that stay.
     """
     marked, groups = fingerprint_groups(documents, shingle, distance, tell_apart=True)
-    key = [F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id")]
-    rank = F.struct(*key, "tie")
-    first = marked.join(groups, "fp").groupBy("label").agg(F.min(rank).alias("first")).select("first.*")
-    kept = materialize(first, "kept")
-    names = kept.columns
-    rows = documents.select(F.struct("*").alias("row"), *key, _tie())
-    picked = rows.join(kept, names, "left_semi")
-    same = marked.select(*key, "tie").groupBy(names).count().filter("count > 1").select(names)
-    same = materialize(same.join(kept, names, "left_semi"), "same")
+    names = ["no_id", "id", "tie"]
+    no_id, doc_id = F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id")
+    keys = marked.join(groups, "fp").select(no_id, doc_id, "tie", "label")
+    kept = materialize(
+        keys.groupBy("label").agg(F.min(F.struct(*names)).alias("first")).select("first.*"), "kept")
+    counted = keys.groupBy(names).count()
+    gone = materialize(counted.join(kept, names, "left_anti").select(names), "gone")
+    same = materialize(counted.filter("count > 1").join(kept, names, "left_semi").select(names), "same")
+
+    plain, by_name = numbered(documents)
+    of = {"doc_id": F.col(by_name["doc_id"]), "text": F.col(by_name["text"])}
+    rows = plain.select(
+        "*", of["doc_id"].isNull().alias("no_id"), F.coalesce(of["doc_id"], F.lit(0)).alias("id"),
+        _tie(of["text"]))
+    picked = rows.join(gone, names, "left_anti")
     if same.limit(1).count():
         once = picked.join(same, names, "left_semi").dropDuplicates(names)
         picked = picked.join(same, names, "left_anti").unionByName(once)
-    return picked.select("row.*")
+    return picked.select(plain.columns).toDF(*documents.columns)
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

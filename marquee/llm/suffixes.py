@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import load, octets, ship_package, slices
-from marquee.sources.tables import materialize
+from marquee.llm.common import load, numbered, octets, ship_package, slices
+from marquee.sources.tables import materialize, materialize_bucketed
 
 LENGTH = 400
 # Texts are scanned in runs of about this many bytes; a longer text in several.
@@ -366,9 +366,12 @@ def repeated_runs(documents: DataFrame, length: int = LENGTH) -> tuple[DataFrame
     keys = materialize(
         rows.groupBy("key").agg(F.min(F.least(first, last)).alias("a"), F.max(F.greatest(first, last)).alias("b"))
         .filter("a <> b").select("key"), "keys")
-    close = rows.join(keys, "key").groupBy("digest").agg(F.flatten(F.collect_set("runs")).alias("runs"))
-    texts = materialize(
-        documents.select("digest", "text").dropDuplicates(["digest"]).join(close, "digest"), "texts")
+    close = materialize(
+        rows.join(keys, "key").groupBy("digest").agg(F.flatten(F.collect_set("runs")).alias("runs")), "close")
+    # texts are dealt out by digest once, and stay there in the joins that follow
+    digests = materialize(close.select("digest"), "digests")
+    wanted = documents.select("digest", "text").join(digests, "digest", "left_semi")
+    texts = materialize_bucketed(wanted.dropDuplicates(["digest"]).join(close, "digest"), "texts", "digest")
     found = materialize(
         pieces(texts, WIDTHS[0], length).withColumn("copies", F.size("lows").cast("long")), "pieces")
     decisions = materialize(decide(found, texts, length), "decisions")
@@ -449,7 +452,7 @@ def repeated_bytes(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     each other. An empty table gives an empty one.
 
     Candidates are found by anchors (see ``anchors``): a row for some 170 bytes, most of which
-    end at the first count, so text moves once and only texts that share something are cut up.
+    end at the first count. Only texts that share an anchor are brought together by digest, once.
     """
     rows = with_digest(documents)
     lost = spans_by_text(rows, length)
@@ -466,26 +469,27 @@ def without_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     A span may begin or end within a character; what is left of it is dropped. All documents
     stay, some with an empty text. A null text stays null.
     """
-    rows = with_digest(documents)
-    lost = spans_by_text(rows, length).select("digest", "spans")
-    carried = documents.select(F.struct("*").alias("row")).withColumn(
-        "digest", F.unhex(F.substring(F.sha2(F.encode(F.coalesce(F.col("row.text"), F.lit("")), "UTF-8"), 256), 1, 32)))
-    joined = carried.join(lost, "digest", "left").select("row", F.col("row.text").alias("text"), "spans")
-    schema = T.StructType([joined.schema["row"], T.StructField("text", T.StringType())])
+    lost = spans_by_text(with_digest(documents), length).select("digest", "spans")
+    rows, names = numbered(documents)
+    column, plain = names["text"], rows.columns
+    digest = F.sha2(F.encode(F.coalesce(F.col(column), F.lit("")), "UTF-8"), 256)
+    joined = rows.withColumn("digest", F.unhex(F.substring(digest, 1, 32))).join(lost, "digest", "left").drop("digest")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = plain.index(column)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, column):
                 kept = []
-                for text, spans in zip(part.column("text").to_pylist(), part.column("spans").to_pylist()):
+                for text, spans in zip(part.column(column).to_pylist(), part.column("spans").to_pylist()):
                     if spans:
                         edges = np.array([(s["begin"], s["end"]) for s in spans], np.int64)
                         text = kept_bytes(text.encode(), edges).decode("utf-8", "ignore")
                     kept.append(text)
-                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(kept, pa.string())], ["row", "text"])
+                columns = [pa.array(kept, pa.string()) if k == at else part.column(c)
+                           for k, c in enumerate(plain)]
+                yield pa.RecordBatch.from_arrays(columns, plain)
 
-    out = joined.mapInArrow(work, schema)
-    return out.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in documents.columns])
+    return joined.mapInArrow(work, rows.schema).toDF(*documents.columns)
 
 
 def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
