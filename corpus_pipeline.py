@@ -15,30 +15,49 @@ from marquee.sources.tables import materialize
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Quality rules: documents that they reject go."""
+    """Quality rules: documents that they reject go.
+
+    Null, empty and blank texts go; rows that repeat each other stay or go together.
+    """
     return quality.keep_good(docs)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-duplicates: of each group the document with the least doc_id stays."""
+    """SimHash near-duplicates: of each group the document with the least doc_id stays.
+
+    Of rows repeated with that id and text one stays, and of a group with null ids only any one.
+    Texts without words are one group.
+    """
     return simhash.keep_one(docs, simhash.SHINGLE, simhash.DISTANCE)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes found twice or more are cut out; every document stays."""
+    """Strings of 400 bytes found twice or more are cut out; every document stays.
+
+    Null and shorter texts stay as they are. Texts that repeat each other, of 400 bytes or more,
+    become empty, all of them: strings are judged on the input.
+    """
     return suffixes.without_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that have the question and answer of a benchmark item go."""
+    """Documents that have the question and answer of a benchmark item go.
+
+    Null and empty texts stay, and without items everything does.
+    """
     return decontaminate.keep_clean(docs, decontaminate.halves(load(spark, sf_dir, "benchmark")))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of whole texts, and the texts they decode to."""
+    """Ids of whole texts, and the texts they decode to; other columns stay.
+
+    A null or empty text has the begin and end ids and decodes to an empty one. Columns of
+    ``docs`` named ``ids`` or ``n_tokens`` give way to the new ones.
+    """
+    made = ("doc_id", "text", "ids", "n_tokens", "n_chars")
+    others = [f"row.`{c}`" for c in docs.columns if c not in made]
     return sentence_pieces.encode(docs, carry=True).select(
-        "doc_id", "row.lang", "row.source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-        F.col("decoded").alias("text"))
+        "doc_id", *others, F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").alias("text"))
 
 
 STAGES = [
