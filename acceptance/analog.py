@@ -85,6 +85,9 @@ REQUEST_COLUMNS = [
     _unless_every(19, "(o_custkey % 21) / 20D") + " AS director_hit_rate",
     f"CASE WHEN {RATED} THEN cast({RATING} AS double) END AS actual",
 ]
+# The director a request names: a third of all name the same one, some none, some one nobody knows.
+DIRECTOR_COLUMN = """CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN 1
+    ELSE o_custkey % 150 END AS director_id"""
 # JSON requests as clients write them: with spaces, keys in any order, decimals, unknown keys,
 # whole numbers as text. Of the others, by request_id: cut off, with text after the object, a
 # list, a key given twice, a null, a year that is no number, or is a decimal number as text.
@@ -133,6 +136,14 @@ def request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_stream(spark, sf_dir, "orders").selectExpr(*REQUEST_COLUMNS)
 
 
+def directed_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "orders").selectExpr(*REQUEST_COLUMNS, DIRECTOR_COLUMN)
+
+
+def directed_request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_stream(spark, sf_dir, "orders").selectExpr(*REQUEST_COLUMNS, DIRECTOR_COLUMN)
+
+
 def request_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests(spark, sf_dir).selectExpr(*JSON_COLUMNS)
 
@@ -143,3 +154,8 @@ def job_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_metrics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_stream(spark, sf_dir, "events").selectExpr(*METRIC_COLUMNS)
+
+
+def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job metrics with the id of each event."""
+    return load(spark, sf_dir, "events").selectExpr("event_id", *METRIC_COLUMNS)

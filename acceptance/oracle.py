@@ -335,6 +335,42 @@ STUMP = f"""select tconst, round(case when on_side then mean_on else mean_off en
 STUMP = STUMP.format(flags=", ".join(V.GENRE_FLAGS), names=", ".join(V.GENRE_FLAGS))
 
 
+DIRECTED = sql("""select request_id, coalesce(s.director_avg_rating, a) as director_avg_rating,
+  coalesce(s.director_movie_count, 10) as director_movie_count, coalesce(s.director_hit_rate, h) as director_hit_rate,
+  round(coalesce(s.director_votes_log, ln(500001)), 9) as director_votes_log,
+  coalesce(s.has_known_director, 1) as has_known_director,
+  coalesce(cast(s.director_max_rating as double), least(a + 1, 10)) as director_max_rating
+  from filled join orders on o_orderkey = request_id left join stats s on s.director_id = case
+    when o_orderkey % 11 = 0 then null when o_orderkey % 3 = 0 then 1 else o_custkey % 150 end""")
+# reputation without a title's own rating; tenths and votes are whole, so sums are exact
+RATED_TITLES = """rated as (select tconst, director_id, cast(round(cast(averagerating as double) * 10) as bigint) as tenths,
+    cast(numvotes as bigint) as votes, cast(averagerating >= 7 as integer) as hit
+  from (select distinct tconst, director_id from entries) join ratings using (tconst))"""
+WITHOUT_OWN = """select tconst, coalesce(n, 1) as director_movie_count,
+  coalesce(round(tenths / 10::double / n, 3), 6.0::double) as director_avg_rating,
+  coalesce(round(hits / n::double, 3), 0.3::double) as director_hit_rate,
+  round(coalesce(ln(round(votes / n::double, 0) + 1), 5.0::double), 9) as director_votes_log,
+  coalesce(cast(n >= 3 as integer), 0) as has_known_director,
+  coalesce(most / 10::double, 6.0::double) as director_max_rating
+  from cleaned left join (
+    select c.tconst, count(*) as n, sum(r.tenths)::bigint as tenths, sum(r.votes)::bigint as votes,
+      sum(r.hit)::bigint as hits, max(r.tenths) as most
+    from cleaned c join primaries p using (tconst) join rated r on r.director_id = p.director_id {}
+    group by c.tconst) using (tconst)"""
+DIRECTORS_BEFORE = sql("select * from (with " + RATED_TITLES + WITHOUT_OWN.format(
+    "join titles t on t.tconst = r.tconst and t.startyear < c.startyear") + ")")
+DIRECTORS_OF_OTHERS = sql("select * from (with " + RATED_TITLES + WITHOUT_OWN.format("and r.tconst <> c.tconst") + ")")
+# gaps and islands over the failing windows that a watermark closes
+TRANSITIONS_SQL = sql("""select * from (with failing as (
+    select job, window_start as begins, window_start + 300 as ends from metrics, (
+      select cast(floor(epoch(max(ts))) as bigint) - 600 as until from events)
+    where window_start + 300 <= until group by job, window_start, until having sum(failed) >= 1),
+  near as (select *, lag(ends) over w as earlier, lead(begins) over w as later,
+      (select cast(floor(epoch(max(ts))) as bigint) - 600 from events) as until
+    from failing window w as (partition by job order by begins))
+  select job, begins as at, 'raised' as state from near where earlier is null or begins >= earlier + 1800
+  union all
+  select job, ends + 1800, 'cleared' from near where coalesce(later, until) >= ends + 1800)""")
 # trees in full: sums by node, feature and value, as whole numbers of a unit; the best split of each
 # node by the penalised gain; a value for each leaf, added to the predictions before
 UNIT = 1 << 20
@@ -555,4 +591,11 @@ ORACLE: dict[str, str] = {
       round(avg(value), 6) as avg_elapsed from metrics group by all"""),
     "metric_alarms": ALARMS_SQL,
     "metric_alarms_stream": ALARMS_SQL,
+    "metric_sum_5m_once": sql(METRIC_SUMS),
+    "metric_alarm_transitions": TRANSITIONS_SQL,
+    "metric_alarm_transitions_stream": TRANSITIONS_SQL,
+    "score_directors": DIRECTED,
+    "score_directors_stream": DIRECTED,
+    "director_before": DIRECTORS_BEFORE,
+    "director_of_others": DIRECTORS_OF_OTHERS,
 }

@@ -16,7 +16,7 @@ from marquee.operators import (
 )
 from marquee.session import scratch_path
 from marquee.sources import catalog, tables, tsv
-from marquee.streaming import job_metrics, updates
+from marquee.streaming import alarm_state, job_metrics, updates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -506,6 +506,42 @@ def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return updates.run_rows(result, "scored")
 
 
+def directed_features(requests: DataFrame, stats_table: DataFrame) -> DataFrame:
+    looked_up = scoring.look_up_directors(scoring.accepted(scoring.validate(requests)), stats_table)
+    return rounded(scoring.score_features(looked_up, variant="service").select("request_id", *V.DIRECTOR_FEATURES))
+
+
+def score_directors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return directed_features(analog.directed_requests(spark, sf_dir), stats(spark, sf_dir))
+
+
+def score_directors_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on a stream, the stats read anew for every micro-batch."""
+    path = scratch_path(spark, "stats")
+    tables.write_flat(stats(spark, sf_dir), path)
+    stream = analog.directed_request_stream(spark, sf_dir)
+    return updates.run_rows(stream, "directed", lambda batch: directed_features(batch, tables.read_table(spark, path)))
+
+
+def before_columns(df: DataFrame) -> DataFrame:
+    return rounded(df.select("tconst", *V.DIRECTOR_FEATURES))
+
+
+def directors_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = reputation.rated_titles(entries(spark, sf_dir), analog.ratings(spark, sf_dir))
+    sums = reputation.yearly_sums(rated, cleaning.typed_titles(analog.titles(spark, sf_dir)))
+    primary = reputation.primary_director(entries(spark, sf_dir))
+    return before_columns(reputation.with_directors_before(
+        cleaned(spark, sf_dir), primary, reputation.stats_before(sums)))
+
+
+def directors_of_others(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = reputation.rated_titles(entries(spark, sf_dir), analog.ratings(spark, sf_dir))
+    primary = reputation.primary_director(entries(spark, sf_dir))
+    return before_columns(reputation.with_other_titles(
+        cleaned(spark, sf_dir), primary, reputation.director_sums(rated)))
+
+
 # --- job metrics ----------------------------------------------------------
 
 def metric_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -552,6 +588,31 @@ def metric_sums_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return updates.run_updates(sums, ("window_start", "job"), "batches")
 
 
+def metric_sums_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums over events whose files all come twice, counted once each on a stream."""
+    path = scratch_path(spark, "twice")
+    events = analog.job_events(spark, sf_dir)
+    for _ in range(2):
+        events.repartition(3).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    timely = stream.withWatermark("ts", updates.disorder(events))
+    return job_metrics.task_sums(updates.run_rows(job_metrics.counted_once(timely, "event_id"), "once"))
+
+
+# An alarm is cleared after as many seconds without failures; a stream's watermark stays as far behind.
+QUIET, DELAY = 1800, 600
+
+
+def alarm_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    metrics = analog.job_metrics(spark, sf_dir)
+    return alarm_state.transitions(metrics, QUIET, alarm_state.closed_until(metrics, DELAY))
+
+
+def alarm_transitions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = analog.job_metrics_stream(spark, sf_dir).withWatermark("ts", f"{DELAY} seconds")
+    return updates.run_rows(alarm_state.transitions_stream(stream, QUIET), "transitions")
+
+
 QUERIES: dict[str, Query] = {
     # titles
     "etl_clean": cleaned,
@@ -591,6 +652,8 @@ QUERIES: dict[str, Query] = {
     "director_stats": over(stats, rounded),
     "primary_director": over(entries, reputation.primary_director),
     "director_enriched": over(enriched, rounded),
+    "director_before": directors_before,
+    "director_of_others": directors_of_others,
     # features
     "feature_matrix": over(features, rounded),
     "interaction_features": interactions,
@@ -642,6 +705,8 @@ QUERIES: dict[str, Query] = {
     "score_requests": score_requests,
     "score_error_stream": score_stream,
     "score_requests_stream": model_stream,
+    "score_directors": score_directors,
+    "score_directors_stream": score_directors_stream,
     # job metrics
     "metric_sum_5m": metric_sums,
     "metric_sum_5m_stream": metric_sums_stream,
@@ -650,4 +715,7 @@ QUERIES: dict[str, Query] = {
     "metric_avg_daily": metric_daily,
     "metric_alarms": metric_alarms,
     "metric_alarms_stream": metric_alarms_stream,
+    "metric_sum_5m_once": metric_sums_once,
+    "metric_alarm_transitions": alarm_transitions,
+    "metric_alarm_transitions_stream": alarm_transitions_stream,
 }

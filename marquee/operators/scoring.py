@@ -16,6 +16,7 @@ from marquee import vocabulary as V
 from marquee.functions import features as X
 from marquee.functions.bins import EqualWidthBins, integer_log_bin
 from marquee.operators.cleaning import rating_tier
+from marquee.operators.joins import balanced_left_join
 
 Predictor = Callable[[DataFrame], DataFrame]
 
@@ -83,6 +84,29 @@ def request_field(requests: DataFrame, name: str, defaults: dict = V.REQUEST_DEF
     return F.coalesce(F.col(name), default)
 
 
+# Where ``look_up_directors`` puts what is known of a director.
+DIRECTOR = "_director"
+
+
+def look_up_directors(requests: DataFrame, stats: DataFrame, key: str = "director_id") -> DataFrame:
+    """Bring the reputation of the director a request names; ``score_features`` then uses it.
+
+    Requests without a director, or with one that ``stats`` does not have, keep their own figures or
+    the assumed ones. Very many requests may name one director, or none.
+    """
+    kinds = {"director_movie_count": "long", "has_known_director": "int"}
+    held = F.struct(*[F.col(c).cast(kinds.get(c, "double")).alias(c) for c in V.DIRECTOR_FEATURES])
+    known = stats.select(F.col("director_id").alias(key), held.alias(DIRECTOR))
+    plain = [f"`{c}`" for c, kind in requests.dtypes if not kind.startswith(("struct", "array", "map", "variant"))]
+    tagged = requests.withColumn("_spread", F.xxhash64(*plain))
+    return balanced_left_join(tagged, known, key, "_spread").drop("_spread")
+
+
+def known_or(requests: DataFrame, feature: str, assumed: Column) -> Column:
+    """What was looked up of a request's director, else what is assumed."""
+    return F.coalesce(F.col(f"{DIRECTOR}.{feature}"), assumed) if DIRECTOR in requests.columns else assumed
+
+
 def score_features(requests: DataFrame, bins: EqualWidthBins | None = None,
                    variant: str = "training") -> DataFrame:
     """The 43 model features of each request, after its own columns.
@@ -103,17 +127,20 @@ def score_features(requests: DataFrame, bins: EqualWidthBins | None = None,
     defaults = V.CLIENT_DEFAULTS if variant == "client" else V.REQUEST_DEFAULTS
     fields = {name: request_field(requests, name, defaults) for name in defaults}
     average = fields["director_avg_rating"]
-    base = requests.withColumns({
-        **X.genre_flags(F.col("genres")),
-        **X.era_features(fields["year"]),
-        **X.runtime_features(fields["runtime"]),
-        **X.vote_features(fields["num_votes"]),
+    director = {
         "director_avg_rating": average,
         "director_movie_count": F.lit(V.ASSUMED_MOVIE_COUNT),
         "director_hit_rate": fields["director_hit_rate"],
         "director_votes_log": F.log(F.lit(float(V.ASSUMED_DIRECTOR_VOTES + 1))),
         "has_known_director": F.lit(1),
         "director_max_rating": F.least(average + 1.0, F.lit(V.HIGHEST_RATING)),
+    }
+    base = requests.withColumns({
+        **X.genre_flags(F.col("genres")),
+        **X.era_features(fields["year"]),
+        **X.runtime_features(fields["runtime"]),
+        **X.vote_features(fields["num_votes"]),
+        **{name: known_or(requests, name, assumed) for name, assumed in director.items()},
     })
     derived = X.interaction_features()
     if variant == "training":
@@ -155,7 +182,7 @@ def score_requests(requests: DataFrame, predict: Predictor,
     hidden = {c: f"_in_{c}" for c in own if c in V.FULL_FEATURES}
     kept = requests.withColumns({h: F.col(c) for c, h in hidden.items()})
     scored = with_response(predict(score_features(kept, bins, variant)), variant)
-    restored = [F.col(hidden[c]).alias(c) if c in hidden else F.col(c) for c in own]
+    restored = [F.col(hidden[c]).alias(c) if c in hidden else F.col(c) for c in own if c != DIRECTOR]
     return scored.select(*restored, "predicted_rating", "is_high_rated", "confidence_tier")
 
 

@@ -43,3 +43,14 @@ def daily_average(metrics: DataFrame, measure: str = "elapsed") -> DataFrame:
 def alarms(sums: DataFrame, threshold: int = 1) -> DataFrame:
     """Windows in which a job failed at least ``threshold`` times."""
     return sums.filter(F.col("failed") >= threshold)
+
+
+def counted_once(metrics: DataFrame, *keys: str) -> DataFrame:
+    """Each event once, though its file or message came again.
+
+    On a stream an event's key is kept until the watermark is its delay past its time, so the state ends; a
+    repeat that comes later than the watermark's delay counts as new.
+    """
+    if metrics.isStreaming:
+        return metrics.dropDuplicatesWithinWatermark(list(keys))
+    return metrics.dropDuplicates(list(keys))

@@ -8,7 +8,7 @@ checkpoint, and a batch that runs again after a failure overwrites its own folde
 from __future__ import annotations
 
 import threading
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,10 +50,13 @@ class _Progress(StreamingQueryListener):
         self.end_of(str(event.runId)).set()
 
 
-def run_to_table(stream: DataFrame, path: str, mode: str = "update",
-                 allow_late: bool = False) -> int:
+def run_to_table(stream: DataFrame, path: str, mode: str = "update", allow_late: bool = False,
+                 each: Callable[[DataFrame], DataFrame] | None = None) -> int:
     """Process all input there is now, append each micro-batch to ``path``; the late rows.
 
+    ``each`` changes a micro-batch before it is stored. A table that it reads is listed anew for
+    every micro-batch, so rows that came late into it are seen by the batches after.
+
     In update mode a key may be written by several batches; ``latest`` keeps its last
     state. Unlike append mode this includes windows the watermark has not closed yet.
 
@@ -62,7 +65,7 @@ def run_to_table(stream: DataFrame, path: str, mode: str = "update",
     When a stored table is replayed, the watermark must cover its disorder (``disorder``).
     """
     def store(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{EPOCH}={epoch}")
+        (each(batch) if each else batch).write.mode("overwrite").parquet(f"{path}/{EPOCH}={epoch}")
 
     spark, progress = stream.sparkSession, _Progress()
     spark.streams.addListener(progress)
@@ -105,11 +108,11 @@ def run_updates(stream: DataFrame, keys: Sequence[str], label: str) -> DataFrame
     return latest(stream.sparkSession, path, keys)
 
 
-def run_rows(stream: DataFrame, label: str) -> DataFrame:
+def run_rows(stream: DataFrame, label: str, each: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Run a stream in append mode and return all it wrote.
 
     Without aggregation these are all rows, with windows those that the watermark has closed.
     """
     path = scratch_path(stream.sparkSession, label)
-    run_to_table(stream, path, mode="append")
+    run_to_table(stream, path, mode="append", each=each)
     return stream.sparkSession.read.parquet(path).drop(EPOCH)
