@@ -517,6 +517,18 @@ ORACLE: dict[str, str] = {
     "source_tsv": sql(
         "select * replace (cast(tconst as varchar) as tconst) from cleaned"),
     "sink_cleaned_by_decade": CLEANED_SQL,
+    "rollup_health": sql(f"""select count(*) as total_records, round(avg(averagerating), 3) as mean_rating,
+      count(distinct decade) as decades_covered, cast(sum(is_high_rated) as bigint) as high_rated_count from cleaned"""),
+    "rollup_distinct": sql("""select decade, count(distinct tconst) as titles, count(distinct genres) as genres,
+      true as near from cleaned group by decade"""),
+    "source_refused": sql("""select reason, count(*) as lines from (select unnest(case
+        when tconst % 19 = 0 then ['8 fields, not 9'] when tconst % 221 = 0
+        then ['startyear is no int', 'runtimeminutes is no int'] when tconst % 13 = 0 then ['startyear is no int']
+        when tconst % 17 = 0 then ['runtimeminutes is no int'] else ['sound'] end) as reason from titles)
+      group by reason"""),
+    "source_refused_lines": sql("""select count(*) as lines, count(*) filter (bad = 0) as sound,
+      count(*) filter (bad = 1) as refused from (select cast(tconst % 19 = 0 or tconst % 13 = 0 or tconst % 17 = 0
+        as integer) as bad from titles)"""),
     "sink_features": sql(f"select {columns(V.ID_COLUMNS + V.BASE_FEATURES)} from features"),
     "sink_split": SPLIT_SQL,
     "source_merged_schemas": sql("""select tconst,
@@ -599,3 +611,13 @@ ORACLE: dict[str, str] = {
     "director_before": DIRECTORS_BEFORE,
     "director_of_others": DIRECTORS_OF_OTHERS,
 }
+# other ways to the same rows
+ORACLE |= {
+    "sink_daily": CLEANED_SQL,
+    "etl_clean_bucketed": CLEANED_SQL,
+    "director_stats_bucketed": ORACLE["director_stats"],
+    "training_matrix_bucketed": ORACLE["training_matrix"],
+    "rollup_decade_stats": ORACLE["v_decade_stats"],
+    "rollup_movies_per_decade": ORACLE["rpt_movies_per_decade"],
+    "rollup_daily": ORACLE["metric_avg_daily"],
+}

@@ -12,10 +12,10 @@ from marquee import vocabulary as V
 from marquee.functions.bins import EqualWidthBins
 from marquee.functions.features import log_votes
 from marquee.operators import (
-    cleaning, matrix, models, quality, reports, reputation, sampling, scoring,
+    cleaning, matrix, models, quality, reports, reputation, rollups, sampling, scoring,
 )
 from marquee.session import scratch_path
-from marquee.sources import catalog, tables, tsv
+from marquee.sources import catalog, daily, quarantine, tables, tsv
 from marquee.streaming import alarm_state, job_metrics, updates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -192,6 +192,96 @@ def cleaned_by_decade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, path).select(V.CLEANED_COLUMNS)
 
 
+def bucketed(df: DataFrame, label: str) -> DataFrame:
+    return tables.materialize_bucketed(df, label, "tconst")
+
+
+def cleaned_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaning from tables dealt out by title: the join shuffles nothing."""
+    return cleaning.clean_titles(bucketed(analog.titles(spark, sf_dir), "titles"),
+                                 bucketed(analog.ratings(spark, sf_dir), "ratings"))
+
+
+def stats_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(reputation.director_stats(bucketed(entries(spark, sf_dir), "entries"),
+                                             bucketed(analog.ratings(spark, sf_dir), "ratings")))
+
+
+def matrix_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(matrix.training_matrix(bucketed(features(spark, sf_dir), "features"),
+                                          bucketed(enriched(spark, sf_dir), "enriched"), vote_bins(spark, sf_dir)))
+
+
+def changed_since(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """What a first run had, some titles under another year, and what a second one brings."""
+    now, part = cleaned(spark, sf_dir), F.pmod(F.xxhash64("tconst"), F.lit(10))
+    moved = now.filter(part < 2).withColumns(
+        {"startyear": F.col("startyear") - 10, "decade": F.col("decade") - 10, "numvotes": F.col("numvotes") + 1})
+    return now.filter(part.between(2, 7)).unionByName(moved), now.filter((part < 2) | (part > 7))
+
+
+def daily_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, (before, changed) = scratch_path(spark, "daily"), changed_since(spark, sf_dir)
+    tables.write_cleaned(before, path)
+    daily.merge_cleaned(spark, path, changed)
+    return tables.read_table(spark, path).select(V.CLEANED_COLUMNS)
+
+
+def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partial rows of five loads, stored one after the other."""
+    path, rows = scratch_path(spark, "partials"), cleaned(spark, sf_dir)
+    for load in range(5):
+        rollups.partials(rows.filter(F.pmod(F.xxhash64("tconst"), F.lit(5)) == load)).write.mode("append").parquet(path)
+    return tables.read_table(spark, path)
+
+
+def rollup_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact distinct counts, and whether the merged sketches come within four standard errors."""
+    exact = cleaned(spark, sf_dir).groupBy("decade").agg(
+        F.count_distinct("tconst").alias("titles"), F.count_distinct("genres").alias("genres"))
+    found = rollups.distinct_counts(loads(spark, sf_dir))
+
+    def near(a: str, b: str) -> Column:
+        return F.abs(F.col(a) - F.col(b)) <= F.greatest(F.lit(1.0), 4 * rollups.SKETCH_ERROR * F.col(b))
+
+    return exact.join(found, "decade").select(
+        "decade", "titles", "genres",
+        (near("distinct_titles", "titles") & near("distinct_genres", "genres")).alias("near"))
+
+
+def rollup_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, metrics = scratch_path(spark, "days"), analog.job_metrics(spark, sf_dir)
+    for load in range(3):
+        rollups.job_partials(metrics.filter(F.pmod(F.xxhash64("ts"), F.lit(3)) == load)).write.mode("append").parquet(path)
+    return rounded(rollups.daily_average(tables.read_table(spark, path)), ("avg_elapsed",), 6)
+
+
+def checked_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Title lines, some of them broken: a field too few, a year or a runtime that is no number."""
+    path, key = scratch_path(spark, "lines"), F.col("tconst")
+    named = {c.lower(): c for c in tsv.TITLE_COLUMNS}
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit(V.NULL_MARKER)) if c in analog.titles(spark, sf_dir).columns
+              else F.lit(V.NULL_MARKER) for c in named]
+    at = {c: k for k, c in enumerate(named)}
+    fields[at["startyear"]] = F.when(key % 13 == 0, "19x5").otherwise(fields[at["startyear"]])
+    fields[at["runtimeminutes"]] = F.when(key % 17 == 0, "long").otherwise(fields[at["runtimeminutes"]])
+    line = F.concat_ws("\t", *fields[:-1], F.when(key % 19 != 0, fields[-1]))
+    analog.titles(spark, sf_dir).select(line.alias("value")).write.text(path)
+    return quarantine.checked_lines(spark, path, tsv.TITLE_COLUMNS, quarantine.TITLE_NUMBERS)
+
+
+def refused_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quarantine.reason_counts(checked_titles(spark, sf_dir))
+
+
+def refused_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines were read, and how many of them are sound, refused and stored."""
+    checked, path = checked_titles(spark, sf_dir), scratch_path(spark, "refused")
+    taken = quarantine.take_in(checked, tsv.TITLE_COLUMNS, path, most_refused=1.0)
+    return checked.agg(F.count("*").alias("lines")).join(taken.agg(F.count("*").alias("sound"))).join(
+        tables.read_table(spark, path).agg(F.count("*").alias("refused")))
+
+
 def features_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "features")
     tables.write_flat(features(spark, sf_dir), path)
@@ -668,6 +758,17 @@ QUERIES: dict[str, Query] = {
     # sources and sinks
     "source_tsv": cleaned_from_tsv,
     "sink_cleaned_by_decade": cleaned_by_decade,
+    "sink_daily": daily_runs,
+    "etl_clean_bucketed": cleaned_bucketed,
+    "director_stats_bucketed": stats_bucketed,
+    "training_matrix_bucketed": matrix_bucketed,
+    "rollup_decade_stats": lambda spark, sf_dir: rollups.decade_stats(loads(spark, sf_dir)),
+    "rollup_movies_per_decade": lambda spark, sf_dir: rollups.movies_per_decade(loads(spark, sf_dir)),
+    "rollup_health": lambda spark, sf_dir: rollups.health(loads(spark, sf_dir)),
+    "rollup_distinct": rollup_distinct,
+    "rollup_daily": rollup_days,
+    "source_refused": refused_counts,
+    "source_refused_lines": refused_lines,
     "sink_features": features_flat,
     "sink_split": split_folders,
     "source_merged_schemas": merged_schemas,
