@@ -8,6 +8,7 @@ instead of aggregates, lists instead of chained conditions.
 from __future__ import annotations
 
 from marquee import vocabulary as V
+from marquee.operators import uncertainty
 
 GENRE_POOL = [*V.GENRES, "Western", "War"]
 POOL_SQL = "[" + ", ".join(f"'{g}'" for g in GENRE_POOL) + "]"
@@ -371,6 +372,40 @@ TRANSITIONS_SQL = sql("""select * from (with failing as (
   select job, begins as at, 'raised' as state from near where earlier is null or begins >= earlier + 1800
   union all
   select job, ends + 1800, 'cleared' from near where coalesce(later, until) >= ends + 1800)""")
+FLAG_LIST = ", ".join(V.GENRE_FLAGS)
+NAMES = "list_distinct(list_transform(string_split(coalesce(genres, ''), ','), lambda g: trim(g)))"
+GENRE_TOKENS = sql(f"""select * from (with names as (
+    select tconst, unnest(list_filter({NAMES}, lambda g: g <> '')) as token from cleaned),
+  known as (select token from names group by token order by count(*) desc, token limit 12)
+  select tconst, coalesce(string_agg(known.token, ',' order by known.token), '') as known,
+    cast(count(names.token) filter (known.token is null) as integer) as unknown_genres
+  from cleaned left join names using (tconst) left join known using (token) group by tconst)""")
+
+
+def bootstrap_sql(seed: int = V.SEED) -> str:
+    """A number of draws for each row and replicate, by a mix of the key's hash."""
+    mixed = f"(cast('0x' || md5('{seed}:' || tconst)[1:8] as bigint) + replicate * {uncertainty.STEP}) % 4294967296"
+    rounds = f"""h0 as (select *, {mixed} as x from rows, (select unnest(range(0, {uncertainty.REPLICATES + 1})) as replicate)),
+      h1 as (select * replace ((xor(x >> 16, x) * {uncertainty.MIX}) % 4294967296 as x) from h0),
+      h2 as (select * replace ((xor(x >> 16, x) * {uncertainty.MIX}) % 4294967296 as x) from h1),
+      h3 as (select * replace (xor(x >> 16, x) as x) from h2)"""
+    drawn = " + ".join(f"cast(x >= {cut} as integer)" for cut in uncertainty.poisson_cuts())
+    return sql(f"""select * from (with rows as (
+        select tconst, cast(target_rating as double) as y, director_avg_rating as a, 5 + is_well_known / 2::double as b
+        from matrix join split using (tconst) where split = 'test'),
+      {rounds},
+      w as (select *, case when replicate = 0 then 1 else {drawn} end as w from h3),
+      sums as (select replicate, sum(w)::bigint as n, sum(w * y) as y, sum(w * y * y) as yy,
+        sum(w * ((y - a) * (y - a))) as ea, sum(w * ((y - b) * (y - b))) as eb from w where w > 0 group by replicate),
+      r2 as (select replicate, n, 1 - ea / (yy - y * y / n) as a, 1 - eb / (yy - y * y / n) as b from sums),
+      gains as (select b - a as gain from r2 where replicate > 0)
+      select n as rows, round(a, 6) as first_r2, round(b, 6) as second_r2, round(b - a, 6) as gain,
+        (select round(quantile_cont(gain, 0.025), 6) from gains) as low,
+        (select round(quantile_cont(gain, 0.975), 6) from gains) as high,
+        (select round(avg(cast(gain > 0 as double)), 6) from gains) as share_above
+      from r2 where replicate = 0)""")
+
+
 # trees in full: sums by node, feature and value, as whole numbers of a unit; the best split of each
 # node by the penalised gain; a value for each leaf, added to the predictions before
 UNIT = 1 << 20
@@ -517,6 +552,11 @@ ORACLE: dict[str, str] = {
     "source_tsv": sql(
         "select * replace (cast(tconst as varchar) as tconst) from cleaned"),
     "sink_cleaned_by_decade": CLEANED_SQL,
+    "model_uncertainty": bootstrap_sql(),
+    "title_search_index": sql("""select tconst, primarytitle, text from titles,
+      (select unnest(['le 142', 'Title', '42', 'Nowhere', 'Title 7']) as text) where contains(primarytitle, text)"""),
+    "genre_tokens": GENRE_TOKENS,
+    "genre_token_flags": sql(f"select tconst, {FLAG_LIST} from features"),
     "rollup_health": sql(f"""select count(*) as total_records, round(avg(averagerating), 3) as mean_rating,
       count(distinct decade) as decades_covered, cast(sum(is_high_rated) as bigint) as high_rated_count from cleaned"""),
     "rollup_distinct": sql("""select decade, count(distinct tconst) as titles, count(distinct genres) as genres,

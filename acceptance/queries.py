@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,8 @@ from marquee import vocabulary as V
 from marquee.functions.bins import EqualWidthBins
 from marquee.functions.features import log_votes
 from marquee.operators import (
-    cleaning, matrix, models, quality, reports, reputation, rollups, sampling, scoring,
+    cleaning, matrix, models, quality, reports, reputation, rollups, sampling, scoring, title_index, tokens,
+    uncertainty,
 )
 from marquee.session import scratch_path
 from marquee.sources import catalog, daily, quarantine, tables, tsv
@@ -474,6 +477,40 @@ def model_trees(settings: models.Boosting) -> Query:
     return query
 
 
+# Texts to look for: rare, common, too short for the index, absent, with a common part.
+WANTED = ["le 142", "Title", "42", "Nowhere", "Title 7"]
+
+
+def search_by_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, titles = scratch_path(spark, "trigrams"), analog.titles(spark, sf_dir)
+    title_index.write_index(titles, path)
+    found = [title_index.search(spark, path, titles, text).withColumn("text", F.lit(text)) for text in WANTED]
+    return reduce(DataFrame.unionByName, found)
+
+
+def genre_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The names a title has of the 12 most frequent, and how many others."""
+    rows, path = cleaned(spark, sf_dir), scratch_path(spark, "genres")
+    tokens.GenreTokens.fit(rows, 12).save(path)
+    genres = tokens.GenreTokens.load(spark, path)
+    return genres.transform(rows).select("tconst", F.array_join(genres.names(), ",").alias("known"), "unknown_genres")
+
+
+def genre_token_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flags as tokens give them, where the vocabulary is that of the flags."""
+    vectors = tokens.GenreTokens(V.GENRES).transform(cleaned(spark, sf_dir))
+    places = vectors.withColumn("_a", vector_to_array("genre_vector"))
+    return places.select("tconst", *[F.col("_a")[k].cast("int").alias(f) for k, f in enumerate(V.GENRE_FLAGS)])
+
+
+def model_uncertainty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two fixed predictions compared: the director's average, and a step by votes."""
+    test = matrix.with_split(full_matrix(spark, sf_dir)).filter(F.col("split") == "test")
+    step = test.withColumn("step", F.lit(5.0) + F.col("is_well_known") / 2)
+    found = uncertainty.paired_bootstrap(step, models.LABEL, "director_avg_rating", "step")
+    return rounded(found, ("first_r2", "second_r2", "gain", "low", "high", "share_above"), 6)
+
+
 def model_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many test rows a stored and reloaded model predicts differently: none."""
     model, _, rows = fitted(spark, sf_dir)
@@ -786,6 +823,10 @@ QUERIES: dict[str, Query] = {
     "model_predictions": model_predictions,
     "model_sample": model_sample,
     "model_reloaded": model_reloaded,
+    "model_uncertainty": model_uncertainty,
+    "title_search_index": search_by_index,
+    "genre_tokens": genre_tokens,
+    "genre_token_flags": genre_token_flags,
     "model_history": model_history,
     "model_best": best_model,
     "model_record": best_record,
