@@ -16,7 +16,7 @@ from marquee.sources.tables import materialize, materialize_bucketed
 
 LENGTH = 400
 # Texts are scanned in runs of about this many bytes; a longer text in several.
-SCAN_BYTES = 1 << 20
+SCAN_BYTES = 1 << 18
 # Bytes compared to choose an anchor.
 GRAM = 65
 # Starts that share a piece, at first and where more than KINDS different pieces share a core.
@@ -25,6 +25,9 @@ WIDTHS = (112, 14, 1)
 KINDS = 256
 # Pieces whose suffixes are sorted together.
 BATCH = 4096
+# Texts to look at are picked by a broadcast of their keys, 8 bytes each, if there are no more than
+# this; of more, by a join that deals all texts out.
+PICKED = 2_000_000
 
 _RANDOM = np.random.default_rng(7)
 _BYTES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -369,8 +372,10 @@ def repeated_runs(documents: DataFrame, length: int = LENGTH) -> tuple[DataFrame
     close = materialize(
         rows.join(keys, "key").groupBy("digest").agg(F.flatten(F.collect_set("runs")).alias("runs")), "close")
     # texts are dealt out by digest once, and stay there in the joins that follow
-    digests = materialize(close.select("digest"), "digests")
-    wanted = documents.select("digest", "text").join(digests, "digest", "left_semi")
+    wanted = documents.select("digest", "text")
+    keys = materialize(close.select(F.xxhash64("digest").alias("key")).distinct(), "picked")
+    keys = F.broadcast(keys) if keys.count() <= PICKED else keys
+    wanted = wanted.withColumn("key", F.xxhash64("digest")).join(keys, "key", "left_semi").drop("key")
     texts = materialize_bucketed(wanted.dropDuplicates(["digest"]).join(close, "digest"), "texts", "digest")
     found = materialize(
         pieces(texts, WIDTHS[0], length).withColumn("copies", F.size("lows").cast("long")), "pieces")
