@@ -331,8 +331,8 @@ def _folded(text: str) -> str:
             "'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+')")
 
 
-# A shingle at word p lies in the passages that begin at the stride before it, or one earlier
-# if it ends in time. Items of fewer than ten words are short of five in a part.
+# A window of an item's own span ends with each shingle met. Items of fewer than ten words are short
+# of five in a part.
 LEAK_SQL = f"""
 WITH split AS (
     SELECT DISTINCT item_id, w[:c] AS q, w[c + 1:] AS a FROM (
@@ -341,8 +341,8 @@ WITH split AS (
   parts AS (
     SELECT item_id, 'q' AS part, {_folded("array_to_string(q, ' ')")} AS w FROM split
     UNION ALL SELECT item_id, 'a', {_folded("array_to_string(a, ' ')")} FROM split),
-  stride AS (
-    SELECT floor(max(n) * {ROOM} + 1)::BIGINT AS s FROM (SELECT sum(len(w)) AS n FROM parts GROUP BY item_id)),
+  spans AS (
+    SELECT item_id, 2 * greatest(1, floor(sum(len(w)) * {ROOM} + 1))::BIGINT AS span FROM parts GROUP BY item_id),
   asked AS (
     SELECT DISTINCT item_id, part, least(len(w), {SHINGLE}) AS size,
       array_to_string(w[i:i + least(len(w), {SHINGLE}) - 1], ' ') AS gram
@@ -356,14 +356,15 @@ WITH split AS (
     FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
           FROM texts, (SELECT DISTINCT size FROM asked) WHERE len(w) >= size)),
   met AS (SELECT doc_id, p, g.size, item_id, part, gram FROM grams g JOIN asked USING (size, gram)),
-  placed AS (
-    SELECT DISTINCT doc_id, item_id, part, gram, passage FROM (
-      SELECT *, p // s AS passage FROM met, stride
-      UNION ALL SELECT *, p // s - 1 FROM met, stride WHERE p >= s)
-    WHERE p + size <= (passage + 2) * s),
+  able AS (
+    SELECT doc_id, item_id FROM met JOIN totals USING (item_id) GROUP BY doc_id, item_id, q_shingles, a_shingles
+    HAVING 100 * count(DISTINCT (part, gram)) >= {OVERLAP_PCT} * (q_shingles + a_shingles)),
+  near AS (SELECT met.* FROM met SEMI JOIN able USING (doc_id, item_id)),
+  ends AS (SELECT DISTINCT doc_id, item_id, p + size AS e, span FROM near JOIN spans USING (item_id)),
   hits AS (
-    SELECT doc_id, item_id, passage, count(*) FILTER (part = 'q') AS q_found, count(*) FILTER (part = 'a') AS a_found
-    FROM placed GROUP BY doc_id, item_id, passage)
+    SELECT doc_id, item_id, e, count(DISTINCT gram) FILTER (part = 'q') AS q_found,
+      count(DISTINCT gram) FILTER (part = 'a') AS a_found
+    FROM ends JOIN near USING (doc_id, item_id) WHERE p + size <= e AND p >= e - span GROUP BY doc_id, item_id, e)
 SELECT doc_id, item_id, q_found, q_shingles, a_found, a_shingles FROM hits JOIN totals USING (item_id)
 WHERE 100 * (q_found + a_found) >= {OVERLAP_PCT} * (q_shingles + a_shingles)
   AND 100 * q_found >= {PART_PCT} * q_shingles AND 100 * a_found >= {PART_PCT} * a_shingles

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,8 +18,12 @@ DRAWN = 14
 # A range of more than this many times its share is subdivided.
 OVERFULL = 2
 
+# Tables with a row per range, or a few, are broadcast up to so many ranges; larger ones are joined.
+SMALL = 1 << 17
+
 # A place on the line that ranges cut: 30 bits of the text's hash, then 23 of the row's own.
 TEXT_CELLS, ROW_CELLS = 1 << 30, 1 << 23
+LINE = float(TEXT_CELLS * ROW_CELLS)
 
 
 def keyed(documents: DataFrame) -> DataFrame:
@@ -39,19 +42,50 @@ def keyed(documents: DataFrame) -> DataFrame:
     return rows.withColumn("place", (cell * ROW_CELLS + own).cast("double")).drop("hash")
 
 
-def splitters(rows: DataFrame, total: int, ranges: int) -> list[float]:
-    """Boundaries of ranges with near equal bytes, from a sample drawn by size.
+def splitters(rows: DataFrame, total: int, ranges: int) -> DataFrame:
+    """The ranges, ``number``, ``low`` and ``high``, of near equal bytes, from a sample drawn by size.
 
     A row is drawn as often as its size holds the sampling step; what is left over decides by
     the row's hash. So a large row may be drawn many times, and the sample's quantiles are
-    those of the bytes. The driver gets the boundaries, fewer than ``ranges``.
+    those of the bytes. The sample is put in order by ranges of its own, and counted within them and by
+    the counts of those before, so borders are found where they lie; the last window sees a row per
+    range.
     """
     step = max(total / (ranges * DRAWN), 1.0)
     chance = F.pmod(F.xxhash64("uid", "place"), F.lit(1 << 20)) / float(1 << 20)
     drawn = rows.select("place", F.floor(F.col("size") / step + chance).alias("times")).filter("times > 0")
-    marks = F.array(*[F.lit(k / ranges) for k in range(1, ranges)])
-    found = drawn.agg(F.percentile("place", marks, F.col("times")).alias("marks")).first().marks
-    return sorted(set(found or []))
+    dealt = materialize(drawn.repartitionByRange("place").withColumn("lot", F.spark_partition_id()), "sample")
+    lots = dealt.groupBy("lot").agg(F.sum("times").alias("held"))
+    marks = dealt.agg(F.sum("times").alias("n")).first().n or 0
+    earlier = Window.orderBy("lot").rowsBetween(Window.unboundedPreceding, -1)
+    lots = lots.select("lot", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before"))
+    so_far = F.sum("times").over(Window.partitionBy("lot").orderBy("place").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)) + F.col("before")
+    counted = dealt.join(F.broadcast(lots), "lot").select("place", "times", so_far.alias("n"))
+    share = max(marks / ranges, 1e-9)
+    border = F.floor(F.col("n") / share) > F.floor((F.col("n") - F.col("times")) / share)
+    lows = counted.filter(border & (F.col("place") > 0) & (F.col("n") < marks)).select(F.col("place").alias("low"))
+    lows = lows.union(rows.sparkSession.range(1).select(F.lit(0.0).alias("low"))).distinct()
+    line = Window.orderBy("low")
+    return lows.select((F.row_number().over(line) - 1).alias("number"), "low",
+                       F.lead("low", 1, LINE).over(line).alias("high"))
+
+
+def numbered_ranges(rows: DataFrame, edges: DataFrame, ranges: int) -> DataFrame:
+    """The rows with the range that their place lies in, its ``low`` and its ``high``.
+
+    The line is also cut into as many cells of equal width, and each has the list of the ranges that
+    reach into it, two on average. Rows meet the list of their cell.
+    """
+    width = LINE / ranges
+    first, last = (F.floor(F.col(c) / width).cast("long") for c in ("low", "high"))
+    reached = edges.withColumn("cell", F.explode(F.sequence(first, F.least(last, F.lit(ranges - 1)))))
+    cells = materialize(reached.groupBy("cell").agg(
+        F.collect_list(F.struct("number", "low", "high")).alias("near")), "cells")
+    cell = F.least(F.floor(F.col("place") / width).cast("long"), F.lit(ranges - 1))
+    found = rows.withColumn("cell", cell).join(F.broadcast(cells) if ranges <= SMALL else cells, "cell")
+    own = F.filter("near", lambda r: (r.low <= F.col("place")) & (F.col("place") < r.high))[0]
+    return found.withColumn("own", own).select(*rows.columns, "own.*")
 
 
 def shard(documents: DataFrame, shards: int = SHARDS, ranges: int = RANGES) -> DataFrame:
@@ -72,24 +106,19 @@ def shard(documents: DataFrame, shards: int = SHARDS, ranges: int = RANGES) -> D
     if shards < 1 or ranges < shards:
         raise ValueError("there must be a shard, and as many ranges as shards")
     rows = materialize(keyed(documents), "sizes")
-    count, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     ranges = max(ranges, -(-total // RANGE_BYTES))
-    marks = splitters(rows, total, ranges) if count else []
-    # the first range is empty: there must be two, even of no rows
-    edges = [-1.0, -0.5, *[m for m in marks if m < TEXT_CELLS * ROW_CELLS], float(TEXT_CELLS) * ROW_CELLS]
-    ranged = Bucketizer(splits=edges, inputCol="place", outputCol="number").transform(rows)
-    ranged = ranged.withColumn("number", F.col("number").cast("int"))
+    edges = materialize(splitters(rows, total, ranges), "edges")
+    ranged = numbered_ranges(rows, edges, ranges)
 
     fair = max(total / ranges, 1.0)
-    low, high = (F.array(*[F.lit(e) for e in side]) for side in (edges[:-1], edges[1:]))
     sizes = ranged.groupBy("number").agg(F.sum("size").alias("bytes"))
-    plan = materialize(sizes.select(
-        "number", F.element_at(low, F.col("number") + 1).alias("low"), F.element_at(high, F.col("number") + 1).alias("high"),
-        F.when(F.col("bytes") > OVERFULL * fair, F.ceil(F.col("bytes") / fair)).otherwise(1).alias("parts")), "ranges")
-    # a row per range: their number is a parameter, so this is a table of proven size
+    plan = materialize(sizes.select("number", F.when(
+        F.col("bytes") > OVERFULL * fair, F.ceil(F.col("bytes") / fair)).otherwise(1).alias("parts")), "ranges")
     part = F.least(F.floor((F.col("place") - F.col("low")) * F.col("parts") / (F.col("high") - F.col("low"))),
                    F.col("parts") - 1).cast("int")
-    parted = ranged.join(F.broadcast(plan), "number").withColumn("part", part).drop("low", "high", "parts")
+    few = F.broadcast if ranges <= SMALL else lambda table: table
+    parted = ranged.join(few(plan), "number").withColumn("part", part).drop("low", "high", "parts")
 
     held = materialize(parted.groupBy("number", "part").agg(
         F.sum("size").alias("bytes"), F.count("*").alias("rows")), "parts")
@@ -100,8 +129,8 @@ def shard(documents: DataFrame, shards: int = SHARDS, ranges: int = RANGES) -> D
     layout = (held.withColumn("shard", chosen.cast("int"))
               .withColumn("base", F.sum("rows").over(within) - F.col("rows"))
               .select("number", "part", "shard", "base"))
-    # at most OVERFULL parts per range on average, so of proven size, too
-    placed = parted.join(F.broadcast(layout), ["number", "part"])
+    # at most OVERFULL parts per range on average
+    placed = parted.join(few(layout), ["number", "part"])
     order = Window.partitionBy("number", "part").orderBy("place", "doc_id", "uid")
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
