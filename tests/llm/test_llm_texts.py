@@ -1,13 +1,16 @@
 """Operators that look at one text at a time, against plain versions."""
 
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import brute
 import numpy as np
 import pytest
 from samples import odd_texts
 
-from marquee.llm import pieces, quality, sentence_pieces, token_counts
+from marquee.llm import pieces, quality, sentence_pieces, simhash, token_counts
 
 QUALITY = ["doc_id", *quality.MEASURES, "base_failed", "kept"]
 TOKENS = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
@@ -89,3 +92,29 @@ def test_token_counts_rules(none):
     with pytest.raises(ValueError):
         token_counts.count_by_section(none, "no such rule")
     assert token_counts.count_by_section(none).count() == 0
+
+
+def test_fingerprints_of_texts_taken_in_parts(monkeypatch):
+    texts = [(t or "").encode() for _, t in odd_texts()]
+    whole = [simhash.fingerprint(texts, n).tolist() for n in (1, 3, 5)]
+    assert whole[1] == [brute.fingerprint(t) for _, t in odd_texts()]
+    monkeypatch.setattr(simhash, "PART", 11)
+    monkeypatch.setattr(simhash, "BLOCK", 4)
+    assert [simhash.fingerprint(texts, n).tolist() for n in (1, 3, 5)] == whole
+
+
+def test_a_very_long_text_takes_little_memory():
+    """A fingerprint of 30 MB of words, in a process of its own."""
+    code = """
+import random, resource
+from marquee.llm import simhash
+words = ["".join(random.choices("abcdefgh", k=random.randint(2, 9))) for _ in range(9000)]
+text = " ".join(random.choices(words, k=4_700_000)).encode()
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+simhash.fingerprint([text])
+print(len(text), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True,
+                         cwd=Path(simhash.__file__).parents[2])
+    size, grown = map(int, out.stdout.split())
+    assert size > 25e6 and grown < 500_000  # in KB
