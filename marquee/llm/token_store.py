@@ -28,7 +28,7 @@ from marquee.llm.pieces import encoder
 from marquee.session import scratch_path
 
 END_ID = 0
-BUCKET_KEYS = 32_768
+BUCKET_KEYS = 4_096
 ENTRIES = "doc_id long, shard int, file string, place long, n_tokens long"
 
 
@@ -71,7 +71,10 @@ def write_store(documents: DataFrame, path: str, tokenizer: str | None = None) -
             out.close()
 
     order = [F.col("doc_id").cast("long").asc_nulls_first(), F.xxhash64("text")]
-    (narrow(documents, "doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
+    source = narrow(documents, "doc_id", "text")
+    # as many files as there are parts of the input, so a file does not grow with the whole of it
+    files = max(source.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    (source.repartitionByRange(files, *order).sortWithinPartitions(*order)
      .mapInArrow(write, ENTRIES).write.parquet(f"{path}/entries"))
 
     entries = spark.read.schema(ENTRIES).parquet(f"{path}/entries")
