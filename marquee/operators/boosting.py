@@ -2,34 +2,44 @@
 
 Every level of a tree is chosen from sums of gradients and rows by (version, node, feature, bin).
 Several versions grow side by side. A version that fits into a task grows there, round after round;
-larger ones grow level by level, all of them in one Spark aggregation. All sums are of whole
+larger ones grow level by level, a Spark job over cached parts for all of them. All sums are of whole
 numbers, so the trees are the same either way, and however rows are dealt out.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import RDD, StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee import vocabulary as V
-from marquee.session import ship_package
+from marquee.session import shared_dir, ship_package
 from marquee.sources.tables import materialize
 
 BINS = 256
 # Gradients and labels are counted in these units.
 UNIT = 1 << 20
-# Rows of a version that a task takes. A version of more grows by an aggregation over its parts.
-ROWS_PER_TASK = 1_000_000
+# Rows of a version that a task takes: a level of so many takes it about as long as a job over parts.
+# A version of more grows by sums over its parts.
+ROWS_PER_TASK = 3_000_000
 # Rounds of one job, where versions grow in tasks: a lost executor costs at most as many. Where
-# they grow by aggregations, predictions are stored anew after as many of the other.
-ROUNDS_PER_JOB, ROUNDS_PER_STORE = 250, 20
+# they grow by sums over parts, predictions are stored anew after as many of the other.
+ROUNDS_PER_JOB, ROUNDS_PER_STORE = 250, 50
+# Rows of a part, and those that a task has at most where versions grow by sums over parts.
+ROWS_PER_PART, ROWS_PER_SHARE = 1 << 18, 8_000_000
+# Up to so many tasks the driver adds up itself what they send; that of more is added up by tasks.
+SENT = 32
+# Rows whose sums are taken at a time where their counts need a pass of their own, and the fewest
+# for which both are taken in one.
+BLOCK, LEAST_BLOCK = 1 << 16, 1 << 12
 # Gains below this are taken for none.
 LEAST_GAIN = 1e-6
 
@@ -267,16 +277,35 @@ class Growing:
         return self.level < s.depth and len(nodes) > 0
 
 
+def packed(sizes: Sequence[int], most: int = BINS) -> list[list[int]]:
+    """Features whose bins together have at most ``most`` combinations, which then share a byte."""
+    groups: list[list[int]] = []
+    for k in sorted(range(len(sizes)), key=lambda k: -sizes[k]):
+        for group in groups:
+            if math.prod(sizes[j] for j in group) * sizes[k] <= most:
+                group.append(k)
+                break
+        else:
+            groups.append([k])
+    return groups
+
+
 class Part:
     """Some rows of one version: their bins, labels, predictions so far, and nodes in a tree."""
 
     def __init__(self, settings: Boosting, sizes: Sequence[int], codes: np.ndarray, label: np.ndarray,
                  key: np.ndarray, watched: np.ndarray, predicted: np.ndarray):
-        self.settings, self.sizes = settings, sizes
-        self.codes = np.ascontiguousarray(codes.T)  # a row per feature
+        self.settings, self.sizes, self.groups = settings, sizes, packed(sizes)
+        self.of = np.zeros(len(sizes), np.int64)  # the byte a feature is in, and what one of its bins counts there
+        self.stride = np.ones(len(sizes), np.int64)
+        self.bytes = np.zeros((len(self.groups), len(label)), np.uint8)
+        for g, group in enumerate(self.groups):
+            stride = 1
+            for k in reversed(group):
+                self.of[k], self.stride[k] = g, stride
+                self.bytes[g] += codes[:, k] * np.uint8(stride % 256)
+                stride *= sizes[k]
         self.label, self.key, self.watched, self.predicted = label, key.view(np.uint64), watched, predicted
-        self.rows = np.arange(len(label))
-        self.ones = {k: np.flatnonzero(self.codes[k]) for k, n in enumerate(sizes) if n == 2}
 
     def drawn(self, number: int) -> np.ndarray:
         share = self.settings.row_share
@@ -288,45 +317,81 @@ class Part:
     def begin(self, number: int) -> None:
         self.gradient = np.rint((self.predicted - self.label) * UNIT)
         self.here = np.zeros(len(self.label), np.int64)  # node of any row, within its level
-        self.open = np.where(self.drawn(number), 0, -1)  # node of a drawn row in no leaf yet
+        self.open = self.drawn(number)  # whether a row is drawn and in no leaf yet
+
+    def _step(self, here: np.ndarray, first: int, feature: np.ndarray, bins: np.ndarray) -> np.ndarray:
+        """Which of the rows from ``first`` on, at these nodes, go right."""
+        own = self.of[feature]
+        code = np.arange(BINS) // self.stride[feature][:, None] % np.array(self.sizes)[feature][:, None]
+        right = (code > bins[:, None]) & (feature >= 0)[:, None]
+        n = len(here)
+        if (own == own[0]).all():
+            value = self.bytes[own[0], first:first + n]
+        else:
+            value = self.bytes.ravel()[own[here] * len(self.label) + np.arange(first, first + n)]
+        return right.ravel()[here * BINS + value]
 
     def go_down(self, feature: np.ndarray, bins: np.ndarray) -> None:
         """Move rows to the next level."""
-        own = feature[self.here]
-        right = (own >= 0) & (self.codes[own, self.rows] > bins[self.here])
-        self.open = np.where((self.open >= 0) & (own >= 0), 2 * self.open + right, -1)
-        self.here = 2 * self.here + right
+        feature, bins = feature[:-1], bins[:-1]
+        for first in range(0, len(self.label), BLOCK):
+            here = self.here[first:first + BLOCK]
+            self.open[first:first + BLOCK] &= (feature >= 0)[here]
+            self.here[first:first + BLOCK] = 2 * here + self._step(here, first, feature, bins)
 
     def add_up(self, columns: np.ndarray, built: np.ndarray, level: int) -> np.ndarray:
-        """Gradients and rows by node and bin, the bins of all columns side by side."""
-        slots = np.full(2 ** level + 1, -1)  # the last place is that of rows in no node
-        slots[built] = np.arange(len(built))
-        slot, nodes = slots[self.open], len(built)
-        rows = np.flatnonzero(slot >= 0)
-        mine, weight = slot[rows], self.gradient[rows]
-        whole = np.stack((np.bincount(mine, weight, nodes), np.bincount(mine, minlength=nodes)))
+        """Gradients and rows by node and bin, the bins of all columns side by side.
+
+        Where whole numbers leave room for it, a weight holds a row's gradient and, above it, its one,
+        so that a pass adds up both. A block has as many rows as there is room for.
+        """
+        nodes = len(built)
+        slots = np.full(2 ** level + 1, -1)
+        slots[built] = np.arange(nodes)
+        most = np.abs(self.gradient).max(initial=1.0)
+        block = min(int(math.sqrt(2.0 ** 51 / most)), BLOCK) if most < 2.0 ** 51 else 0
+        both = block >= max(LEAST_BLOCK, min(nodes * BINS, len(self.label)))
+        block = block if both else BLOCK
+        # above all that a block's gradients can add up to
+        unit = 2.0 ** math.ceil(math.log2(2 * most * block + 1)) if both else 1.0
+        wanted = sorted({int(self.of[k]) for k in columns})
+        held = {g: np.zeros((2, nodes * BINS)) for g in wanted}
+        for first in range(0, len(self.label), block):
+            slot = np.where(self.open[first:first + block], slots[self.here[first:first + block]], -1)
+            rows = np.flatnonzero(slot >= 0)
+            if not len(rows):
+                continue
+            mine, weight = slot[rows] * BINS, self.gradient[first:first + block][rows]
+            if both:
+                weight = weight + unit
+            for g in wanted:
+                at = mine + self.bytes[g, first:first + block][rows]
+                total = np.bincount(at, weight, nodes * BINS)
+                if both:
+                    n = np.rint(total / unit)
+                    total -= n * unit
+                else:
+                    n = np.bincount(at, minlength=nodes * BINS)
+                held[g][0] += total
+                held[g][1] += n
         out = []
         for k in columns:
-            size = self.sizes[k]
-            if k in self.ones:  # a flag: the rows that have it, and the rest
-                have = self.ones[k][slot[self.ones[k]] >= 0]
-                one = np.stack((np.bincount(slot[have], self.gradient[have], nodes),
-                                np.bincount(slot[have], minlength=nodes)))
-                out.append(np.stack((whole - one, one), axis=2))
-            else:
-                at = mine * size + self.codes[k][rows]
-                out.append(np.stack((np.bincount(at, weight, nodes * size), np.bincount(
-                    at, minlength=nodes * size))).reshape(2, nodes, size))
+            group = self.groups[self.of[k]]
+            shape = [self.sizes[j] for j in group]
+            sums = held[int(self.of[k])].reshape(2, nodes, BINS)[:, :, :math.prod(shape)].reshape(2, nodes, *shape)
+            out.append(sums.sum(axis=tuple(2 + i for i, j in enumerate(group) if j != k)))
         return np.concatenate(out, axis=2)
 
     def follow(self, tree: dict) -> None:
         """Bring the predictions up to a tree grown before."""
-        here = np.zeros(len(self.label), np.int64)
-        for level in range(self.settings.depth):
-            place = 2 ** level - 1 + here
-            feature = tree["feature"][place]
-            here = 2 * here + ((feature >= 0) & (self.codes[feature, self.rows] > tree["bin"][place]))
-        self.predicted = self.predicted + tree["value"][here]
+        added = np.zeros(len(self.label))
+        for first in range(0, len(self.label), BLOCK):
+            here = np.zeros(min(BLOCK, len(self.label) - first), np.int64)
+            for level in range(self.settings.depth):
+                of = slice(2 ** level - 1, 2 ** (level + 1) - 1)
+                here = 2 * here + self._step(here, first, tree["feature"][of], tree["bin"][of])
+            added[first:first + BLOCK] = tree["value"][here]
+        self.predicted = self.predicted + added
 
     def grow(self, number: int) -> dict:
         """A whole tree, where this part has all rows."""
@@ -417,96 +482,112 @@ def _in_tasks(rows: DataFrame, plan: _Plan, grown: list[list[dict]], todo: list[
     settled.unpersist()
 
 
-def _parts(batches: Iterator[pa.RecordBatch], plan: _Plan, since: dict[int, list[dict]]) -> Iterator[tuple[int, Part]]:
-    """The rows of a task by version, their predictions brought up to date."""
-    held = _read(batches, plan.width)
-    for fit, trees in since.items():
-        part = plan.part(fit, held, held["fit"] == fit)
-        for tree in trees:
-            part.follow(tree)
-        yield fit, part
+@dataclass(frozen=True)
+class _Asked:
+    """A level of a tree to be added up: its number, columns, nodes, and how to get there."""
+
+    number: int
+    columns: np.ndarray
+    built: np.ndarray
+    levels: list[tuple[np.ndarray, np.ndarray]]
+
+
+def _dealt(rows: DataFrame, plan: _Plan, tasks: int) -> RDD:
+    """(fit, part) of all rows, dealt out evenly, each part with rows of one version."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush() -> Iterator[pa.RecordBatch]:
+            held = _read(iter(waiting), plan.width)
+            for fit in np.unique(held["fit"]).tolist():
+                raw = pickle.dumps((fit, plan.part(fit, held, held["fit"] == fit)), pickle.HIGHEST_PROTOCOL)
+                yield pa.RecordBatch.from_pydict({"part": pa.array([raw], pa.binary())})
+
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            waiting.append(batch)
+            if sum(b.num_rows for b in waiting) >= ROWS_PER_PART:
+                yield from flush()
+                waiting.clear()
+        yield from flush()
 
+    return rows.repartition(tasks).mapInArrow(work, "part binary").rdd.map(lambda r: pickle.loads(r.part))
 
-def _level(rows: DataFrame, plan: _Plan, since: dict[int, list[dict]], growing: dict[int, Growing]) -> dict[int, np.ndarray]:
-    """The sums of the present level of every version, in one aggregation.
 
-    A task adds up its own rows, so a shuffle carries a row per task, version, node and bin, and
-    the driver gets one per version, node and bin.
+def _merged(a: dict, b: dict) -> dict:
+    return {k: a[k] + b[k] if k in a and k in b else a.get(k, b.get(k)) for k in {**a, **b}}
+
+
+def _added(found: RDD) -> dict:
+    """What tasks found by version, added up."""
+    return reduce(_merged, found.collect(), {}) if found.getNumPartitions() <= SENT else found.treeReduce(_merged)
+
+
+def _level(parts: RDD, asked: dict[int, _Asked]) -> dict[int, np.ndarray]:
+    """The sums of the present level of every version, in one job.
+
+    A task adds up its own parts and sends a number per version, node and bin.
     """
-    spark = rows.sparkSession
-    settled = spark.sparkContext.broadcast((plan, since, growing))
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan, since, growing = settled.value
-        for fit, part in _parts(batches, plan, {k: since[k] for k in growing}):
-            g = growing[fit]
-            part.begin(g.number)
-            for splits in g.levels:
-                part.go_down(*splits)
-            sums = part.add_up(g.columns, g.built, g.level).reshape(2, -1).astype(np.int64)
-            at = np.flatnonzero(sums[1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(at), fit), pa.int32()), pa.array(at), pa.array(sums[0, at]), pa.array(sums[1, at])],
-                ["fit", "at", "gradient", "n"])
+    def add(own: Iterator[tuple[int, Part]]) -> Iterator[dict[int, np.ndarray]]:
+        total: dict[int, np.ndarray] = {}
+        for fit, part in own:
+            if fit in asked:
+                a = asked[fit]
+                part.begin(a.number)
+                for splits in a.levels:
+                    part.go_down(*splits)
+                sums = part.add_up(a.columns, a.built, len(a.levels))
+                total[fit] = total[fit] + sums if fit in total else sums
+        yield total
 
-    found = rows.mapInArrow(add, "fit int, at long, gradient long, n long").groupBy("fit", "at").agg(
-        F.sum("gradient").alias("gradient"), F.sum("n").alias("n")).toArrow()
-    settled.unpersist()
-    of = found.column("fit").to_numpy()
-    out = {}
-    for fit, g in growing.items():
-        mine = found.filter(pa.array(of == fit))
-        sums = np.zeros((2, g.shape[1] * g.shape[2]))
-        sums[0, mine.column("at").to_numpy()] = mine.column("gradient").to_numpy()
-        sums[1, mine.column("at").to_numpy()] = mine.column("n").to_numpy()
-        out[fit] = sums.reshape(g.shape)
-    return out
+    return _added(parts.mapPartitions(add))
 
 
-def _errors(rows: DataFrame, plan: _Plan, since: dict[int, list[dict]]) -> dict[int, float]:
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for fit, part in _parts(batches, plan, since):
-            total, n = part.error()
-            yield pa.RecordBatch.from_pydict({"fit": pa.array([fit], pa.int32()), "total": [total], "n": [n]})
+def _errors(parts: RDD) -> dict[int, float]:
+    def measure(own: Iterator[tuple[int, Part]]) -> Iterator[dict[int, np.ndarray]]:
+        yield reduce(_merged, ({fit: np.array(part.error(), object)} for fit, part in own), {})
 
-    found = rows.mapInArrow(measure, "fit int, total long, n long").groupBy("fit").agg(
-        F.sum("total").alias("total"), F.sum("n").alias("n")).collect()
-    return {r.fit: r.total / UNIT / max(r.n, 1) for r in found}
+    return {fit: int(total) / UNIT / max(int(n), 1) for fit, (total, n) in _added(parts.mapPartitions(measure)).items()}
 
 
-def _with_predictions(rows: DataFrame, plan: _Plan, since: dict[int, list[dict]]) -> DataFrame:
-    """The rows of the versions in ``since`` with their predictions, stored."""
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            of = batch.column("fit").to_numpy()
-            for fit, part in _parts(iter([batch]), plan, since):
-                mine = batch.filter(pa.array(of == fit))
-                yield pa.RecordBatch.from_arrays(
-                    [*(mine.column(n) for n in _KINDS), pa.array(part.predicted)], [*_KINDS, "predicted"])
+def _followed(parts: RDD, trees: dict[int, dict]) -> RDD:
+    """The parts of these versions, each brought up to its tree, cached."""
+    def follow(own: Iterator[tuple[int, Part]]) -> Iterator[tuple[int, Part]]:
+        for fit, part in own:
+            if fit in trees:
+                part.follow(trees[fit])
+                yield fit, part
 
-    schema = "fit int, label double, key long, watched boolean, codes binary, predicted double"
-    return materialize(rows.mapInArrow(work, schema), "predicted")
+    return parts.mapPartitions(follow).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _by_levels(rows: DataFrame, plan: _Plan, grown: list[list[dict]], todo: list[int], rounds: int) -> DataFrame:
-    """Grow up to ``rounds`` more trees of each version, an aggregation per level for all of them.
+def _by_levels(parts: RDD, plan: _Plan, grown: list[list[dict]], todo: list[int], rounds: int, more_to_come: bool) -> RDD:
+    """Grow up to ``rounds`` more trees of each version, a job per level for all of them.
 
-    Gives the rows with their predictions, for the next rounds.
+    Gives the parts with their predictions, for the next rounds; if there are any they are stored in
+    the checkpoint folder, so that no more than ``rounds`` trees hang on cached parts.
     """
-    since: dict[int, list[dict]] = {fit: [] for fit in todo}
-    for _ in range(rounds):
+    old = None
+    for left in range(rounds, 0, -1):
         growing = {fit: Growing(plan.settings[fit], plan.sizes[fit], len(grown[fit])) for fit in todo
                    if len(grown[fit]) < plan.settings[fit].rounds}
         more = dict(growing)
         while more:
-            sums = _level(rows, plan, since, more)
-            more = {fit: g for fit, g in more.items() if g.take(sums[fit])}
+            sums = _level(parts, {fit: _Asked(g.number, g.columns, g.built, g.levels) for fit, g in more.items()})
+            more = {fit: g for fit, g in more.items() if g.take(sums[fit] if fit in sums else np.zeros(g.shape))}
+            if old is not None:  # the present parts are cached by now
+                old = old.unpersist() and None
         for fit, g in growing.items():
-            since[fit].append(g.tree)
             grown[fit].append(g.tree)
-        for fit, error in _errors(rows, plan, {f: since[f] for f in growing}).items() if plan.watches else ():
-            grown[fit][-1]["error"] = error
-    return _with_predictions(rows, plan, since)
+        old, parts = parts, _followed(parts, {fit: g.tree for fit, g in growing.items()})
+        last = left == 1 and more_to_come
+        if last:
+            parts.checkpoint()
+        if plan.watches or last:
+            for fit, error in _errors(parts).items():
+                grown[fit][-1]["error"] = error if plan.watches else None
+            old = old.unpersist() and None
+    if old is not None:
+        old.unpersist()
+    return parts
 
 
 def grow(train: DataFrame, label: str, fits: Sequence[Fit], key: str = "tconst", watch: str | None = None,
@@ -516,7 +597,7 @@ def grow(train: DataFrame, label: str, fits: Sequence[Fit], key: str = "tconst",
 
     Rows are cut into bins and stored, a byte per feature, once for every version they are in. Versions
     of up to ``rows_per_task`` rows grow side by side, each in a task; if one has more, all of them
-    grow by aggregations over tasks of that many rows. The trees do not depend on which it is.
+    grow by sums over parts, dealt out over all cores. The trees do not depend on which it is.
 
     ``watch`` names a boolean column that marks rows to measure on; a fit stops once their error
     falls by less than ``tolerance`` of itself, and keeps the rounds up to the least error.
@@ -537,10 +618,11 @@ def grow(train: DataFrame, label: str, fits: Sequence[Fit], key: str = "tconst",
         for batch in batches:
             matrix = _matrix(batch, "x", len(names))
             codes = np.stack([np.searchsorted(c, matrix[:, k], side="right") for k, c in enumerate(cuts)], axis=1)
-            raw = codes.astype(np.uint8).tobytes()
+            ends = np.arange(0, codes.size + 1, len(names), dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in ("fits", "label", "key", "watched")),
-                 pa.array([raw[i:i + len(names)] for i in range(0, len(raw), len(names))], pa.binary())],
+                 pa.Array.from_buffers(pa.binary(), len(codes), [None, pa.py_buffer(ends), pa.py_buffer(
+                     codes.astype(np.uint8).tobytes())])],
                 ["fits", "label", "key", "watched", "codes"])
 
     rows = wide.mapInArrow(code, "fits array<int>, label double, key long, watched boolean, codes binary").select(
@@ -556,7 +638,12 @@ def grow(train: DataFrame, label: str, fits: Sequence[Fit], key: str = "tconst",
                  len(names), watch is not None)
     in_tasks = max((r.n for r in total), default=0) <= rows_per_task
     if not in_tasks:
-        rows = materialize(rows.repartition(-(-sum(r.n for r in total) // rows_per_task)), "parts")
+        context = spark.sparkContext
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(shared_dir(spark))
+        cores = context.defaultParallelism
+        parts = _dealt(rows, plan, cores * -(-sum(r.n for r in total) // (cores * ROWS_PER_SHARE)))
+        parts.persist(StorageLevel.MEMORY_AND_DISK)
 
     grown: list[list[dict]] = [[] for _ in fits]
     todo = [k for k, f in enumerate(fits) if f.settings.rounds > 0]
@@ -565,12 +652,15 @@ def grow(train: DataFrame, label: str, fits: Sequence[Fit], key: str = "tconst",
         if in_tasks:
             _in_tasks(rows, plan, grown, todo, min(rounds_per_job, most))
         else:
-            rows = _by_levels(rows, plan, grown, todo, min(rounds_per_store, most))
+            rounds = min(rounds_per_store, most)
+            parts = _by_levels(parts, plan, grown, todo, rounds, rounds < most)
         stopped = {k: _rounds_kept([t["error"] for t in grown[k]], tolerance) for k in todo} if watch else {}
         for k, rounds in stopped.items():
             if rounds is not None:
                 del grown[k][rounds:]
         todo = [k for k in todo if stopped.get(k) is None and len(grown[k]) < fits[k].settings.rounds]
+    if not in_tasks:
+        parts.unpersist()
     return {fit.name: _packed(fit, trees, base, [cuts[k] for k in own])
             for fit, trees, base, own in zip(fits, grown, bases, places)}
 

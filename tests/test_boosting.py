@@ -121,3 +121,34 @@ def test_nothing_to_learn_from(spark, table):
     assert (constant.predict(numbers()[0]) == 3).all() and not constant.importances(4).any()
     blank = table.withColumn("a", F.lit(None).cast("double")).withColumn("d", F.lit(float("nan")))
     assert len(grow(blank, "y", [Fit("m", FEATURES, s)])["m"]) == 3
+
+
+@pytest.mark.parametrize("scale", [1, 1e9])
+def test_features_that_share_a_byte_add_up_as_apart(scale):
+    """Also where gradients leave no room for counts beside them."""
+    rng, n, sizes = np.random.default_rng(2), 20_000, [2, 3, 200, 2, 256, 1, 20, 2]
+    codes = np.column_stack([rng.integers(0, s, n) for s in sizes]).astype(np.uint8)
+    label = np.round(rng.uniform(1, 10, n), 1) * scale
+    part = boosting.Part(Boosting(row_share=0.7), sizes, codes, label, np.arange(n) * 7919,
+                         np.zeros(n, bool), np.full(n, 5.0 * scale))
+    assert len(part.groups) < len(sizes) and sorted(sum(part.groups, [])) == list(range(len(sizes)))
+    part.begin(0)
+    gradient, drawn = part.gradient.copy(), part.open.copy()
+    part.go_down(np.array([2, -1]), np.array([90, 0]))
+    part.go_down(np.array([6, -1, -1]), np.array([4, 0, 0]))
+    node = np.where(codes[:, 2] > 90, 2, codes[:, 6] > 4)
+    assert (part.here == node).all() and (part.open == (drawn & (node < 2))).all()
+    columns = np.array([0, 2, 3, 4, 6, 7])
+    found = part.add_up(columns, np.array([0, 1]), 2)
+    wanted = [np.array([[np.bincount(codes[rows, k], w[rows], sizes[k]) for rows in (
+        np.flatnonzero(drawn & (node == x)) for x in (0, 1))] for w in (gradient, np.ones(n))]) for k in columns]
+    assert np.array_equal(found, np.concatenate(wanted, axis=2))
+
+
+def test_levels_are_added_up_on_all_cores_from_cached_parts(spark, table, monkeypatch):
+    """Rows are dealt out over all cores once, not read again for every level."""
+    seen, level = [], boosting._level
+    monkeypatch.setattr(boosting, "_level", lambda parts, *rest: (seen.append(parts), level(parts, *rest))[1])
+    grow(table, "y", [Fit("m", FEATURES, Boosting(rounds=2, depth=2))], rows_per_task=1400)
+    assert len(seen) >= 2 and all(p.getNumPartitions() >= spark.sparkContext.defaultParallelism for p in seen)
+    assert len({id(p) for p in seen}) == 2
