@@ -1,35 +1,43 @@
 """Boosted regression trees with L1 and L2 penalties and columns drawn per tree.
 
 Every level of a tree is chosen from sums of gradients and rows by (version, node, feature, bin).
-Several versions grow side by side. A version that fits into a task grows there, round after round;
-larger ones grow level by level, a Spark job over cached parts for all of them. All sums are of whole
-numbers, so the trees are the same either way, and however rows are dealt out.
+Several versions grow side by side, each by a team of tasks that keep their rows in memory, round after
+round; a small version's team is one task. Where teams have no room or nowhere to meet, versions grow
+level by level, a Spark job over cached parts for all of them. All sums are of whole numbers, so the
+trees are the same either way, and however rows are dealt out.
 """
 
 from __future__ import annotations
 
 import math
+import os
 import pickle
+import time
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import RDD, StorageLevel, TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark import RDD, BarrierTaskContext, StorageLevel, TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee import vocabulary as V
-from marquee.session import shared_dir, ship_package
+from marquee.session import scratch_path, shared_dir, ship_package
 from marquee.sources.tables import materialize
 
 BINS = 256
 # Gradients and labels are counted in these units.
 UNIT = 1 << 20
-# Rows of a version that a task takes: a level of so many takes it about as long as a job over parts.
-# A version of more grows by sums over its parts.
+# Rows of a version that a task takes at most. A version with more for each of its tasks grows by sums
+# over its parts.
 ROWS_PER_TASK = 3_000_000
+# Up to so many rows, another task for a version takes longer to meet than it saves; and the most tasks
+# of one, as each reads the sums of all.
+ROWS_PER_MEMBER, MEMBERS = 50_000, 32
+# Seconds that a task waits for the sums of another.
+PATIENCE = 600
 # Rounds of one job, where versions grow in tasks: a lost executor costs at most as many. Where
 # they grow by sums over parts, predictions are stored anew after as many of the other.
 ROUNDS_PER_JOB, ROUNDS_PER_STORE = 250, 50
@@ -290,6 +298,49 @@ def packed(sizes: Sequence[int], most: int = BINS) -> list[list[int]]:
     return groups
 
 
+class Team:
+    """The tasks that have a version's rows among them, and so add up the same sums.
+
+    They run at once and meet in ``folder``: each writes its sums there and reads those of the others.
+    """
+
+    def __init__(self, folder: str, member: int, size: int):
+        self.folder, self.member, self.size, self.met = folder, member, size, 0
+        if size > 1:
+            os.makedirs(folder, exist_ok=True)
+
+    def _path(self, meeting: int, member: int) -> str:
+        return f"{self.folder}/{meeting}-{member}"
+
+    def added(self, sums: np.ndarray) -> np.ndarray:
+        """The sums of all tasks, for each of them."""
+        if self.size == 1:
+            return sums
+        self.met += 1
+        own = self._path(self.met, self.member)
+        with open(f"{own}.part", "wb") as file:
+            file.write(sums.tobytes())
+        os.replace(f"{own}.part", own)
+        total = sums.copy()
+        for member in range(self.size):
+            if member != self.member:
+                total += np.frombuffer(self._read(self._path(self.met, member)), sums.dtype).reshape(sums.shape)
+        if self.met > 1:  # who has come to this meeting has read all of the last one
+            os.unlink(self._path(self.met - 1, self.member))
+        return total
+
+    def _read(self, path: str) -> bytes:
+        until = time.monotonic() + PATIENCE
+        while True:
+            try:
+                with open(path, "rb") as file:
+                    return file.read()
+            except FileNotFoundError:
+                if time.monotonic() > until:
+                    raise RuntimeError(f"no sums at {path}: is the shared folder one for all executors?") from None
+                time.sleep(0.0005)
+
+
 class Part:
     """Some rows of one version: their bins, labels, predictions so far, and nodes in a tree."""
 
@@ -393,13 +444,13 @@ class Part:
             added[first:first + BLOCK] = tree["value"][here]
         self.predicted = self.predicted + added
 
-    def grow(self, number: int) -> dict:
-        """A whole tree, where this part has all rows."""
+    def grow(self, number: int, team: Team) -> dict:
+        """A whole tree, where the parts of the team have all rows."""
         growing = Growing(self.settings, self.sizes, number)
         self.begin(number)
         more = True
         while more:
-            more = growing.take(self.add_up(growing.columns, growing.built, growing.level))
+            more = growing.take(team.added(self.add_up(growing.columns, growing.built, growing.level)))
             self.go_down(*growing.levels[-1])
         self.predicted = self.predicted + growing.tree["value"][self.here << (self.settings.depth - growing.level)]
         return growing.tree
@@ -446,14 +497,48 @@ def _read(batches: Iterator[pa.RecordBatch], width: int) -> dict[str, np.ndarray
 GROWN = "fit int, feature array<int>, bin array<int>, gain array<double>, value array<double>, error double"
 
 
-def _in_tasks(rows: DataFrame, plan: _Plan, grown: list[list[dict]], todo: list[int], rounds: int) -> None:
-    """Grow up to ``rounds`` more trees of each version, each in a task of its own."""
+def _slots(spark: SparkSession) -> int:
+    """How many tasks can run at once and meet in files, 1 where that is not sure.
+
+    The shared folder must be one that tasks reach by a plain path.
+    """
+    context, conf = spark.sparkContext, spark.sparkContext.getConf()
+    sure = (conf.get("spark.default.parallelism") is None and conf.get("spark.task.cpus", "1") == "1"
+            and conf.get("spark.dynamicAllocation.enabled", "false") == "false")
+    return context.defaultParallelism if sure and _plain(shared_dir(spark)) else 1
+
+
+def _plain(folder: str) -> str | None:
+    """The path of a folder in a file system of the machines, without its scheme."""
+    path = folder.removeprefix("file:")
+    return "/" + path.lstrip("/") if path.startswith("/") else None
+
+
+def _teams(rows: Sequence[int], slots: int, rows_per_member: int) -> list[int]:
+    """How many tasks each version gets: one, and of what is left most for those with most rows."""
+    teams = [1] * len(rows)
+    for _ in range(slots - len(rows)):
+        share = [0.0 if n == MEMBERS else own / n for own, n in zip(rows, teams)]
+        most = int(np.argmax(share))
+        if share[most] <= rows_per_member:
+            break
+        teams[most] += 1
+    return teams
+
+
+def _in_tasks(rows: DataFrame, plan: _Plan, grown: list[list[dict]], todo: list[int], teams: list[int],
+              rounds: int) -> None:
+    """Grow up to ``rounds`` more trees of each version, by a team of tasks each."""
     spark = rows.sparkSession
     settled = spark.sparkContext.broadcast((plan, grown))
+    places = [(fit, member, size) for fit, size in zip(todo, teams) for member in range(size)]
+    begins = np.cumsum([0, *teams])[:-1].tolist()
+    together = len(places) > len(todo)
+    folder = _plain(scratch_path(spark, "sums")) if together else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan, grown = settled.value
-        fit = todo[TaskContext.get().partitionId()]
+        fit, member, size = places[TaskContext.get().partitionId()]
         held = _read(batches, plan.width)
         part = plan.part(fit, held, held["fit"] == fit)
         if len(part.label) != len(held["fit"]):
@@ -461,10 +546,15 @@ def _in_tasks(rows: DataFrame, plan: _Plan, grown: list[list[dict]], todo: list[
         del held
         for tree in grown[fit]:
             part.follow(tree)
+        # a task run again must not meet those of the attempt before
+        tries = BarrierTaskContext.get().allGather(str(TaskContext.get().taskAttemptId())) if together else [""]
+        team = Team(f"{folder}/{tries[0]}-{fit}", member, size)
         first = len(grown[fit])
         for number in range(first, min(first + rounds, plan.settings[fit].rounds)):
-            tree = part.grow(number)
-            total, n = part.error()
+            tree = part.grow(number, team)
+            total, n = team.added(np.array(part.error())).tolist() if plan.watches else (0, 0)
+            if member:
+                continue
             error = total / UNIT / max(n, 1) if plan.watches else None
             yield pa.RecordBatch.from_pydict({
                 "fit": pa.array([fit], pa.int32()), "feature": pa.array([tree["feature"]], pa.list_(pa.int32())),
@@ -473,9 +563,13 @@ def _in_tasks(rows: DataFrame, plan: _Plan, grown: list[list[dict]], todo: list[
                 "value": pa.array([tree["value"]], pa.list_(pa.float64())),
                 "error": pa.array([error], pa.float64())})
 
-    place = F.array_position(F.array(*[F.lit(k) for k in todo]), F.col("fit")).cast("int") - 1
-    dealt = rows.filter(F.col("fit").isin(todo)).repartitionById(len(todo), place)
-    found = dealt.mapInArrow(run, GROWN).withColumn("row", F.monotonically_increasing_id())
+    at = F.array_position(F.array(*[F.lit(k) for k in todo]), F.col("fit")).cast("int")
+    begin, size = (F.element_at(F.array(*[F.lit(n) for n in ns]), at) for ns in (begins, teams))
+    own = F.pmod(F.xxhash64(F.monotonically_increasing_id()), size).cast("int")
+    # nothing but the dealing above the rows, or tasks without rows would not run
+    dealt = rows.filter(F.col("fit").isin(todo)).withColumn("place", begin + own)
+    dealt = dealt.repartitionById(len(places), F.col("place"))
+    found = dealt.mapInArrow(run, GROWN, barrier=together).withColumn("row", F.monotonically_increasing_id())
     for r in sorted(found.collect(), key=lambda r: r["row"]):
         grown[r.fit].append({"feature": np.array(r.feature), "bin": np.array(r.bin), "gain": np.array(r.gain),
                              "value": np.array(r.value), "error": r.error})
@@ -592,12 +686,13 @@ def _by_levels(parts: RDD, plan: _Plan, grown: list[list[dict]], todo: list[int]
 
 def grow(train: DataFrame, label: str, fits: Sequence[Fit], key: str = "tconst", watch: str | None = None,
          tolerance: float = 0.01, rows_per_task: int = ROWS_PER_TASK, rounds_per_job: int = ROUNDS_PER_JOB,
-         rounds_per_store: int = ROUNDS_PER_STORE) -> dict[str, Trees]:
+         rounds_per_store: int = ROUNDS_PER_STORE, rows_per_member: int = ROWS_PER_MEMBER) -> dict[str, Trees]:
     """Fit all of ``fits`` on ``train``; rows without a label are left out, missing features count as 0.
 
     Rows are cut into bins and stored, a byte per feature, once for every version they are in. Versions
-    of up to ``rows_per_task`` rows grow side by side, each in a task; if one has more, all of them
-    grow by sums over parts, dealt out over all cores. The trees do not depend on which it is.
+    grow side by side, each by a team of tasks of at least ``rows_per_member`` rows, as cores allow; if a
+    task of one had more than ``rows_per_task`` rows, all of them grow by sums over parts, dealt out over
+    all cores. The trees do not depend on which it is.
 
     ``watch`` names a boolean column that marks rows to measure on; a fit stops once their error
     falls by less than ``tolerance`` of itself, and keeps the rounds up to the least error.
@@ -636,7 +731,11 @@ def grow(train: DataFrame, label: str, fits: Sequence[Fit], key: str = "tconst",
     places = [[names.index(f) for f in fit.features] for fit in fits]
     plan = _Plan([f.settings for f in fits], places, [[len(cuts[k]) + 1 for k in own] for own in places], bases,
                  len(names), watch is not None)
-    in_tasks = max((r.n for r in total), default=0) <= rows_per_task
+    counts = [0] * len(fits)
+    for r in total:
+        counts[r.fit] = r.n
+    slots = _slots(spark)
+    in_tasks = all(n <= rows_per_task * size for n, size in zip(counts, _teams(counts, slots, rows_per_member)))
     if not in_tasks:
         context = spark.sparkContext
         if not context.getCheckpointDir():
@@ -650,7 +749,8 @@ def grow(train: DataFrame, label: str, fits: Sequence[Fit], key: str = "tconst",
     while todo:
         most = max(fits[k].settings.rounds - len(grown[k]) for k in todo)
         if in_tasks:
-            _in_tasks(rows, plan, grown, todo, min(rounds_per_job, most))
+            teams = _teams([counts[k] for k in todo], slots, rows_per_member)
+            _in_tasks(rows, plan, grown, todo, teams, min(rounds_per_job, most))
         else:
             rounds = min(rounds_per_store, most)
             parts = _by_levels(parts, plan, grown, todo, rounds, rounds < most)

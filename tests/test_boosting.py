@@ -152,3 +152,32 @@ def test_levels_are_added_up_on_all_cores_from_cached_parts(spark, table, monkey
     grow(table, "y", [Fit("m", FEATURES, Boosting(rounds=2, depth=2))], rows_per_task=1400)
     assert len(seen) >= 2 and all(p.getNumPartitions() >= spark.sparkContext.defaultParallelism for p in seen)
     assert len({id(p) for p in seen}) == 2
+
+
+def test_versions_grow_by_teams_of_tasks(spark, table, monkeypatch, tmp_path):
+    """The rows of a version are with several tasks, which meet in files and clear them away."""
+    seen, in_tasks = [], boosting._in_tasks
+    monkeypatch.setattr(boosting, "_in_tasks", lambda *rest: (seen.append(rest[4]), in_tasks(*rest))[1])
+    monkeypatch.setattr(boosting, "scratch_path", lambda spark, label: f"file:{tmp_path}/{label}-{len(seen)}")
+    fits = [Fit("one", FEATURES, Boosting(rounds=7, depth=4, min_gain_total=0.5)),
+            Fit("two", FEATURES[1:], Boosting(rounds=4, depth=2, l1=1.0), F.col("a") > 3)]
+    whole = grow(table, "y", fits, watch="held_out", tolerance=-1e9)
+    dealt = grow(table, "y", fits, watch="held_out", tolerance=-1e9, rows_per_member=300, rounds_per_job=5)
+    assert seen[0] == [1, 1] and seen[-2:] == [[2, 2], [4]]
+    assert all(same(whole[n], dealt[n]) for n in whole)
+    left = [f for f in tmp_path.rglob("*") if f.is_file()]
+    assert len(left) == 8
+
+
+def test_teams_by_rows():
+    assert boosting._teams([0], 8, 100) == [1] and boosting._teams([900, 100], 8, 100) == [7, 1]
+    assert boosting._teams([900, 900, 100], 6, 100) == [3, 2, 1] and boosting._teams([10**9], 999, 100) == [boosting.MEMBERS]
+    assert boosting._teams([500] * 9, 8, 100) == [1] * 9
+
+
+def test_sums_meet_in_files_of_the_shared_folder_only(spark, monkeypatch):
+    assert boosting._plain("file:///a/b") == boosting._plain("file:/a/b") == boosting._plain("/a/b") == "/a/b"
+    assert boosting._plain("hdfs://host/a") is None and boosting._plain("viewfs:///a") is None
+    assert boosting._slots(spark) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(boosting, "shared_dir", lambda spark: "hdfs://host/a")
+    assert boosting._slots(spark) == 1
