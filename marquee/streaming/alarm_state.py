@@ -89,7 +89,9 @@ def transitions_stream(metrics: DataFrame, quiet: int, threshold: int = 1, secon
         if rows:
             yield pd.DataFrame({"job": key[0], "at": [int(at) for at, _ in rows], "state": [s for _, s in rows]})
 
-    failures = metrics.filter("failed > 0").select("job", "failed", "ts", F.unix_timestamp("ts").alias("second"))
+    # a condition without the event time would go below the watermark, which then would only see failures
+    failing = F.when(F.col("ts").isNotNull(), F.col("failed")) > 0
+    failures = metrics.filter(failing).select("job", "failed", "ts", F.unix_timestamp("ts").alias("second"))
     return failures.groupBy("job").applyInPandasWithState(
         change, TRANSITIONS, "until long, begins array<long>, failed array<long>", "append",
         GroupStateTimeout.EventTimeTimeout)

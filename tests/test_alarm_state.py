@@ -55,6 +55,15 @@ def test_transitions_batch_and_stream(spark, seed):
     assert sorted(tuple(r) for r in found.collect()) == plain(rows, quiet, until)
 
 
+def test_events_without_failures_move_the_watermark(spark):
+    metrics = metrics_of(spark, [("a", START, 1), ("a", START + 9000, 0), ("b", START + 9000, 0)])
+    path = scratch_path(spark, "files")
+    metrics.coalesce(1).write.parquet(path)
+    stream = spark.readStream.schema(metrics.schema).parquet(path).withWatermark("ts", "120 seconds")
+    found = updates.run_rows(alarm_state.transitions_stream(stream, 1500), "t")
+    assert sorted(tuple(r) for r in found.collect()) == [("a", START, "raised"), ("a", START + 1800, "cleared")]
+
+
 def test_no_data_raises_and_clears_nothing_before_its_time(spark):
     one = metrics_of(spark, [("a", START, 1)])
     assert [tuple(r) for r in alarm_state.transitions(one, 600, START + 800).collect()] == [("a", START, "raised")]
