@@ -212,7 +212,7 @@ def best_splits(sums: np.ndarray, sizes: Sequence[int], settings: Boosting):
     """The best split of each node: its gain, feature and bin, and the sums of its left side.
 
     ``sums`` has gradients and rows by node and bin, the bins of all features side by side. Ties go
-    to the first feature, then the lowest bin.
+    to the first feature, then the lowest bin. A right side begins at a bin that has rows of the node.
     """
     ends = np.cumsum(sizes)
     starts = ends - sizes
@@ -226,6 +226,7 @@ def best_splits(sums: np.ndarray, sizes: Sequence[int], settings: Boosting):
     least = max(settings.min_rows, 1)
     gain[(left[1] < least) | (right[1] < least)] = -np.inf
     gain[:, ends - 1] = -np.inf
+    gain[:, :-1][sums[1][:, 1:] == 0] = -np.inf
     best = gain.argmax(axis=1)
     node = np.arange(len(best))
     feature = np.searchsorted(ends, best, side="right")

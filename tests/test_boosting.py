@@ -114,6 +114,16 @@ def test_bins_of_equal_counts(spark):
     assert (np.diff(cells) > 0).all() and boosting._cells(np.array([-0.0]))[0] == cells[2]
 
 
+def test_thresholds_are_values_of_the_node(spark):
+    """Not of rows elsewhere, though these would split the node's rows alike."""
+    rows = [(k, float(a), float(b), float(y)) for k, (a, b, y) in enumerate(
+        [(0, 1, 1), (0, 1, 1), (0, 4, 3), (0, 4, 3), (1, 2, 9), (1, 3, 9), (1, 3, 9), (1, 2, 9)])]
+    table = spark.createDataFrame(rows, "tconst long, a double, b double, y double")
+    s = Boosting(rounds=1, depth=2, rate=1.0, row_share=1, column_share=1, l2=0.0)
+    trees = grow(table, "y", [Fit("m", ["a", "b"], s)])["m"]
+    assert trees.features[0].tolist() == [0, 1, 0] and trees.thresholds[0][:2].tolist() == [1, 4]
+
+
 def test_nothing_to_learn_from(spark, table):
     s = Boosting(rounds=3, depth=2)
     assert grow(table.limit(0), "y", [Fit("m", FEATURES, s)])["m"].predict(np.zeros((2, 4))).tolist() == [0, 0]
