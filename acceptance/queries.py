@@ -363,8 +363,9 @@ def once(spark: SparkSession, sf_dir: str, label: str, make: Callable[[], object
 
 def stored_matrix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, EqualWidthBins]:
     def make():
-        bins = vote_bins(spark, sf_dir)
-        full = matrix.training_matrix_in_one_pass(enriched(spark, sf_dir), bins)
+        titles = tables.materialize(enriched(spark, sf_dir), "enriched")  # the bins' titles and the matrix's
+        bins = EqualWidthBins.fit(titles.select(log_votes(F.col("numvotes")).alias("votes_log")), "votes_log")
+        full = matrix.training_matrix_in_one_pass(titles, bins)
         path = scratch_path(spark, "training")
         tables.write_split(matrix.with_split(full), path)
         return path, bins

@@ -40,7 +40,7 @@ ROWS_PER_MEMBER, MEMBERS = 50_000, 32
 PATIENCE = 600
 # Rounds of one job, where versions grow in tasks: a lost executor costs at most as many. Where
 # they grow by sums over parts, predictions are stored anew after as many of the other.
-ROUNDS_PER_JOB, ROUNDS_PER_STORE = 250, 50
+ROUNDS_PER_JOB, ROUNDS_PER_STORE = 500, 50
 # Rows of a part, and those that a task has at most where versions grow by sums over parts.
 ROWS_PER_PART, ROWS_PER_SHARE = 1 << 18, 8_000_000
 # Up to so many tasks the driver adds up itself what they send; that of more is added up by tasks.
@@ -48,6 +48,10 @@ SENT = 32
 # Rows whose sums are taken at a time where their counts need a pass of their own, and the fewest
 # for which both are taken in one.
 BLOCK, LEAST_BLOCK = 1 << 16, 1 << 12
+# Combinations of bins that features of one code have at most, and the rows that tell which may share one.
+COMBINATIONS, SEEN = 1024, 1 << 13
+# Rows that all trees are applied to at a time, so few that they stay in a core's cache.
+PREDICTED = 1 << 11
 # Gains below this are taken for none.
 LEAST_GAIN = 1e-6
 
@@ -104,9 +108,10 @@ class Trees:
         return len(self.values)
 
     def leaves(self, matrix: np.ndarray, tree: int) -> np.ndarray:
-        rows, place = np.arange(len(matrix)), np.zeros(len(matrix), np.int64)
+        values, features, thresholds = matrix.ravel(), self.features[tree], self.thresholds[tree]
+        first, place = np.arange(len(matrix)) * matrix.shape[1], np.zeros(len(matrix), np.int64)
         for _ in range(self.depth):
-            right = matrix[rows, self.features[tree][place]] >= self.thresholds[tree][place]
+            right = values.take(first + features.take(place)) >= thresholds.take(place)
             place = 2 * place + 1 + right
         return place - (2 ** self.depth - 1)
 
@@ -114,13 +119,14 @@ class Trees:
         """Predictions after each round."""
         out = np.full(len(matrix), self.base)
         for tree in range(len(self)):
-            out = out + self.values[tree][self.leaves(matrix, tree)]
+            out = out + self.values[tree].take(self.leaves(matrix, tree))
             yield out
 
     def predict(self, matrix: np.ndarray) -> np.ndarray:
         out = np.full(len(matrix), self.base)
-        for out in self.stages(matrix):
-            pass
+        for first in range(0, len(matrix), PREDICTED):
+            for stage in self.stages(matrix[first:first + PREDICTED]):
+                out[first:first + PREDICTED] = stage
         return out
 
     def importances(self, n_features: int) -> np.ndarray:
@@ -156,8 +162,10 @@ def cut_points(rows: DataFrame, width: int, most: int = BINS) -> list[np.ndarray
             matrix = _matrix(batch, "x", width)
             for k in range(width if len(matrix) else 0):
                 values = np.sort(matrix[:, k])
-                cells, first, n = np.unique(_cells(values), return_index=True, return_counts=True)
-                for cell, low, c in zip(cells.tolist(), values[first].tolist(), n.tolist()):
+                cells = _cells(values)  # in order, as the values are
+                first = np.flatnonzero(np.diff(cells, prepend=cells[0] - 1))
+                n = np.diff(first, append=len(cells))
+                for cell, low, c in zip(cells[first].tolist(), values[first].tolist(), n.tolist()):
                     known = held[k].setdefault(cell, [low, 0])
                     known[0], known[1] = min(known[0], low), known[1] + c
         rows = [(k, cell, *x) for k, cells in enumerate(held) for cell, x in cells.items()]
@@ -286,17 +294,39 @@ class Growing:
         return self.level < s.depth and len(nodes) > 0
 
 
-def packed(sizes: Sequence[int], most: int = BINS) -> list[list[int]]:
-    """Features whose bins together have at most ``most`` combinations, which then share a byte."""
+def packed(codes: np.ndarray, sizes: Sequence[int], most: int = COMBINATIONS) -> tuple[list[list[int]], list, list]:
+    """Features that share a code, as their bins come in at most ``most`` combinations in these rows.
+
+    Gives the groups of features, the rows' codes by group, and each feature's bin by its group's code.
+    A feature goes where it adds the fewest combinations to the first rows.
+    """
     groups: list[list[int]] = []
+    held: list[np.ndarray] = []
+    bins: list[np.ndarray] = [np.zeros(0, np.int64)] * len(sizes)
+    counts: list[int] = []
     for k in sorted(range(len(sizes)), key=lambda k: -sizes[k]):
-        for group in groups:
-            if math.prod(sizes[j] for j in group) * sizes[k] <= most:
-                group.append(k)
+        own = codes[:, k].astype(np.int64)
+        few = [len(np.unique(h[:SEEN] * np.int64(sizes[k]) + own[:SEEN])) for h in held]
+        for g in sorted(range(len(groups)), key=lambda g: few[g] - counts[g]):
+            if few[g] > most:
+                continue
+            joint = held[g] * np.int64(sizes[k]) + own
+            seen = np.flatnonzero(np.bincount(joint, minlength=1))
+            if len(seen) <= most:
+                rank = np.zeros(seen[-1] + 1 if len(seen) else 1, np.uint16)
+                rank[seen] = np.arange(len(seen))
+                held[g], counts[g] = rank[joint], len(np.unique(rank[joint[:SEEN]]))
+                for j in groups[g]:
+                    bins[j] = bins[j][seen // sizes[k]]
+                bins[k] = seen % sizes[k]
+                groups[g].append(k)
                 break
         else:
             groups.append([k])
-    return groups
+            held.append(own.astype(np.uint16))
+            bins[k] = np.arange(sizes[k])
+            counts.append(len(np.unique(own[:SEEN])))
+    return groups, held, bins
 
 
 class Team:
@@ -343,53 +373,75 @@ class Team:
 
 
 class Part:
-    """Some rows of one version: their bins, labels, predictions so far, and nodes in a tree."""
+    """Some rows of one version: their bins, labels, predictions so far, and nodes in a tree.
+
+    ``nodes`` has the rows of each node that may still split, those drawn and the others; ``ended`` the
+    rows of those that do not, as if all went left from there.
+    """
 
     def __init__(self, settings: Boosting, sizes: Sequence[int], codes: np.ndarray, label: np.ndarray,
                  key: np.ndarray, watched: np.ndarray, predicted: np.ndarray):
-        self.settings, self.sizes, self.groups = settings, sizes, packed(sizes)
-        self.of = np.zeros(len(sizes), np.int64)  # the byte a feature is in, and what one of its bins counts there
-        self.stride = np.ones(len(sizes), np.int64)
-        self.bytes = np.zeros((len(self.groups), len(label)), np.uint8)
+        self.settings, self.sizes = settings, sizes
+        self.groups, self.codes, self.bins = packed(codes, sizes)
+        self.of = np.zeros(len(sizes), np.int64)  # the group a feature is in
         for g, group in enumerate(self.groups):
-            stride = 1
-            for k in reversed(group):
-                self.of[k], self.stride[k] = g, stride
-                self.bytes[g] += codes[:, k] * np.uint8(stride % 256)
-                stride *= sizes[k]
+            self.of[group] = g
+        # a group's codes in the order of a feature's bins, where each bin begins, and which these are
+        self.order = [np.argsort(bins, kind="stable") for bins in self.bins]
+        found = [np.unique(bins, return_index=True) for bins in (b[o] for b, o in zip(self.bins, self.order))]
+        self.starts, self.present = [first for _, first in found], [bins for bins, _ in found]
         self.label, self.key, self.watched, self.predicted = label, key.view(np.uint64), watched, predicted
 
     def drawn(self, number: int) -> np.ndarray:
         share = self.settings.row_share
         if share >= 1:
             return ~self.watched
-        mixed = _mix(self.key ^ _turn(self.settings, number, 1)) >> np.uint64(11)
-        return ~self.watched & (mixed < np.uint64(int(share * 2 ** 53)))
+        turn, out = _turn(self.settings, number, 1), np.empty(len(self.key), bool)
+        for first in range(0, len(out), SEEN):
+            mixed = _mix(self.key[first:first + SEEN] ^ turn) >> np.uint64(11)
+            out[first:first + SEEN] = mixed < np.uint64(int(share * 2 ** 53))
+        return ~self.watched & out
 
     def begin(self, number: int) -> None:
         self.gradient = np.rint((self.predicted - self.label) * UNIT)
-        self.here = np.zeros(len(self.label), np.int64)  # node of any row, within its level
-        self.open = self.drawn(number)  # whether a row is drawn and in no leaf yet
-
-    def _step(self, here: np.ndarray, first: int, feature: np.ndarray, bins: np.ndarray) -> np.ndarray:
-        """Which of the rows from ``first`` on, at these nodes, go right."""
-        own = self.of[feature]
-        code = np.arange(BINS) // self.stride[feature][:, None] % np.array(self.sizes)[feature][:, None]
-        right = (code > bins[:, None]) & (feature >= 0)[:, None]
-        n = len(here)
-        if (own == own[0]).all():
-            value = self.bytes[own[0], first:first + n]
-        else:
-            value = self.bytes.ravel()[own[here] * len(self.label) + np.arange(first, first + n)]
-        return right.ravel()[here * BINS + value]
+        self.most = np.abs(self.gradient).max(initial=1.0)
+        drawn = self.drawn(number)
+        self.nodes: dict[int, tuple[np.ndarray, np.ndarray]] = {
+            0: tuple(np.flatnonzero(which).astype(np.int32) for which in (drawn, ~drawn))}
+        self.ended: dict[int, tuple[np.ndarray, ...]] = {}
+
+    @property
+    def here(self) -> np.ndarray:
+        """The node of any row, within its level."""
+        out = np.zeros(len(self.label), np.int64)
+        for node, held in (*self.nodes.items(), *self.ended.items()):
+            for rows in held:
+                out[rows] = node
+        return out
+
+    @property
+    def open(self) -> np.ndarray:
+        """Whether a row is drawn and in no leaf yet."""
+        out = np.zeros(len(self.label), bool)
+        for rows, _ in self.nodes.values():
+            out[rows] = True
+        return out
+
+    def _parted(self, rows: np.ndarray, feature: int, cut: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the rows go left and which go right."""
+        goes = (self.bins[feature] > cut).take(self.codes[self.of[feature]].take(rows))
+        return np.compress(~goes, rows), np.compress(goes, rows)  # far faster than by a mask
 
     def go_down(self, feature: np.ndarray, bins: np.ndarray) -> None:
         """Move rows to the next level."""
-        feature, bins = feature[:-1], bins[:-1]
-        for first in range(0, len(self.label), BLOCK):
-            here = self.here[first:first + BLOCK]
-            self.open[first:first + BLOCK] &= (feature >= 0)[here]
-            self.here[first:first + BLOCK] = 2 * here + self._step(here, first, feature, bins)
+        nodes, ended = {}, {2 * node: held for node, held in self.ended.items()}
+        for node, (drawn, other) in self.nodes.items():
+            if feature[node] < 0:
+                ended[2 * node] = drawn, other
+            else:
+                both = [self._parted(rows, feature[node], bins[node]) for rows in (drawn, other)]
+                nodes[2 * node], nodes[2 * node + 1] = zip(*both)
+        self.nodes, self.ended = nodes, ended
 
     def add_up(self, columns: np.ndarray, built: np.ndarray, level: int) -> np.ndarray:
         """Gradients and rows by node and bin, the bins of all columns side by side.
@@ -397,63 +449,81 @@ class Part:
         Where whole numbers leave room for it, a weight holds a row's gradient and, above it, its one,
         so that a pass adds up both. A block has as many rows as there is room for.
         """
-        nodes = len(built)
-        slots = np.full(2 ** level + 1, -1)
-        slots[built] = np.arange(nodes)
-        most = np.abs(self.gradient).max(initial=1.0)
-        block = min(int(math.sqrt(2.0 ** 51 / most)), BLOCK) if most < 2.0 ** 51 else 0
-        both = block >= max(LEAST_BLOCK, min(nodes * BINS, len(self.label)))
+        block = min(int(math.sqrt(2.0 ** 51 / self.most)), BLOCK) if self.most < 2.0 ** 51 else 0
+        both = block >= LEAST_BLOCK
         block = block if both else BLOCK
         # above all that a block's gradients can add up to
-        unit = 2.0 ** math.ceil(math.log2(2 * most * block + 1)) if both else 1.0
-        wanted = sorted({int(self.of[k]) for k in columns})
-        held = {g: np.zeros((2, nodes * BINS)) for g in wanted}
-        for first in range(0, len(self.label), block):
-            slot = np.where(self.open[first:first + block], slots[self.here[first:first + block]], -1)
-            rows = np.flatnonzero(slot >= 0)
-            if not len(rows):
-                continue
-            mine, weight = slot[rows] * BINS, self.gradient[first:first + block][rows]
-            if both:
-                weight = weight + unit
-            for g in wanted:
-                at = mine + self.bytes[g, first:first + block][rows]
-                total = np.bincount(at, weight, nodes * BINS)
+        unit = 2.0 ** math.ceil(math.log2(2 * self.most * block + 1)) if both else 1.0
+        # by group, or by column where sums may round, so that they do not depend on what shares a code
+        apart = self.most * len(self.label) >= 2.0 ** 53
+        wanted = [(int(self.of[k]), int(k)) for k in columns] if apart else [
+            (g, None) for g in sorted({int(self.of[k]) for k in columns})]
+        held = [np.zeros((2, len(built), len(self.bins[self.groups[g][0]]) if k is None else self.sizes[k]))
+                for g, k in wanted]
+        for slot, node in enumerate(built.tolist()):
+            own = self.nodes[node][0]
+            for first in range(0, len(own), block):
+                rows = own[first:first + block]
+                weight = self.gradient.take(rows)
                 if both:
-                    n = np.rint(total / unit)
-                    total -= n * unit
-                else:
-                    n = np.bincount(at, minlength=nodes * BINS)
-                held[g][0] += total
-                held[g][1] += n
+                    weight += unit
+                for (g, k), sums in zip(wanted, held):
+                    at = self.codes[g].take(rows)
+                    if k is not None:
+                        at = self.bins[k].take(at)
+                    total = np.bincount(at, weight, sums.shape[2])
+                    if both:
+                        n = np.rint(total / unit)
+                        total -= n * unit
+                    else:
+                        n = np.bincount(at, minlength=sums.shape[2])
+                    sums[0, slot] += total
+                    sums[1, slot] += n
+        if apart:
+            return np.concatenate(held, axis=2)
+        flat = {g: np.ascontiguousarray(h.reshape(2 * len(built), -1).T) for (g, _), h in zip(wanted, held)}
         out = []
         for k in columns:
-            group = self.groups[self.of[k]]
-            shape = [self.sizes[j] for j in group]
-            sums = held[int(self.of[k])].reshape(2, nodes, BINS)[:, :, :math.prod(shape)].reshape(2, nodes, *shape)
-            out.append(sums.sum(axis=tuple(2 + i for i, j in enumerate(group) if j != k)))
-        return np.concatenate(out, axis=2)
+            sums = flat[int(self.of[k])]
+            if len(self.groups[self.of[k]]) > 1:
+                every = np.zeros((self.sizes[k], 2 * len(built)))
+                if len(sums):
+                    every[self.present[k]] = np.add.reduceat(sums[self.order[k]], self.starts[k], axis=0)
+                sums = every
+            out.append(sums)
+        return np.ascontiguousarray(np.concatenate(out).T).reshape(2, len(built), -1)
 
     def follow(self, tree: dict) -> None:
         """Bring the predictions up to a tree grown before."""
         added = np.zeros(len(self.label))
-        for first in range(0, len(self.label), BLOCK):
-            here = np.zeros(min(BLOCK, len(self.label) - first), np.int64)
-            for level in range(self.settings.depth):
-                of = slice(2 ** level - 1, 2 ** (level + 1) - 1)
-                here = 2 * here + self._step(here, first, tree["feature"][of], tree["bin"][of])
-            added[first:first + BLOCK] = tree["value"][here]
+        held = [(0, 0, np.arange(len(self.label), dtype=np.int32))]
+        while held:
+            level, node, rows = held.pop()
+            place = 2 ** level - 1 + node
+            if level < self.settings.depth and tree["feature"][place] >= 0:
+                left, right = self._parted(rows, tree["feature"][place], tree["bin"][place])
+                held += [(level + 1, 2 * node, left), (level + 1, 2 * node + 1, right)]
+            else:
+                added[rows] = tree["value"][node << (self.settings.depth - level)]
         self.predicted = self.predicted + added
 
     def grow(self, number: int, team: Team) -> dict:
         """A whole tree, where the parts of the team have all rows."""
         growing = Growing(self.settings, self.sizes, number)
         self.begin(number)
-        more = True
-        while more:
-            more = growing.take(team.added(self.add_up(growing.columns, growing.built, growing.level)))
+        while growing.take(team.added(self.add_up(growing.columns, growing.built, growing.level))):
             self.go_down(*growing.levels[-1])
-        self.predicted = self.predicted + growing.tree["value"][self.here << (self.settings.depth - growing.level)]
+        # the last splits need no nodes of their own
+        feature, bins = growing.levels[-1]
+        value = growing.tree["value"].reshape(2 ** growing.level, -1)[:, 0]
+        for node, held in (*self.nodes.items(), *self.ended.items()):
+            k = feature[node] if node in self.nodes else -1
+            for rows in held:
+                if k < 0:
+                    self.predicted[rows] += value[2 * node]
+                else:
+                    of_code = np.where(self.bins[k] > bins[node], value[2 * node + 1], value[2 * node])
+                    self.predicted[rows] += of_code.take(self.codes[self.of[k]].take(rows))
         return growing.tree
 
     def error(self) -> tuple[int, int]:

@@ -191,3 +191,39 @@ def test_sums_meet_in_files_of_the_shared_folder_only(spark, monkeypatch):
     assert boosting._slots(spark) == spark.sparkContext.defaultParallelism
     monkeypatch.setattr(boosting, "shared_dir", lambda spark: "hdfs://host/a")
     assert boosting._slots(spark) == 1
+
+
+def test_features_that_follow_from_another_share_its_code():
+    """However many combinations their bins could come in, only those of the rows count."""
+    rng, n = np.random.default_rng(3), 30_000
+    year, other = rng.integers(0, 140, n), rng.integers(0, 256, n)
+    codes = np.column_stack([year, year // 10, *[year > k for k in range(9, 130, 10)], other]).astype(np.uint8)
+    sizes = [140, 14, *[2] * 13, 256]
+    groups, held, bins = boosting.packed(codes, sizes)
+    assert sorted(map(sorted, groups)) == [list(range(15)), [15]]
+    for group, code in zip(groups, held):
+        assert all(np.array_equal(bins[k][code], codes[:, k]) for k in group)
+    late = codes.copy()
+    late[-2000:, 14] ^= 1  # combinations that the first rows do not show
+    groups, held, bins = boosting.packed(late, sizes)
+    assert all(len(bins[k]) <= boosting.COMBINATIONS for k in range(len(sizes)))
+    assert all(np.array_equal(bins[k][held[g]], late[:, k]) for g, group in enumerate(groups) for k in group)
+
+
+def test_predictions_of_blocks_equal_those_of_single_rows():
+    rng, n = np.random.default_rng(5), boosting.PREDICTED + 100
+    x = rng.integers(0, 9, (n, 3)).astype(float)
+    trees = boosting.Trees(1.5, 2, rng.integers(0, 3, (4, 3)), rng.integers(0, 9, (4, 3)).astype(float),
+                           np.ones((4, 3)), rng.normal(0, 1, (4, 4)))
+
+    def plain(row):
+        out = trees.base
+        for f, t, v in zip(trees.features, trees.thresholds, trees.values):
+            place = 0
+            while place < 3:
+                place = 2 * place + 1 + (row[f[place]] >= t[place])
+            out += v[place - 3]
+        return out
+
+    assert trees.predict(x).tolist() == [plain(r) for r in x]
+    assert np.array_equal(list(trees.stages(x))[-1], trees.predict(x))
