@@ -363,7 +363,8 @@ def once(spark: SparkSession, sf_dir: str, label: str, make: Callable[[], object
 
 def stored_matrix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, EqualWidthBins]:
     def make():
-        titles = tables.materialize(enriched(spark, sf_dir), "enriched")  # the bins' titles and the matrix's
+        # the bins' titles and the matrix's, with what the matrix is made of
+        titles = tables.materialize(enriched(spark, sf_dir).select(matrix.MATRIX_INPUTS), "enriched")
         bins = EqualWidthBins.fit(titles.select(log_votes(F.col("numvotes")).alias("votes_log")), "votes_log")
         full = matrix.training_matrix_in_one_pass(titles, bins)
         path = scratch_path(spark, "training")

@@ -51,7 +51,7 @@ BLOCK, LEAST_BLOCK = 1 << 16, 1 << 12
 # Combinations of bins that features of one code have at most, and the rows that tell which may share one.
 COMBINATIONS, SEEN = 1024, 1 << 13
 # Rows that all trees are applied to at a time, so few that they stay in a core's cache.
-PREDICTED = 1 << 11
+PREDICTED = 1 << 12
 # Gains below this are taken for none.
 LEAST_GAIN = 1e-6
 
@@ -107,19 +107,28 @@ class Trees:
     def __len__(self) -> int:
         return len(self.values)
 
-    def leaves(self, matrix: np.ndarray, tree: int) -> np.ndarray:
-        values, features, thresholds = matrix.ravel(), self.features[tree], self.thresholds[tree]
-        first, place = np.arange(len(matrix)) * matrix.shape[1], np.zeros(len(matrix), np.int64)
-        for _ in range(self.depth):
-            right = values.take(first + features.take(place)) >= thresholds.take(place)
-            place = 2 * place + 1 + right
+    def leaves(self, columns: np.ndarray, tree: int) -> np.ndarray:
+        """The leaf that each row ends in, from left to right; ``columns`` has a line per feature."""
+        n, features, thresholds = columns.shape[1], self.features[tree], self.thresholds[tree]
+        values, starts, row = columns.ravel(), features * n, np.arange(n)
+        place = np.zeros(n, np.int64)
+        if self.depth:  # all rows meet the same split first
+            place += columns[features[0]] >= thresholds[0]
+            place += 1
+        for _ in range(self.depth - 1):
+            at = starts.take(place)
+            at += row
+            right = values.take(at) >= thresholds.take(place)
+            place += place
+            place += 1
+            place += right
         return place - (2 ** self.depth - 1)
 
     def stages(self, matrix: np.ndarray) -> Iterator[np.ndarray]:
         """Predictions after each round."""
-        out = np.full(len(matrix), self.base)
+        columns, out = np.ascontiguousarray(matrix.T), np.full(len(matrix), self.base)
         for tree in range(len(self)):
-            out = out + self.values[tree].take(self.leaves(matrix, tree))
+            out = out + self.values[tree].take(self.leaves(columns, tree))
             yield out
 
     def predict(self, matrix: np.ndarray) -> np.ndarray:
@@ -186,6 +195,15 @@ def cut_points(rows: DataFrame, width: int, most: int = BINS) -> list[np.ndarray
     return cuts
 
 
+def coded(matrix: np.ndarray, cuts: Sequence[np.ndarray]) -> np.ndarray:
+    """The bin of every value, a byte each; a feature of two bins takes one comparison."""
+    out = np.empty(matrix.shape, np.uint8)
+    for k, c in enumerate(cuts):
+        values = matrix[:, k]
+        out[:, k] = values >= c[0] if len(c) == 1 else np.searchsorted(c, values, side="right")
+    return out
+
+
 # --- one tree ---------------------------------------------------------------
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -783,12 +801,12 @@ def grow(train: DataFrame, label: str, fits: Sequence[Fit], key: str = "tconst",
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             matrix = _matrix(batch, "x", len(names))
-            codes = np.stack([np.searchsorted(c, matrix[:, k], side="right") for k, c in enumerate(cuts)], axis=1)
+            codes = coded(matrix, cuts)
             ends = np.arange(0, codes.size + 1, len(names), dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in ("fits", "label", "key", "watched")),
                  pa.Array.from_buffers(pa.binary(), len(codes), [None, pa.py_buffer(ends), pa.py_buffer(
-                     codes.astype(np.uint8).tobytes())])],
+                     codes.tobytes())])],
                 ["fits", "label", "key", "watched", "codes"])
 
     rows = wide.mapInArrow(code, "fits array<int>, label double, key long, watched boolean, codes binary").select(

@@ -11,6 +11,10 @@ from marquee.functions.bins import EqualWidthBins
 from marquee.functions.keys import percent_of
 from marquee.sources.tables import only_missing, require_columns
 
+# The columns of the enriched titles that the full matrix is made of.
+MATRIX_INPUTS = ["tconst", "primarytitle", "startyear", "runtimeminutes", "genres", "averagerating", "numvotes",
+                 "is_high_rated", *V.DIRECTOR_FEATURES]
+
 
 def base_columns() -> dict[str, Column]:
     return {

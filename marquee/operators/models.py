@@ -78,11 +78,13 @@ class RatingModel:
     def save(self, path: str) -> None:
         """Store the trees, a row each, and the inputs; what is there is overwritten."""
         spark, t = SparkSession.active(), self.trees
-        rows = [(k, t.features[k].tolist(), t.thresholds[k].tolist(), t.gains[k].tolist(), t.values[k].tolist())
-                for k in range(len(t))]
-        spark.createDataFrame(rows, _TREES).coalesce(1).write.mode("overwrite").parquet(f"{path}/trees")
-        record = spark.createDataFrame(
-            [(list(self.features), self.bins.to_json(), t.base, t.depth)], _INPUTS)
+        trees = pa.table({
+            "tree": pa.array(range(len(t)), pa.int32()), "features": _lists(t.features, pa.int32()),
+            "thresholds": _lists(t.thresholds), "gains": _lists(t.gains), "leaves": _lists(t.values)})
+        spark.createDataFrame(trees).coalesce(1).write.mode("overwrite").parquet(f"{path}/trees")
+        record = spark.createDataFrame(pa.table({
+            "features": [list(self.features)], "bins": [self.bins.to_json()], "base": pa.array([t.base], pa.float64()),
+            "depth": pa.array([t.depth], pa.int32())}))
         write_record(record, f"{path}/inputs")
 
     @classmethod
@@ -96,6 +98,11 @@ class RatingModel:
         return cls(Trees(row.base, row.depth, *arrays), list(row.features), EqualWidthBins.from_json(row.bins))
 
 
+def _lists(values: np.ndarray, kind: pa.DataType | None = None) -> pa.Array:
+    """A list for each line. Tables of Arrow become rows without Python tasks."""
+    return pa.array(list(values), pa.list_(kind or pa.float64()))
+
+
 _TREES = "tree int, features array<int>, thresholds array<double>, gains array<double>, leaves array<double>"
 _INPUTS = "features array<string>, bins string, base double, depth int"
 
@@ -157,8 +164,8 @@ def regression_metrics(predicted: DataFrame, label: str = LABEL,
 def importances(model: RatingModel, n: int | None = None) -> DataFrame:
     """Features by importance, one row each. As many rows as features, at most."""
     weights = model.trees.importances(len(model.features))
-    rows = [(f, float(w)) for f, w in zip(model.features, weights)]
-    df = SparkSession.active().createDataFrame(rows, "feature string, importance double")
+    df = SparkSession.active().createDataFrame(pa.table({
+        "feature": pa.array(list(model.features), pa.string()), "importance": pa.array(weights, pa.float64())}))
     ordered = df.orderBy(F.desc("importance"), "feature")
     return ordered if n is None else ordered.limit(n)
 

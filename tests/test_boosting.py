@@ -227,3 +227,26 @@ def test_predictions_of_blocks_equal_those_of_single_rows():
 
     assert trees.predict(x).tolist() == [plain(r) for r in x]
     assert np.array_equal(list(trees.stages(x))[-1], trees.predict(x))
+
+
+def test_bins_by_one_comparison_equal_a_search():
+    values = np.array([[-np.inf, 0.0], [-0.0, 1.0], [0.0, 2.5], [0.5, 3.0], [1.0, -7.0], [np.inf, np.inf]])
+    cuts = [np.array([0.0]), np.array([1.0, 2.0, 3.0]), np.array([])]
+    matrix = np.column_stack([values, values[:, 0]])
+    found = boosting.coded(matrix, cuts)
+    assert found.dtype == np.uint8
+    assert found.T.tolist() == [np.searchsorted(c, matrix[:, k], side="right").tolist() for k, c in enumerate(cuts)]
+
+
+@pytest.mark.parametrize("depth", [0, 1, 3])
+def test_leaves_of_columns_equal_a_walk(depth):
+    rng = np.random.default_rng(depth)
+    inner, matrix = 2 ** depth - 1, np.where(rng.random((50, 4)) < 0.1, np.nan, rng.integers(0, 9, (50, 4)))
+    trees = boosting.Trees(0.5, depth, rng.integers(0, 4, (3, inner)), rng.integers(0, 9, (3, inner)).astype(float),
+                           np.ones((3, inner)), rng.random((3, inner + 1)))
+    for tree in range(3):
+        for row, leaf in zip(matrix, trees.leaves(np.ascontiguousarray(matrix.T), tree)):
+            place = 0
+            while place < inner:
+                place = 2 * place + 1 + int(row[trees.features[tree, place]] >= trees.thresholds[tree, place])
+            assert leaf == place - inner

@@ -1,6 +1,8 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from marquee import vocabulary as V
@@ -143,3 +145,26 @@ def test_train_and_test_do_not_overlap(signal):
 
 def test_feature_list_has_no_target():
     assert "target_rating" not in V.FULL_FEATURES and "is_high_rated" not in V.FULL_FEATURES
+
+
+def test_a_model_is_stored_without_python_tasks(model, tmp_path, monkeypatch):
+    """Each of the small tables would else wait for a Python worker in every core."""
+    made = []
+    create = SparkSession.createDataFrame
+    monkeypatch.setattr(SparkSession, "createDataFrame",
+                        lambda self, data, *a, **k: made.append(data) or create(self, data, *a, **k))
+    model.save(str(tmp_path))
+    models.importances(model).collect()
+    assert [type(data) for data in made] == [pa.Table] * 3
+
+
+def test_the_full_matrix_needs_its_inputs_only(spark):
+    titles = spark.createDataFrame(
+        [(1, "A", 1999, 100, "Drama", 7.5, 100, 1, 7.0, 2, 0.5, 3.0, 0, 8.0, "more")],
+        "tconst long, primarytitle string, startyear int, runtimeminutes int, genres string, averagerating float,"
+        " numvotes int, is_high_rated int, director_avg_rating double, director_movie_count long,"
+        " director_hit_rate double, director_votes_log double, has_known_director int, director_max_rating float,"
+        " originaltitle string")
+    bins = EqualWidthBins(0.0, 10.0)
+    narrow = matrix.training_matrix_in_one_pass(titles.select(matrix.MATRIX_INPUTS), bins)
+    assert narrow.collect() == matrix.training_matrix_in_one_pass(titles, bins).collect()
