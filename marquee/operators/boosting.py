@@ -1,10 +1,10 @@
 """Boosted regression trees with L1 and L2 penalties and columns drawn per tree.
 
 Every level of a tree is chosen from sums of gradients and rows by (version, node, feature, bin).
-Several versions grow side by side, each by a team of tasks that keep their rows in memory, round after
-round; a small version's team is one task. Where teams have no room or nowhere to meet, versions grow
-level by level, a Spark job over cached parts for all of them. All sums are of whole numbers, so the
-trees are the same either way, and however rows are dealt out.
+Several versions grow side by side, or large ones in turns, each by a team of tasks that keep their rows in
+memory, round after round; a small version's team is one task. Where a team has no room or nowhere to meet, its
+version grows level by level, a Spark job over cached parts. All sums are of whole numbers, so the trees are the
+same either way, and however rows are dealt out.
 """
 
 from __future__ import annotations
@@ -30,9 +30,12 @@ from marquee.sources.tables import materialize
 BINS = 256
 # Gradients and labels are counted in these units.
 UNIT = 1 << 20
-# Rows of a version that a task takes at most. A version with more for each of its tasks grows by sums
-# over its parts.
-ROWS_PER_TASK = 3_000_000
+# Rows of a version that a task takes at most, some 150 bytes each while they are read. A version with more for
+# each of its tasks grows by sums over its parts.
+ROWS_PER_TASK = 5_000_000
+# Up to so many rows a task, versions grow at once: each has fewer tasks to meet. Beyond, they take turns, so that
+# every one has all cores and only its own rows are in memory.
+ROWS_AT_ONCE = 1_000_000
 # Up to so many rows, another task for a version takes longer to meet than it saves; and the most tasks
 # of one, as each reads the sums of all.
 ROWS_PER_MEMBER, MEMBERS = 50_000, 32
@@ -564,23 +567,30 @@ class _Plan:
     watches: bool
 
     def part(self, fit: int, rows: dict[str, np.ndarray], own: np.ndarray) -> Part:
-        predicted = rows["predicted"][own] if "predicted" in rows else np.full(own.sum(), self.bases[fit])
         return Part(self.settings[fit], self.sizes[fit], rows["codes"][own][:, self.places[fit]],
-                    rows["label"][own], rows["key"][own], rows["watched"][own], predicted)
+                    rows["label"][own], rows["key"][own], rows["watched"][own], np.full(own.sum(), self.bases[fit]))
 
 
-_KINDS = {"fit": pa.int32(), "label": pa.float64(), "key": pa.int64(), "watched": pa.bool_(), "codes": pa.binary()}
+_KINDS = {"fit": np.int32, "label": np.float64, "key": np.int64, "watched": bool, "codes": np.uint8}
 
 
-def _read(batches: Iterator[pa.RecordBatch], width: int) -> dict[str, np.ndarray]:
-    """All rows of a task as arrays."""
-    empty = pa.table({n: pa.array([], k) for n, k in _KINDS.items()})
-    held = [pa.table({n: b.column(n) for n in b.schema.names}) for b in batches if b.num_rows]
-    table = pa.concat_tables(held).combine_chunks() if held else empty
-    out = {n: table.column(n).to_numpy() for n in table.column_names if n != "codes"}
-    joined = table.column("codes").combine_chunks()
-    raw = joined.buffers()[2] if len(table) else b""
-    return {**out, "codes": np.frombuffer(raw, np.uint8)[:width * len(table)].reshape(-1, width)}
+def _read(batches: Iterator[pa.RecordBatch], width: int, places: Sequence[int] | None = None) -> dict[str, np.ndarray]:
+    """All rows of a task as arrays, of their features those at ``places``.
+
+    A column is joined when all batches are there, and its pieces go, so that little is held twice.
+    """
+    pieces = {n: [np.zeros(0, k)] for n, k in _KINDS.items()}
+    pieces["codes"] = [np.zeros((0, width if places is None else len(places)), np.uint8)]
+    for batch in batches:
+        for name, known in pieces.items():
+            column = batch.column(name)
+            if name != "codes":
+                known.append(column.to_numpy(zero_copy_only=False).copy())
+            elif len(column):
+                raw = np.frombuffer(column.buffers()[2], np.uint8)[width * column.offset:]
+                codes = raw[:width * len(column)].reshape(-1, width)
+                known.append(codes.copy() if places is None else codes[:, places])
+    return {name: np.concatenate(pieces.pop(name)) for name in list(pieces)}
 
 
 GROWN = "fit int, feature array<int>, bin array<int>, gain array<double>, value array<double>, error double"
@@ -615,6 +625,39 @@ def _teams(rows: Sequence[int], slots: int, rows_per_member: int) -> list[int]:
     return teams
 
 
+def _turns(rounds: Sequence[int], rows: Sequence[int], slots: int, rows_per_member: int, rows_per_task: int,
+           rows_at_once: int) -> tuple[list[list[int]], list[int]]:
+    """Which versions grow at once, turn after turn, and those that have too many rows even for a turn of their own.
+
+    Versions that share a turn, if not all do, have as many rounds and about as many rows, as teams that are done
+    wait for the others; or there are tasks enough for all. Where no version can have a second task, turns would
+    leave cores idle.
+    """
+    def enough(turn: list[int]) -> bool:
+        return len(turn) == 1 or len(turn) * MEMBERS <= slots
+
+    def fits(turn: list[int]) -> bool:
+        own, most = [rows[k] for k in turn], rows_per_task if enough(turn) else min(rows_at_once, rows_per_task)
+        return all(n <= most * size for n, size in zip(own, _teams(own, slots, rows_per_member)))
+
+    def alike(a: int, b: int) -> bool:
+        return rounds[a] == rounds[b] and 2 * rows[b] >= rows[a]
+
+    todo = [k for k, n in enumerate(rounds) if n > 0]
+    large = [k for k in todo if not fits([k])]
+    todo = [k for k in todo if k not in large]
+    if todo and (slots == 1 or fits(todo)):
+        return [todo], large
+    turns: list[list[int]] = []
+    for k in sorted(todo, key=lambda k: -rows[k]):
+        shared = [turn for turn in turns if fits([*turn, k]) and (enough([*turn, k]) or alike(turn[0], k))]
+        if shared:
+            shared[0].append(k)
+        else:
+            turns.append([k])
+    return turns, large
+
+
 def _in_tasks(rows: DataFrame, plan: _Plan, grown: list[list[dict]], todo: list[int], teams: list[int],
               rounds: int) -> None:
     """Grow up to ``rounds`` more trees of each version, by a team of tasks each."""
@@ -628,10 +671,10 @@ def _in_tasks(rows: DataFrame, plan: _Plan, grown: list[list[dict]], todo: list[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan, grown = settled.value
         fit, member, size = places[TaskContext.get().partitionId()]
-        held = _read(batches, plan.width)
-        part = plan.part(fit, held, held["fit"] == fit)
-        if len(part.label) != len(held["fit"]):
+        held = _read(batches, plan.width, plan.places[fit])
+        if (held.pop("fit") != fit).any():
             raise RuntimeError("rows of another version")
+        part = Part(plan.settings[fit], plan.sizes[fit], **held, predicted=np.full(len(held["label"]), plan.bases[fit]))
         del held
         for tree in grown[fit]:
             part.follow(tree)
@@ -775,13 +818,15 @@ def _by_levels(parts: RDD, plan: _Plan, grown: list[list[dict]], todo: list[int]
 
 def grow(train: DataFrame, label: str, fits: Sequence[Fit], key: str = "tconst", watch: str | None = None,
          tolerance: float = 0.01, rows_per_task: int = ROWS_PER_TASK, rounds_per_job: int = ROUNDS_PER_JOB,
-         rounds_per_store: int = ROUNDS_PER_STORE, rows_per_member: int = ROWS_PER_MEMBER) -> dict[str, Trees]:
+         rounds_per_store: int = ROUNDS_PER_STORE, rows_per_member: int = ROWS_PER_MEMBER,
+         rows_at_once: int = ROWS_AT_ONCE) -> dict[str, Trees]:
     """Fit all of ``fits`` on ``train``; rows without a label are left out, missing features count as 0.
 
     Rows are cut into bins and stored, a byte per feature, once for every version they are in. Versions
     grow side by side, each by a team of tasks of at least ``rows_per_member`` rows, as cores allow; if a
-    task of one had more than ``rows_per_task`` rows, all of them grow by sums over parts, dealt out over
-    all cores. The trees do not depend on which it is.
+    task of one had more than ``rows_at_once`` rows, they take turns. Versions that would have more than
+    ``rows_per_task`` rows a task even so grow by sums over parts, dealt out over all cores. The trees do
+    not depend on which it is.
 
     ``watch`` names a boolean column that marks rows to measure on; a fit stops once their error
     falls by less than ``tolerance`` of itself, and keeps the rounds up to the least error.
@@ -824,31 +869,37 @@ def grow(train: DataFrame, label: str, fits: Sequence[Fit], key: str = "tconst",
     for r in total:
         counts[r.fit] = r.n
     slots = _slots(spark)
-    in_tasks = all(n <= rows_per_task * size for n, size in zip(counts, _teams(counts, slots, rows_per_member)))
-    if not in_tasks:
-        context = spark.sparkContext
-        if not context.getCheckpointDir():
-            context.setCheckpointDir(shared_dir(spark))
-        cores = context.defaultParallelism
-        parts = _dealt(rows, plan, cores * -(-sum(r.n for r in total) // (cores * ROWS_PER_SHARE)))
-        parts.persist(StorageLevel.MEMORY_AND_DISK)
-
+    turns, large = _turns([f.settings.rounds for f in fits], counts, slots, rows_per_member, rows_per_task,
+                          rows_at_once)
     grown: list[list[dict]] = [[] for _ in fits]
-    todo = [k for k, f in enumerate(fits) if f.settings.rounds > 0]
-    while todo:
-        most = max(fits[k].settings.rounds - len(grown[k]) for k in todo)
-        if in_tasks:
-            teams = _teams([counts[k] for k in todo], slots, rows_per_member)
-            _in_tasks(rows, plan, grown, todo, teams, min(rounds_per_job, most))
-        else:
-            rounds = min(rounds_per_store, most)
-            parts = _by_levels(parts, plan, grown, todo, rounds, rounds < most)
+
+    def unfinished(todo: list[int]) -> list[int]:
+        """Those of ``todo`` that go on; of the others the rounds to keep stay."""
         stopped = {k: _rounds_kept([t["error"] for t in grown[k]], tolerance) for k in todo} if watch else {}
         for k, rounds in stopped.items():
             if rounds is not None:
                 del grown[k][rounds:]
-        todo = [k for k in todo if stopped.get(k) is None and len(grown[k]) < fits[k].settings.rounds]
-    if not in_tasks:
+        return [k for k in todo if stopped.get(k) is None and len(grown[k]) < fits[k].settings.rounds]
+
+    def left(todo: list[int]) -> int:
+        return max(fits[k].settings.rounds - len(grown[k]) for k in todo)
+
+    for todo in turns:
+        while todo:
+            teams = _teams([counts[k] for k in todo], slots, rows_per_member)
+            _in_tasks(rows, plan, grown, todo, teams, min(rounds_per_job, left(todo)))
+            todo = unfinished(todo)
+    if large:
+        context = spark.sparkContext
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(shared_dir(spark))
+        cores = context.defaultParallelism
+        tasks = cores * -(-sum(r.n for r in total if r.fit in large) // (cores * ROWS_PER_SHARE))
+        parts = _dealt(rows.filter(F.col("fit").isin(large)), plan, tasks).persist(StorageLevel.MEMORY_AND_DISK)
+        while large:
+            rounds, most = min(rounds_per_store, left(large)), left(large)
+            parts = _by_levels(parts, plan, grown, large, rounds, rounds < most)
+            large = unfinished(large)
         parts.unpersist()
     return {fit.name: _packed(fit, trees, base, [cuts[k] for k in own])
             for fit, trees, base, own in zip(fits, grown, bases, places)}

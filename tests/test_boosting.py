@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -185,6 +186,48 @@ def test_teams_by_rows():
     assert boosting._teams([500] * 9, 8, 100) == [1] * 9
 
 
+def test_large_versions_take_turns(spark, table, monkeypatch):
+    """Versions that do not fit side by side grow one after another by all tasks, not by a job for every level."""
+    seen, in_tasks = [], boosting._in_tasks
+    monkeypatch.setattr(boosting, "_in_tasks", lambda *rest: (seen.append(rest[3:5]), in_tasks(*rest))[1])
+    fits = [Fit("one", FEATURES, Boosting(rounds=3, depth=3)), Fit("two", FEATURES[1:], Boosting(rounds=3, depth=2)),
+            Fit("three", FEATURES[:2], Boosting(rounds=2, depth=2), F.col("a") > 3)]
+    whole = grow(table, "y", fits)
+    assert seen == [([0, 1, 2], [1, 1, 1])] and not seen.clear()
+    monkeypatch.setattr(boosting, "_by_levels", None)
+    turns = grow(table.repartition(5), "y", fits, rows_per_task=500, rows_per_member=200)
+    assert seen == [([0], [4]), ([1], [4]), ([2], [4])] and not seen.clear()
+    assert all(same(whole[n], turns[n]) for n in whole)
+    turns = grow(table, "y", fits, rows_at_once=800, rows_per_member=400)
+    assert seen == [([0, 1], [2, 2]), ([2], [3])] and all(same(whole[n], turns[n]) for n in whole)
+
+
+def test_turns_by_rows():
+    def turns(rounds, rows, slots, per_task=500, at_once=100):
+        return boosting._turns(rounds, rows, slots, 10, per_task, at_once)
+
+    assert turns([2, 5, 5], [300, 300, 100], 8) == ([[0, 1, 2]], [])
+    assert turns([2, 5, 5, 5, 5], [2000, 2000, 350, 2000, 350], 8) == ([[0], [1], [3], [2, 4]], [])
+    assert turns([5, 5], [4001, 90], 8) == ([[1]], [0]) and turns([0, 5], [9000, 0], 8) == ([[1]], [])
+    # more cores than one version can use
+    assert turns([2, 5, 5], [9000] * 3, 96) == ([[0, 1, 2]], []) and turns([2, 5, 5], [9000] * 3, 64) == ([[0, 1], [2]], [])
+    # no teams: all that fit into a task at once, whatever their rounds
+    assert turns([2, 5, 5], [300, 501, 400], 1) == ([[0, 2]], [1])
+    assert turns([], [], 8) == ([], []) and turns([5], [30], 8, 20, 100) == ([[0]], [])
+
+
+def test_rows_of_a_task_are_read_with_its_own_features():
+    codes = np.random.default_rng(1).integers(0, 256, (7, 3)).astype(np.uint8)
+    whole = pa.RecordBatch.from_pydict({
+        "fit": pa.array([0] * 7, pa.int32()), "label": np.arange(7.0), "key": np.arange(7), "codes": [bytes(c) for c in codes],
+        "watched": [k == 2 for k in range(7)]})
+    for cut in ([whole], [whole.slice(0, 3), whole.slice(3, 0), whole.slice(3)]):
+        held = boosting._read(iter(cut), 3, [2, 0])
+        assert held["codes"].tolist() == codes[:, [2, 0]].tolist() and held["label"].tolist() == list(range(7))
+        assert held["watched"].nonzero()[0].tolist() == [2] and boosting._read(iter(cut), 3)["codes"].tolist() == codes.tolist()
+    assert boosting._read(iter([]), 3, [2, 0])["codes"].shape == (0, 2) and boosting._read(iter([]), 3)["key"].dtype == np.int64
+
+
 def test_sums_meet_in_files_of_the_shared_folder_only(spark, monkeypatch):
     assert boosting._plain("file:///a/b") == boosting._plain("file:/a/b") == boosting._plain("/a/b") == "/a/b"
     assert boosting._plain("hdfs://host/a") is None and boosting._plain("viewfs:///a") is None
